@@ -36,3 +36,8 @@ def flag(cond) -> Column:
 def count_if(cond) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as bigint (0 on a group of NULL rows)."""
     return F.sum(flag(cond)).cast("bigint")
+
+
+def count_when(cond) -> Column:
+    """``COUNT(*)`` of the rows meeting ``cond`` (0, not NULL, on empty input)."""
+    return F.count(F.when(cond, F.lit(1)))

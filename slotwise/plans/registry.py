@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.operators import weekly
+from slotwise.operators import dropoff, kpi, reminders, weekly
 from slotwise.plans import oracle
 from slotwise.sources.tables import Tables
 
@@ -38,6 +38,10 @@ def queries() -> dict[str, QueryFn]:
         "weekly_noshow": _q(weekly.weekly_noshow, as_of=AS_OF),
         "prepay_funnel": _q(weekly.prepay_funnel, as_of=AS_OF),
         "priority_ontime": _q(weekly.priority_ontime, as_of=AS_OF),
+        "kpi_snapshot": _q(kpi.kpi_snapshot, as_of=AS_OF),
+        "dropoff_counts": _q(dropoff.dropoff_counts, as_of=AS_OF),
+        "dropoff_report": _q(dropoff.dropoff_report, as_of=AS_OF),
+        "reminder_by_type": _q(reminders.reminder_by_type, as_of=AS_OF),
     }
 
 
@@ -46,4 +50,8 @@ def oracle_sql() -> dict[str, str]:
         "weekly_noshow": oracle.weekly_noshow(),
         "prepay_funnel": oracle.prepay_funnel(),
         "priority_ontime": oracle.priority_ontime(),
+        "kpi_snapshot": oracle.kpi_snapshot(),
+        "dropoff_counts": oracle.dropoff_counts(),
+        "dropoff_report": oracle.dropoff_report(),
+        "reminder_by_type": oracle.reminder_by_type(),
     }
