@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.operators import dropoff, kpi, reminders, weekly
+from slotwise.operators import (activity, adoption, cohort, delays, dropoff, funnel, kpi, merge,
+                                reminders, weekly)
 from slotwise.plans import oracle
 from slotwise.sources.tables import Tables
 
@@ -42,6 +43,12 @@ def queries() -> dict[str, QueryFn]:
         "dropoff_counts": _q(dropoff.dropoff_counts, as_of=AS_OF),
         "dropoff_report": _q(dropoff.dropoff_report, as_of=AS_OF),
         "reminder_by_type": _q(reminders.reminder_by_type, as_of=AS_OF),
+        "daily_active_users": _q(activity.daily_active_users, as_of=AS_OF),
+        "conversion_funnel": _q(funnel.conversion_funnel, as_of=AS_OF),
+        "cohort_retention": _q(cohort.cohort_retention, as_of=COHORT_AS_OF),
+        "delay_bands": _q(delays.delay_bands),
+        "feature_adoption": _q(adoption.feature_adoption, as_of=AS_OF),
+        "merge_compliance": _q(merge.merge_compliance, as_of=AS_OF),
     }
 
 
@@ -54,4 +61,10 @@ def oracle_sql() -> dict[str, str]:
         "dropoff_counts": oracle.dropoff_counts(),
         "dropoff_report": oracle.dropoff_report(),
         "reminder_by_type": oracle.reminder_by_type(),
+        "daily_active_users": oracle.daily_active_users(),
+        "conversion_funnel": oracle.conversion_funnel(),
+        "cohort_retention": oracle.cohort_retention(),
+        "delay_bands": oracle.delay_bands(),
+        "feature_adoption": oracle.feature_adoption(),
+        "merge_compliance": oracle.merge_compliance(),
     }
