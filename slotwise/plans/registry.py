@@ -2,7 +2,8 @@
 
 Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the *whole* input
 tables; ``as_of`` is fixed to the last order date of the test data so the rolling windows
-hold data.
+hold data (the cohort view uses the start of the data, where its 12-month cohort range
+still holds customers).
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.operators import (activity, adoption, cohort, delays, dropoff, funnel, kpi, merge,
-                                reminders, weekly)
-from slotwise.plans import oracle
+                                quality, refresh, reminders, weekly)
+from slotwise.plans import consumer, oracle
+from slotwise.sources import schemas
 from slotwise.sources.tables import Tables
 
 AS_OF = dt.date(2001, 8, 1)
@@ -34,37 +36,90 @@ def _q(fn, **kw) -> QueryFn:
     return run
 
 
-def queries() -> dict[str, QueryFn]:
+# name -> (spark callable, oracle SQL thunk or None)
+def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
     return {
-        "weekly_noshow": _q(weekly.weekly_noshow, as_of=AS_OF),
-        "prepay_funnel": _q(weekly.prepay_funnel, as_of=AS_OF),
-        "priority_ontime": _q(weekly.priority_ontime, as_of=AS_OF),
-        "kpi_snapshot": _q(kpi.kpi_snapshot, as_of=AS_OF),
-        "dropoff_counts": _q(dropoff.dropoff_counts, as_of=AS_OF),
-        "dropoff_report": _q(dropoff.dropoff_report, as_of=AS_OF),
-        "reminder_by_type": _q(reminders.reminder_by_type, as_of=AS_OF),
-        "daily_active_users": _q(activity.daily_active_users, as_of=AS_OF),
-        "conversion_funnel": _q(funnel.conversion_funnel, as_of=AS_OF),
-        "cohort_retention": _q(cohort.cohort_retention, as_of=COHORT_AS_OF),
-        "delay_bands": _q(delays.delay_bands),
-        "feature_adoption": _q(adoption.feature_adoption, as_of=AS_OF),
-        "merge_compliance": _q(merge.merge_compliance, as_of=AS_OF),
+        # V1-V12 as written
+        "kpi_snapshot": (_q(kpi.kpi_snapshot, as_of=AS_OF), oracle.kpi_snapshot),
+        "weekly_noshow": (_q(weekly.weekly_noshow, as_of=AS_OF), oracle.weekly_noshow),
+        "daily_active_users": (_q(activity.daily_active_users, as_of=AS_OF), oracle.daily_active_users),
+        "conversion_funnel": (_q(funnel.conversion_funnel, as_of=AS_OF), oracle.conversion_funnel),
+        "cohort_retention": (_q(cohort.cohort_retention, as_of=COHORT_AS_OF), oracle.cohort_retention),
+        "dropoff_counts": (_q(dropoff.dropoff_counts, as_of=AS_OF), oracle.dropoff_counts),
+        "dropoff_report": (_q(dropoff.dropoff_report, as_of=AS_OF), oracle.dropoff_report),
+        "reminder_by_type": (_q(reminders.reminder_by_type, as_of=AS_OF), oracle.reminder_by_type),
+        "delay_bands": (_q(delays.delay_bands), oracle.delay_bands),
+        "prepay_funnel": (_q(weekly.prepay_funnel, as_of=AS_OF), oracle.prepay_funnel),
+        "priority_ontime": (_q(weekly.priority_ontime, as_of=AS_OF), oracle.priority_ontime),
+        "feature_adoption": (_q(adoption.feature_adoption, as_of=AS_OF), oracle.feature_adoption),
+        "merge_compliance": (_q(merge.merge_compliance, as_of=AS_OF), oracle.merge_compliance),
+        # intended metrics where the definition has a grain or semantics defect
+        "kpi_snapshot_corrected": (_q(kpi.kpi_snapshot, as_of=AS_OF, corrected=True),
+                                   lambda: oracle.kpi_snapshot(corrected=True)),
+        "daily_active_users_corrected": (_q(activity.daily_active_users, as_of=AS_OF, corrected=True),
+                                         oracle.daily_active_users_corrected),
+        "conversion_funnel_corrected": (_q(funnel.conversion_funnel, as_of=AS_OF, corrected=True),
+                                        lambda: oracle.conversion_funnel(corrected=True)),
+        "cohort_retention_corrected": (_q(cohort.cohort_retention, as_of=COHORT_AS_OF, corrected=True),
+                                       oracle.cohort_retention_corrected),
+        "reminder_by_type_corrected": (_q(reminders.reminder_by_type, as_of=AS_OF, corrected=True),
+                                       lambda: oracle.reminder_by_type(corrected=True)),
+        "delay_bands_corrected": (_q(delays.delay_bands, corrected=True), oracle.delay_bands_corrected),
+        "feature_adoption_corrected": (_q(adoption.feature_adoption, as_of=AS_OF, corrected=True),
+                                       oracle.feature_adoption_corrected),
+        "merge_compliance_corrected": (_q(merge.merge_compliance, as_of=AS_OF, corrected=True),
+                                       oracle.merge_compliance_corrected),
+        # SP1 refresh (the DataFrame that is written)
+        "refresh_total_bookings": (_q(refresh.refreshed_customers), oracle.refresh_total_bookings),
+        "refresh_total_bookings_corrected": (_q(refresh.refreshed_customers, corrected=True),
+                                             lambda: oracle.refresh_total_bookings(corrected=True)),
+        # Q1-Q3, Q5 data quality
+        "quality_duplicate_keys": (_q(quality.duplicate_keys),
+                                   lambda: oracle.duplicate_keys(schemas.PRIMARY_KEYS)),
+        "quality_orphans": (_q(quality.orphans), lambda: oracle.orphans(schemas.FOREIGN_KEYS)),
+        "quality_domain_violations": (_q(quality.domain_violations), lambda: oracle.domain_violations(_q3_rules())),
+        "quality_band_consistency": (_q(quality.band_consistency), oracle.band_consistency),
     }
 
 
+def _q3_rules():
+    rules = []
+    for t in quality.TABLES:
+        for f in schemas.SCHEMAS[t].fields:
+            if not f.nullable:
+                rules.append((t, f.name, "not_null", f"{f.name} IS NULL"))
+        for (tbl, col), values in schemas.DOMAINS.items():
+            if tbl == t:
+                lst = ", ".join(f"'{v}'" for v in values)
+                rules.append((t, col, "domain", f"{col} IS NOT NULL AND {col} NOT IN ({lst})"))
+        for (tbl, col), n in schemas.MAX_LENGTHS.items():
+            if tbl == t:
+                rules.append((t, col, f"max_length_{n}", f"length({col}) > {n}"))
+    return rules
+
+
+def _consumers() -> dict[str, tuple[QueryFn, Callable[[], str]]]:
+    views = _views()
+    out = {}
+    for name, (fn, view, cols, order) in consumer.CONSUMERS.items():
+        as_of = COHORT_AS_OF if view == "cohort_retention" else AS_OF
+        oracle_view = views[view][1]
+        out[f"consumer_{name}"] = (_q(fn, as_of=as_of),
+                                   (lambda ov=oracle_view, c=cols, o=order: oracle.consumer(ov(), c, o)))
+    return out
+
+
+def registry() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
+    reg = _views()
+    reg.update(_consumers())
+    from slotwise.plans import extras
+    reg.update(extras.registry(AS_OF, COHORT_AS_OF, _q))
+    return reg
+
+
+def queries() -> dict[str, QueryFn]:
+    return {k: fn for k, (fn, _) in registry().items()}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
-        "weekly_noshow": oracle.weekly_noshow(),
-        "prepay_funnel": oracle.prepay_funnel(),
-        "priority_ontime": oracle.priority_ontime(),
-        "kpi_snapshot": oracle.kpi_snapshot(),
-        "dropoff_counts": oracle.dropoff_counts(),
-        "dropoff_report": oracle.dropoff_report(),
-        "reminder_by_type": oracle.reminder_by_type(),
-        "daily_active_users": oracle.daily_active_users(),
-        "conversion_funnel": oracle.conversion_funnel(),
-        "cohort_retention": oracle.cohort_retention(),
-        "delay_bands": oracle.delay_bands(),
-        "feature_adoption": oracle.feature_adoption(),
-        "merge_compliance": oracle.merge_compliance(),
-    }
+    return {k: sql() for k, (_, sql) in registry().items() if sql is not None}
