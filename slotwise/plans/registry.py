@@ -25,8 +25,18 @@ COHORT_AS_OF = dt.date(1996, 1, 1)
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[str, tuple[SparkSession, Tables]] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables.from_fixture(spark, sf_dir)
+    """The fixture tables of ``sf_dir``, built once per session (lazy DataFrames over the
+    materialised domain parquet; every query still executes against the whole tables)."""
+    hit = _TABLES.get(sf_dir)
+    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
+        return hit[1]
+    t = Tables.from_fixture(spark, sf_dir)
+    _TABLES[sf_dir] = (spark, t)
+    return t
 
 
 def _q(fn, **kw) -> QueryFn:

@@ -41,10 +41,18 @@ class Tables:
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str,
                      cal_start: dt.date = FIXTURE_CAL_START,
-                     cal_end: dt.date = FIXTURE_CAL_END) -> "Tables":
-        """Tables derived from the driver's parquet files (see ``sources.adapter``)."""
-        from slotwise.sources.adapter import load_fixture
+                     cal_end: dt.date = FIXTURE_CAL_END, materialize: bool = True) -> "Tables":
+        """Tables derived from the driver's parquet files (see ``sources.adapter``).
 
+        ``materialize`` writes the derived tables once to the shared checkpoint folder and
+        reads them back (lineage cut, real size statistics for the optimizer); otherwise
+        the derivation stays inline in every plan.
+        """
+        from slotwise.sources.adapter import load_fixture, materialize_fixture
+
+        if materialize:
+            root = materialize_fixture(spark, sf_dir)
+            return cls.from_parquet(spark, root, cal_start, cal_end, normalize=False)
         t = load_fixture(spark, sf_dir)
         return cls(calendar=build_calendar(spark, cal_start, cal_end),
                    cal_start=cal_start, cal_end=cal_end, **t)
