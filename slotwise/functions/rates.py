@@ -41,3 +41,19 @@ def count_if(cond) -> Column:
 def count_when(cond) -> Column:
     """``COUNT(*)`` of the rows meeting ``cond`` (0, not NULL, on empty input)."""
     return F.count(F.when(cond, F.lit(1)))
+
+
+def round_ratio(num, den, scale: int = 2, precision: int = 18) -> Column:
+    """``num / den`` rounded half away from zero to ``scale`` decimals, exactly.
+
+    ``num`` and ``den`` are integral; the quotient is formed with exact decimal remainder
+    arithmetic, so no intermediate rounding can move a value across a tie.
+    """
+    n = col_(num).cast("decimal(38,0)")
+    d = F.nullif(col_(den).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    unit = F.lit(10 ** scale).cast("decimal(38,0)")
+    x = F.abs(n) * unit * 2 + d
+    y = d * 2
+    q = ((x - x % y) / y).cast("decimal(38,0)")
+    signed = F.when(n < 0, -q).otherwise(q)
+    return (signed / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
