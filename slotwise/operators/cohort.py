@@ -47,9 +47,11 @@ def cohort_retention(t, as_of: dt.date, months: int = 12, corrected: bool = Fals
         g = active.groupBy("cohort_month", "activity_month").agg(F.count(F.lit(1)).alias("retained_customers"))
         g = g.join(sizes, "cohort_month")
     else:
-        never = cm.where(~F.col("ever_active") & (F.col("month") == F.col("cohort_month"))) \
-                  .select("customer_id", "cohort_month", F.lit(None).cast("date").alias("activity_month"))
-        g = (active.unionByName(never).groupBy("cohort_month", "activity_month")
+        # one pass: active months keep their month, a never-active customer contributes its
+        # single cohort-month row with a NULL month (the unmatched side of the definition)
+        rows = cm.where(F.col("active") | (~F.col("ever_active") & (F.col("month") == F.col("cohort_month"))))
+        g = (rows.select("cohort_month", F.when(F.col("active"), F.col("month")).alias("activity_month"))
+             .groupBy("cohort_month", "activity_month")
              .agg(F.count(F.col("activity_month")).alias("retained_customers"),
                   F.count(F.lit(1)).alias("cohort_size")))
     return g.select(
