@@ -51,7 +51,12 @@ def merge_compliance(t, as_of: dt.date, weeks: int = 4, corrected: bool = False)
     at year ends) and week_start is the week's first calendar day; the rate is unaffected.
     ``corrected=True`` reports plain pair counts plus the number of distinct reminders.
     """
-    p = overlap_pairs(t, as_of, weeks)
+    return weekly_compliance(t, overlap_pairs(t, as_of, weeks), corrected)
+
+
+def weekly_compliance(t, per_reminder: DataFrame, corrected: bool = False) -> DataFrame:
+    """Week rollup of per-reminder pair counts (event_id, delivery_status, sent_date, n_pairs)."""
+    p = per_reminder
     merged = F.col("delivery_status") == "merged"
     daily = p.groupBy("sent_date").agg(
         F.sum("n_pairs").alias("pairs"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slotwise.operators import (activity, adoption, cohort, delays, dropoff, funnel, kpi, merge,
                                 quality, refresh, reminders, weekly)
 from slotwise.plans import consumer, oracle
+from slotwise.streaming import incremental
 from slotwise.sources import schemas
 from slotwise.sources.tables import Tables
 
@@ -63,6 +64,8 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "priority_ontime": (_q(weekly.priority_ontime, as_of=AS_OF), oracle.priority_ontime),
         "feature_adoption": (_q(adoption.feature_adoption, as_of=AS_OF), oracle.feature_adoption),
         "merge_compliance": (_q(merge.merge_compliance, as_of=AS_OF), oracle.merge_compliance),
+        "merge_compliance_incremental": (_q(incremental.merge_compliance_incremental, as_of=AS_OF),
+                                         oracle.merge_compliance),
         # intended metrics where the definition has a grain or semantics defect
         "kpi_snapshot_corrected": (_q(kpi.kpi_snapshot, as_of=AS_OF, corrected=True),
                                    lambda: oracle.kpi_snapshot(corrected=True)),

@@ -33,6 +33,7 @@ class Tables:
     calendar: DataFrame
     cal_start: dt.date = DEFAULT_START
     cal_end: dt.date = DEFAULT_END
+    root: str | None = None        # folder of the parquet tables, when read from files
 
     @property
     def spark(self) -> SparkSession:
@@ -74,7 +75,7 @@ class Tables:
                     df = df.withColumn(c, F.lower(F.trim(F.col(c))))
             dfs[name] = df
         return cls(calendar=build_calendar(spark, cal_start, cal_end),
-                   cal_start=cal_start, cal_end=cal_end, **dfs)
+                   cal_start=cal_start, cal_end=cal_end, root=root, **dfs)
 
     def with_tables(self, **kw) -> "Tables":
         return replace(self, **kw)
