@@ -52,3 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="slotwise-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle sizing for a given input volume: enough initial shuffle partitions that each
+    holds about ``target_partition_bytes`` (AQE coalesces the small ones and splits skewed
+    ones at run time), and scan splits of the same size."""
+    parts = max(total_cores * 2, min(100_000, input_bytes // target_partition_bytes + 1))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

@@ -212,12 +212,18 @@ def materialize_fixture(spark: SparkSession, sf_dir: str, root: str | None = Non
     done = lambda name: local and os.path.exists(f"{base.removeprefix('file:')}/{name}/_SUCCESS")
     if all(done(n) for n in FIXTURE_TABLES):
         return base
+    from concurrent.futures import ThreadPoolExecutor
+
     tables = load_fixture(spark, sf_dir)
-    for name in FIXTURE_TABLES:
-        if done(name):
-            continue
+
+    def write(name: str) -> None:
         df = tables[name]
         if name in SORT_KEYS:
             df = df.sortWithinPartitions(SORT_KEYS[name])
         write_table(df, f"{base}/{name}")
+
+    # the five writes are independent jobs; submitting them together keeps all cores busy
+    todo = [n for n in FIXTURE_TABLES if not done(n)]
+    with ThreadPoolExecutor(max_workers=len(todo) or 1) as pool:
+        list(pool.map(write, todo))
     return base

@@ -51,3 +51,10 @@ def build_calendar(spark: SparkSession, start: dt.date = DEFAULT_START,
 
 def calendar_days(start: dt.date, end: dt.date) -> int:
     return (end - start).days + 1
+
+
+def seed_calendar(spark: SparkSession, path: str, start: dt.date = DEFAULT_START,
+                  end: dt.date = DEFAULT_END) -> str:
+    """Write the calendar to ``path`` unless it already exists (idempotent seed)."""
+    build_calendar(spark, start, end).write.mode("ignore").parquet(path)
+    return path
