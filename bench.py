@@ -31,7 +31,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = get_session(f"local[{cpus}]", app="slotwise-bench", shuffle_partitions=int(cpus) * 2,
+    parts = int(os.environ.get("BENCH_SHUFFLE", str(int(cpus) * 2)))
+    spark = get_session(f"local[{cpus}]", app="slotwise-bench", shuffle_partitions=parts,
                         extra={"spark.driver.memory": "16g"})
     qs = registry.queries()
     names = [n for n in HEADLINE if n in qs]
