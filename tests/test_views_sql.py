@@ -32,3 +32,16 @@ def test_seed_calendar_is_idempotent(spark, tmp_path):
     seed_calendar(spark, p, dt.date(2025, 1, 1), dt.date(2025, 1, 31))
     seed_calendar(spark, p, dt.date(2025, 1, 1), dt.date(2025, 12, 31))   # guard: no rewrite
     assert spark.read.parquet(p).count() == 31
+
+
+def test_nightly_job_writes_views(spark, tmp_path):
+    from slotwise.plans import nightly
+
+    t = _tables(spark)
+    out = str(tmp_path / "out")
+    res = nightly.run_nightly(t, dt.date(2025, 7, 9), out)
+    assert res["views"]["vw_dropoff_counts"] == 5 and res["views"]["vw_dropoff_signals"] == 6
+    assert spark.read.parquet(f"{out}/vw_daily_active_users/as_of=2025-07-09").count() == 91
+    again = nightly.run_nightly(t, dt.date(2025, 7, 9), out)      # idempotent re-run
+    assert again["views"] == res["views"]
+    assert spark.read.parquet(f"{out}/vw_weekly_noshow").select("as_of").distinct().count() == 1
