@@ -39,13 +39,15 @@ def cohort_retention(t, as_of: dt.date, months: int = 12, corrected: bool = Fals
     divides by it and drops the NULL-month rows.
     """
     cm = customer_months(t).where(F.col("cohort_month") >= F.lit(months_before(as_of, months)))
-    active = cm.where(F.col("active")).select("customer_id", "cohort_month",
-                                              F.col("month").alias("activity_month"))
     if corrected:
-        sizes = cm.where(F.col("month") == F.col("cohort_month")).groupBy("cohort_month") \
-                  .agg(F.count(F.lit(1)).alias("cohort_size"))
-        g = active.groupBy("cohort_month", "activity_month").agg(F.count(F.lit(1)).alias("retained_customers"))
-        g = g.join(sizes, "cohort_month")
+        # one aggregation gives both counts: customers active in each (cohort, month), and the
+        # customers whose first month is that month; a window over the (small) aggregated rows
+        # of a cohort sums the latter into the cohort size
+        g = (cm.groupBy("cohort_month", F.col("month").alias("activity_month"))
+             .agg(F.count(F.when(F.col("active"), 1)).alias("retained_customers"),
+                  F.count(F.when(F.col("month") == F.col("cohort_month"), 1)).alias("starters"))
+             .withColumn("cohort_size", F.sum("starters").over(Window.partitionBy("cohort_month")))
+             .where(F.col("retained_customers") > 0))
     else:
         # one pass: active months keep their month, a never-active customer contributes its
         # single cohort-month row with a NULL month (the unmatched side of the definition)

@@ -47,7 +47,7 @@ def orphans(t) -> DataFrame:
     for child, ccol, parent, pcol in schemas.FOREIGN_KEYS:
         per_key = (_table(t, child).where(F.col(ccol).isNotNull())
                    .groupBy(F.col(ccol).alias("k")).agg(F.count(F.lit(1)).alias("n")))
-        keys = _table(t, parent).select(F.col(pcol).alias("k"))
+        keys = _table(t, parent).select(F.col(pcol).alias("k")).distinct()   # a duplicated parent key stays one row
         missing = per_key.join(keys, "k", "left_anti")
         parts.append(missing.agg(
             F.count(F.lit(1)).alias("orphan_keys"),
