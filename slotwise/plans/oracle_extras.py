@@ -27,29 +27,29 @@ KPI_CARDS = [("no_show_rate", "no_show_rate_pct", "30.0", "40.0"),
              ("priority_ontime", "priority_ontime_pct", "90.0", "90.0")]
 
 
-def _kpi_long() -> str:
-    snap = _sub(o.kpi_snapshot())
+def _kpi_long(as_of: str = AS_OF) -> str:
+    snap = _sub(o.kpi_snapshot(as_of))
     return "\nUNION ALL\n".join(
         f"SELECT '{k}' AS kpi, {c} AS value, CAST({t} AS DECIMAL(3,1)) AS target_pct, "
         f"CAST({r} AS DECIMAL(3,1)) AS reference_pct FROM {snap} s" for k, c, t, r in KPI_CARDS)
 
 
-def kpi_attainment() -> str:
+def kpi_attainment(as_of: str = AS_OF) -> str:
     n = "(CAST(value * 10 AS BIGINT) * 100)"
     d = "CAST(reference_pct * 10 AS BIGINT)"
     q, r = f"({n} // {d})", f"({n} % {d})"
     even = f"CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END"
     return f"SELECT kpi, value, target_pct, reference_pct, CAST(LEAST({even}, 100) AS INTEGER) AS attainment_pct " \
-           f"FROM ({_kpi_long()}) k"
+           f"FROM ({_kpi_long(as_of)}) k"
 
 
-def kpi_target_status() -> str:
+def kpi_target_status(as_of: str = AS_OF) -> str:
     met = "CASE WHEN kpi = 'no_show_rate' THEN value <= target_pct ELSE value >= target_pct END"
     tgt = "'Target ' || CAST(CAST(target_pct AS INTEGER) AS VARCHAR) || '%'"
     line = (f"CASE WHEN kpi = 'no_show_rate' THEN {tgt} || ' · Baseline ' || "
             f"CAST(CAST(reference_pct AS INTEGER) AS VARCHAR) || '%' ELSE {tgt} END")
     return (f"SELECT kpi, value, target_pct, {met} AS met, "
-            f"{line} || CASE WHEN {met} THEN ' ✓' ELSE '' END AS target_line FROM ({_kpi_long()}) k")
+            f"{line} || CASE WHEN {met} THEN ' ✓' ELSE '' END AS target_line FROM ({_kpi_long(as_of)}) k")
 
 
 def weekly_secondary_kpis(as_of: str = AS_OF) -> str:
