@@ -46,9 +46,8 @@ def dropoff_counts(t, as_of: dt.date, days: int = 30) -> DataFrame:
     win = window_appointments(t, as_of, days)
     ids = win.select("appointment_id")
     rem = t.reminder_events.join(ids, "appointment_id", "left_semi").select(
-        (F.col("delivery_status") == "sent") & F.col("customer_action").isNull(),
-        F.col("delivery_status") == "failed")
-    rem = rem.toDF("r_no_action", "r_failed")
+        ((F.col("delivery_status") == "sent") & F.col("customer_action").isNull()).alias("r_no_action"),
+        (F.col("delivery_status") == "failed").alias("r_failed"))
     dl = t.delay_events.join(ids, "appointment_id", "left_semi").select(
         (F.col("reschedule_shown") & (F.col("customer_action").isNull() | (F.col("customer_action") == "none")))
         .alias("d_no_action"))
