@@ -16,8 +16,9 @@ MERGE_REMINDER_TYPES = ["2h", "1h"]
 
 
 def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_SECONDS) -> DataFrame:
-    """Per 2h/1h reminder sent since ``as_of - weeks``: the number of delay events on the same
-    appointment whose second boundary is less than ``window`` seconds away.
+    """For 2h/1h reminders sent since ``as_of - weeks``: the delay events on the same
+    appointment whose second boundary is less than ``window`` seconds away, as rows
+    (reminder, delay second, number of delay events at that second).
 
     Interval join without candidate blow-up: delay events are first counted per
     (appointment, second), so however many events one appointment has, a reminder meets at
@@ -39,7 +40,8 @@ def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_
     probes = rem.withColumn("bucket", F.explode(F.array(
         *[F.floor(F.col("rs") / window) + k for k in (-1, 0, 1)])))
     pairs = probes.join(dl, ["appointment_id", "bucket"]).where(F.abs(F.col("ds") - F.col("rs")) < window)
-    return pairs.groupBy("event_id", "delivery_status", "sent_date").agg(F.sum("n").alias("n_pairs"))
+    # one row per (reminder, delay second) with the number of delay events at that second
+    return pairs.select("event_id", "delivery_status", "sent_date", F.col("n").alias("n_pairs"))
 
 
 def merge_compliance(t, as_of: dt.date, weeks: int = 4, corrected: bool = False) -> DataFrame:
@@ -55,15 +57,16 @@ def merge_compliance(t, as_of: dt.date, weeks: int = 4, corrected: bool = False)
 
 
 def weekly_compliance(t, per_reminder: DataFrame, corrected: bool = False) -> DataFrame:
-    """Week rollup of per-reminder pair counts (event_id, delivery_status, sent_date, n_pairs)."""
+    """Week rollup of pair counts: rows (event_id, delivery_status, sent_date, n_pairs), one
+    or more per reminder."""
     p = per_reminder
     merged = F.col("delivery_status") == "merged"
-    daily = p.groupBy("sent_date").agg(
-        F.sum("n_pairs").alias("pairs"),
-        F.sum(F.when(merged, F.col("n_pairs")).otherwise(0)).alias("merged"),
-        F.sum(F.when(F.col("delivery_status") != "merged", F.col("n_pairs")).otherwise(0)).alias("violations"),
-        F.count(F.lit(1)).alias("reminders"),
-    )
+    aggs = [F.sum("n_pairs").alias("pairs"),
+            F.sum(F.when(merged, F.col("n_pairs")).otherwise(0)).alias("merged"),
+            F.sum(F.when(F.col("delivery_status") != "merged", F.col("n_pairs")).otherwise(0)).alias("violations")]
+    # the distinct-reminder count is only reported by the corrected form
+    aggs.append(F.count_distinct("event_id").alias("reminders") if corrected else F.lit(0).alias("reminders"))
+    daily = p.groupBy("sent_date").agg(*aggs)
     cal = t.cal()
     week_days = cal.groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"), F.count(F.lit(1)).alias("days_in_week"))
