@@ -70,13 +70,10 @@ def reminder_engagement_weekly(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     send date, counted as in the by-type view (existing appointment, any action)."""
     start = weeks_before(as_of, weeks)
     rem = (t.reminder_events.where(F.col("sent_at") >= ts_lit(start))
-           .join(t.appointments.select("appointment_id"), "appointment_id", "left_semi")
-           .groupBy(F.col("sent_at").cast("date").alias("d"))
-           .agg(F.count(F.lit(1)).alias("sent"), count_if(F.col("customer_action").isNotNull()).alias("engaged")))
-    cal = t.cal().select("full_date", "year", "week_number")
-    return (rem.join(cal, rem.d == cal.full_date).groupBy("year", "week_number")
-            .agg(F.sum("sent").cast("bigint").alias("reminders_sent"),
-                 F.sum("engaged").cast("bigint").alias("reminders_engaged"))
+           .join(t.appointments.select("appointment_id"), "appointment_id", "left_semi"))
+    return (weekly.with_week(rem, F.col("sent_at").cast("date"), t).groupBy("year", "week_number")
+            .agg(F.count(F.lit(1)).alias("reminders_sent"),
+                 count_if(F.col("customer_action").isNotNull()).alias("reminders_engaged"))
             .withColumn("reminder_engagement_pct", pct("reminders_engaged", "reminders_sent")))
 
 

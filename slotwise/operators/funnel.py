@@ -27,26 +27,23 @@ def conversion_funnel(t, as_of: dt.date, months: int = 6, corrected: bool = Fals
 
     Steps are not nested.  appointment_id is the key of appointments and the reminder flags
     are one row per appointment, so the distinct counts of the definition are plain
-    conditional counts (checked by ``quality.duplicate_keys``); they are taken per day
-    before the calendar join, so the month rollup touches one row per day.
+    conditional counts (checked by ``quality.duplicate_keys``), partially aggregated per task
+    after the map-side calendar join.
     """
     start = months_before(as_of, months)
     appts = t.appointments.where(F.col("scheduled_at") >= ts_lit(start)).select(
         "appointment_id", "status", F.col("scheduled_at").cast("date").alias("d"))
     j = appts.join(reminder_flags(t, corrected), "appointment_id", "left")
-    daily = j.groupBy("d").agg(
-        F.count(F.lit(1)).alias("step1_bookings"),
-        count_if(F.col("was_delivered") == 1).alias("step2_reminder_delivered"),
-        count_if(F.col("was_engaged") == 1).alias("step3_reminder_engaged"),
-        count_if(F.col("status").isin("attended", "rescheduled")).alias("step4_attended_rescheduled"),
-        count_if(F.col("status") == "no_show").alias("step5_no_show"),
-    )
     cal = t.cal().select("full_date", "year", "month_number", "month_name")
     steps = ["step1_bookings", "step2_reminder_delivered", "step3_reminder_engaged",
              "step4_attended_rescheduled", "step5_no_show"]
-    m = (daily.join(cal, daily.d == cal.full_date)
+    m = (j.join(cal, j.d == cal.full_date)
          .groupBy("year", "month_number", "month_name")
-         .agg(*[F.sum(c).cast("bigint").alias(c) for c in steps]))
+         .agg(F.count(F.lit(1)).alias("step1_bookings"),
+              count_if(F.col("was_delivered") == 1).alias("step2_reminder_delivered"),
+              count_if(F.col("was_engaged") == 1).alias("step3_reminder_engaged"),
+              count_if(F.col("status").isin("attended", "rescheduled")).alias("step4_attended_rescheduled"),
+              count_if(F.col("status") == "no_show").alias("step5_no_show")))
     return m.select(
         "year", "month_number", "month_name",
         F.make_date("year", "month_number", F.lit(1)).alias("month_start"),

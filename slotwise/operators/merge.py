@@ -65,14 +65,13 @@ def weekly_compliance(t, per_reminder: DataFrame, corrected: bool = False) -> Da
             F.sum(F.when(merged, F.col("n_pairs")).otherwise(0)).alias("merged"),
             F.sum(F.when(F.col("delivery_status") != "merged", F.col("n_pairs")).otherwise(0)).alias("violations")]
     # the distinct-reminder count is only reported by the corrected form
-    aggs.append(F.count_distinct("event_id").alias("reminders") if corrected else F.lit(0).alias("reminders"))
-    daily = p.groupBy("sent_date").agg(*aggs)
+    if corrected:
+        aggs.append(F.count_distinct("event_id").alias("reminders"))
     cal = t.cal()
     week_days = cal.groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"), F.count(F.lit(1)).alias("days_in_week"))
-    wk = (daily.join(cal.select("full_date", "year", "week_number"), daily.sent_date == cal.full_date)
-          .groupBy("year", "week_number")
-          .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("pairs", "merged", "violations", "reminders")])
+    wk = (p.join(cal.select("full_date", "year", "week_number"), p.sent_date == cal.full_date)
+          .groupBy("year", "week_number").agg(*aggs)
           .join(F.broadcast(week_days), ["year", "week_number"]))
     k = F.lit(1) if corrected else F.col("days_in_week")
     out = [

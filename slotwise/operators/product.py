@@ -87,14 +87,11 @@ def attendance_after_reminder(t, as_of: dt.date, days: int = 30) -> DataFrame:
 
 def delivery_alerts(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """M5: weekly reminder delivery with the two alert rules (failure > 5 %, delivery < 95 %)."""
-    r = (t.reminder_events.where(F.col("sent_at") >= ts_lit(weeks_before(as_of, weeks)))
-         .groupBy(F.col("sent_at").cast("date").alias("d"))
-         .agg(F.count(F.lit(1)).alias("n"), count_if(F.col("delivery_status") == "failed").alias("failed"),
-              count_if(F.col("delivery_status") == "sent").alias("delivered")))
-    cal = t.cal().select("full_date", "year", "week_number")
-    wk = (r.join(cal, r.d == cal.full_date).groupBy("year", "week_number")
-          .agg(F.min("full_date").alias("week_start"),
-               *[F.sum(c).cast("bigint").alias(c) for c in ("n", "failed", "delivered")]))
+    r = t.reminder_events.where(F.col("sent_at") >= ts_lit(weeks_before(as_of, weeks)))
+    wk = weekly.with_week(r, F.col("sent_at").cast("date"), t).groupBy("year", "week_number").agg(
+        F.min("full_date").alias("week_start"), F.count(F.lit(1)).alias("n"),
+        count_if(F.col("delivery_status") == "failed").alias("failed"),
+        count_if(F.col("delivery_status") == "sent").alias("delivered"))
     fail, deliv = pct("failed", "n"), pct("delivered", "n")
     return wk.select("year", "week_number", "week_start", F.col("n").alias("reminders"), "failed", "delivered",
                      fail.alias("failure_rate_pct"), deliv.alias("delivery_rate_pct"),
@@ -191,13 +188,10 @@ def confirmation_sla(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
          .select("appointment_id", "sent_at"))
     j = c.join(t.appointments.select("appointment_id", "created_at"), "appointment_id")
     secs = boundary_diff("second", "created_at", "sent_at")
-    daily = j.groupBy(F.col("sent_at").cast("date").alias("d")).agg(
-        F.count(F.lit(1)).alias("confirmations"), count_if(secs < CONFIRMATION_SLA_SECONDS).alias("within_sla"))
-    cal = t.cal().select("full_date", "year", "week_number")
-    wk = daily.join(cal, daily.d == cal.full_date).groupBy("year", "week_number").agg(
+    wk = weekly.with_week(j, F.col("sent_at").cast("date"), t).groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"),
-        F.sum("confirmations").cast("bigint").alias("confirmations"),
-        F.sum("within_sla").cast("bigint").alias("within_sla"))
+        F.count(F.lit(1)).alias("confirmations"),
+        count_if(secs < CONFIRMATION_SLA_SECONDS).alias("within_sla"))
     return wk.withColumn("sla_pct", pct("within_sla", "confirmations"))
 
 

@@ -1,9 +1,10 @@
 """V2 weekly no-show trend, V9 pre-payment funnel, V10 priority on-time.
 
 Plan shape shared by the three: filter the fact on its timestamp (pushed into the parquet
-scan), aggregate per calendar day (partial aggregation before the only fact shuffle, so a
-hot day or salon costs one row per task), join the day aggregates to the broadcast
-calendar, then aggregate days into (year, US week).
+scan), attach (year, US week) from the broadcast calendar with a map-side hash join (which
+also drops dates outside the calendar, as the definition's inner join does), and aggregate
+per week.  The aggregation is partial in every task, so only one row per week and task is
+shuffled, however many rows a hot day or salon has.
 """
 
 from __future__ import annotations
@@ -25,14 +26,12 @@ TARGET_PRIORITY = "90.0"
 ON_TIME_MINUTES = 5
 
 
-def _days_to_weeks(daily: DataFrame, t: Tables, start: dt.date, sums: list[str]) -> DataFrame:
-    cal = t.cal().where(F.col("full_date") >= F.lit(start)).select("full_date", "year", "week_number")
-    joined = daily.join(cal, daily.d == cal.full_date)
-    return joined.groupBy("year", "week_number").agg(
-        F.min("full_date").alias("week_start"),
-        F.max("full_date").alias("week_end"),
-        *[(F.sum(c) if c.startswith("x_") else F.sum(c).cast("bigint")).alias(c) for c in sums],
-    )
+def with_week(df: DataFrame, date_col, t: Tables, start: dt.date | None = None) -> DataFrame:
+    """Attach full_date, year and week_number of ``date_col`` (inner join to the calendar)."""
+    cal = t.cal().select("full_date", "year", "week_number")
+    if start is not None:
+        cal = cal.where(F.col("full_date") >= F.lit(start))
+    return df.join(cal, date_col == cal.full_date)
 
 
 def weekly_noshow(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
@@ -42,13 +41,14 @@ def weekly_noshow(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
     unrounded rates with the previous week present in the result.
     """
     start = weeks_before(as_of, weeks)
-    daily = (t.appointments.where(F.col("scheduled_at") >= ts_lit(start))
-             .groupBy(F.col("scheduled_at").cast("date").alias("d"))
-             .agg(F.count(F.lit(1)).alias("total_appointments"),
-                  count_if(F.col("status") == "no_show").alias("no_shows"),
-                  count_if(F.col("status") == "attended").alias("attended"),
-                  count_if(F.col("status") == "rescheduled").alias("rescheduled")))
-    wk = _days_to_weeks(daily, t, start, ["total_appointments", "no_shows", "attended", "rescheduled"])
+    a = t.appointments.where(F.col("scheduled_at") >= ts_lit(start)).select("scheduled_at", "status")
+    wk = with_week(a, F.col("scheduled_at").cast("date"), t, start).groupBy("year", "week_number").agg(
+        F.min("full_date").alias("week_start"),
+        F.max("full_date").alias("week_end"),
+        F.count(F.lit(1)).alias("total_appointments"),
+        count_if(F.col("status") == "no_show").alias("no_shows"),
+        count_if(F.col("status") == "attended").alias("attended"),
+        count_if(F.col("status") == "rescheduled").alias("rescheduled"))
     w = Window.orderBy("year", "week_number")
     rate = raw_pct("no_shows", "total_appointments")
     return wk.select(
@@ -66,31 +66,27 @@ def prepay_funnel(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     start = weeks_before(as_of, weeks)
     enabled = t.salons.where(F.col("prepay_enabled")).select("salon_id")
     paid = F.col("payment_status") == "successful"
-    daily = (t.appointments.where(F.col("created_at") >= ts_lit(start))
-             .join(enabled, "salon_id", "left_semi")
-             .groupBy(F.col("created_at").cast("date").alias("d"))
-             .agg(F.count(F.lit(1)).alias("eligible_bookings"),
-                  count_if(F.col("payment_status") != "not_applicable").alias("chose_prepay"),
-                  count_if(paid).alias("paid_successfully"),
-                  count_if(F.col("payment_status") == "failed").alias("payment_failed"),
-                  count_if(F.col("payment_status") == "expired").alias("slot_hold_expired"),
-                  F.sum(F.when(paid, F.col("discount_pct"))).alias("x_disc_sum"),
-                  F.count(F.when(paid, F.col("discount_pct"))).alias("disc_n"),
-                  F.sum(F.when(paid, F.col("amount_paid")).otherwise(F.lit(0))).alias("x_revenue"),
-                  F.sum(F.when(paid, F.col("original_price") * F.col("discount_pct") / F.lit(100))
-                        .otherwise(F.lit(0))).alias("x_discount_value")))
-    wk = _days_to_weeks(daily, t, start, ["eligible_bookings", "chose_prepay", "paid_successfully",
-                                          "payment_failed", "slot_hold_expired", "x_disc_sum", "disc_n",
-                                          "x_revenue", "x_discount_value"])
+    a = (t.appointments.where(F.col("created_at") >= ts_lit(start))
+         .join(enabled, "salon_id", "left_semi"))
+    wk = with_week(a, F.col("created_at").cast("date"), t, start).groupBy("year", "week_number").agg(
+        F.min("full_date").alias("week_start"),
+        F.count(F.lit(1)).alias("eligible_bookings"),
+        count_if(F.col("payment_status") != "not_applicable").alias("chose_prepay"),
+        count_if(paid).alias("paid_successfully"),
+        count_if(F.col("payment_status") == "failed").alias("payment_failed"),
+        count_if(F.col("payment_status") == "expired").alias("slot_hold_expired"),
+        F.avg(F.when(paid, F.col("discount_pct"))).alias("avg_discount"),
+        F.sum(F.when(paid, F.col("amount_paid")).otherwise(F.lit(0))).alias("revenue"),
+        F.sum(F.when(paid, F.col("original_price") * F.col("discount_pct") / F.lit(100))
+              .otherwise(F.lit(0))).alias("discount_value"))
     return wk.select(
         "year", "week_number", "week_start", "eligible_bookings", "chose_prepay", "paid_successfully",
         "payment_failed", "slot_hold_expired",
         pct("paid_successfully", "eligible_bookings").alias("adoption_rate_pct"),
         dec(TARGET_PREPAY).alias("adoption_target_pct"),
-        F.coalesce((F.col("x_disc_sum") / F.nullif(F.col("disc_n"), F.lit(0))).cast("decimal(9,6)"),
-                   dec("0").cast("decimal(9,6)")).alias("avg_discount_pct"),
-        F.coalesce(F.col("x_revenue"), F.lit(0)).cast("decimal(38,2)").alias("prepay_revenue"),
-        F.coalesce(F.col("x_discount_value"), F.lit(0)).cast("decimal(38,6)").alias("discount_value_given"),
+        F.coalesce(F.col("avg_discount").cast("decimal(9,6)"), dec("0").cast("decimal(9,6)")).alias("avg_discount_pct"),
+        F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(38,2)").alias("prepay_revenue"),
+        F.coalesce(F.col("discount_value"), F.lit(0)).cast("decimal(38,6)").alias("discount_value_given"),
     )
 
 
@@ -100,12 +96,12 @@ def priority_ontime(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     start = weeks_before(as_of, weeks)
     mins = boundary_diff("minute", "scheduled_at", "marked_at")
     attended = F.col("status") == "attended"
-    daily = (t.appointments.where(F.col("is_priority") & (F.col("scheduled_at") >= ts_lit(start)))
-             .groupBy(F.col("scheduled_at").cast("date").alias("d"))
-             .agg(F.count(F.lit(1)).alias("priority_appointments"),
-                  count_if(attended & (mins <= ON_TIME_MINUTES)).alias("on_time_count"),
-                  count_if(attended & (mins > ON_TIME_MINUTES)).alias("late_count")))
-    wk = _days_to_weeks(daily, t, start, ["priority_appointments", "on_time_count", "late_count"])
+    a = t.appointments.where(F.col("is_priority") & (F.col("scheduled_at") >= ts_lit(start)))
+    wk = with_week(a, F.col("scheduled_at").cast("date"), t, start).groupBy("year", "week_number").agg(
+        F.min("full_date").alias("week_start"),
+        F.count(F.lit(1)).alias("priority_appointments"),
+        count_if(attended & (mins <= ON_TIME_MINUTES)).alias("on_time_count"),
+        count_if(attended & (mins > ON_TIME_MINUTES)).alias("late_count"))
     return wk.select(
         "year", "week_number", "week_start", "priority_appointments", "on_time_count", "late_count",
         pct("on_time_count", "priority_appointments").alias("on_time_rate_pct"),
