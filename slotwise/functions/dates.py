@@ -89,3 +89,34 @@ def fiscal_week(d) -> Column:
 
 def month_start(d) -> Column:
     return F.trunc(col_(d), "month")
+
+
+# Time-partitioned layouts carry a month partition column next to the event time, named
+# below; window filters also constrain that column so the scan skips whole directories.
+PARTITION_COLUMNS = {"scheduled_at": "scheduled_month", "sent_at": "sent_month",
+                     "triggered_at": "triggered_month"}
+MONTH_FORMAT = "yyyy-MM"
+
+
+def month_key(d: dt.date | dt.datetime) -> str:
+    return f"{d.year:04d}-{d.month:02d}"
+
+
+def since(df, col: str, start: dt.date | dt.datetime):
+    """``df`` rows with ``col >= start``; on a month-partitioned layout the same bound is also
+    put on the partition column, which Spark evaluates as a partition filter."""
+    out = df.where(F.col(col) >= ts_lit(start))
+    pcol = PARTITION_COLUMNS.get(col)
+    if pcol and pcol in df.columns:
+        out = out.where(F.col(pcol) >= F.lit(month_key(start)))
+    return out
+
+
+def within(df, col: str, start: dt.date, end_exclusive: dt.date):
+    """``df`` rows with ``start <= col < end_exclusive`` (partition-pruned like ``since``)."""
+    out = since(df, col, start).where(F.col(col) < ts_lit(end_exclusive))
+    pcol = PARTITION_COLUMNS.get(col)
+    if pcol and pcol in df.columns:
+        last = end_exclusive - dt.timedelta(days=1)
+        out = out.where(F.col(pcol) <= F.lit(month_key(last)))
+    return out

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import date_lit, days_before, ts_lit
+from slotwise.functions.dates import date_lit, days_before, within
 
 # --- fixed values: statuses that count as activity ----------------------------------------
 ACTIVE_STATUSES = ["attended", "cancelled", "rescheduled", "no_show"]
@@ -20,15 +20,13 @@ def activity(t, start: dt.date, end: dt.date) -> DataFrame:
     Rows are not de-duplicated: every consumer counts distinct values per day, which a
     duplicate cannot change, so the extra shuffle of a DISTINCT would buy nothing.
     """
-    lo, hi = ts_lit(start), ts_lit(end + dt.timedelta(days=1))
-    appts = (t.appointments
-             .where(F.col("status").isin(ACTIVE_STATUSES) & (F.col("scheduled_at") >= lo)
-                    & (F.col("scheduled_at") < hi))
+    hi = end + dt.timedelta(days=1)
+    appts = (within(t.appointments, "scheduled_at", start, hi)
+             .where(F.col("status").isin(ACTIVE_STATUSES))
              .select(F.col("scheduled_at").cast("date").alias("activity_date"),
                      "customer_id", "salon_id", "appointment_id"))
-    acted = (t.reminder_events
-             .where(F.col("customer_action").isNotNull() & F.col("sent_at").isNotNull()
-                    & (F.col("sent_at") >= lo) & (F.col("sent_at") < hi))
+    acted = (within(t.reminder_events, "sent_at", start, hi)
+             .where(F.col("customer_action").isNotNull())
              .select("appointment_id", F.col("sent_at").cast("date").alias("activity_date")))
     via_reminders = acted.join(t.appointments.select("appointment_id", "customer_id", "salon_id"),
                                "appointment_id")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import days_before, ts_lit
+from slotwise.functions.dates import days_before, since
 from slotwise.functions.rates import count_if, dec, pct
 
 # --- fixed values: band ranks and labels, reschedule target ---------------------------------
@@ -52,9 +52,10 @@ def delay_bands(t, as_of: dt.date | None = None, days: int | None = None,
     counted once per *delay event* of the appointment.  ``corrected=True`` counts
     appointments and, with ``days``, keeps appointments scheduled in the last ``days`` days.
     """
-    appts = t.appointments.select("appointment_id", "status", "scheduled_at")
+    appts = t.appointments
     if corrected and days is not None and as_of is not None:
-        appts = appts.where(F.col("scheduled_at") >= ts_lit(days_before(as_of, days)))
+        appts = since(appts, "scheduled_at", days_before(as_of, days))
+    appts = appts.select("appointment_id", "status")
     j = delay_per_appointment(t).join(appts, "appointment_id")
     label = band_label(F.col("worst_band_rank"))
     att, ns = F.col("status") == "attended", F.col("status") == "no_show"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import months_before, ts_lit
+from slotwise.functions.dates import months_before, since
 from slotwise.functions.rates import count_if, pct
 
 
@@ -31,7 +31,7 @@ def conversion_funnel(t, as_of: dt.date, months: int = 6, corrected: bool = Fals
     after the map-side calendar join.
     """
     start = months_before(as_of, months)
-    appts = t.appointments.where(F.col("scheduled_at") >= ts_lit(start)).select(
+    appts = since(t.appointments, "scheduled_at", start).select(
         "appointment_id", "status", F.col("scheduled_at").cast("date").alias("d"))
     j = appts.join(reminder_flags(t, corrected), "appointment_id", "left")
     cal = t.cal().select("full_date", "year", "month_number", "month_name")

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import boundary_diff, days_before, ts_lit, weeks_before
+from slotwise.functions.dates import boundary_diff, days_before, since, weeks_before
 from slotwise.functions.rates import dec, flag, pct
 
 # --- fixed values: KPI targets ------------------------------------------------------------
@@ -31,7 +31,7 @@ ON_TIME_MINUTES = 5
 
 def window_appointments(t, as_of: dt.date, days: int = 30) -> DataFrame:
     """Appointments scheduled on or after ``as_of - days`` (no upper bound)."""
-    return t.appointments.where(F.col("scheduled_at") >= ts_lit(days_before(as_of, days)))
+    return since(t.appointments, "scheduled_at", days_before(as_of, days))
 
 
 def _indicator_rows(t, as_of: dt.date, days: int, corrected: bool) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import epoch_seconds, ts_lit, weeks_before
+from slotwise.functions.dates import epoch_seconds, since, weeks_before
 from slotwise.functions.rates import pct
 
 # --- fixed values: rule parameters -----------------------------------------------------------
@@ -27,13 +27,13 @@ def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_
     appointment spreads over buckets and AQE can split what remains.
     """
     start = weeks_before(as_of, weeks)
-    rem = (t.reminder_events
-           .where(F.col("reminder_type").isin(MERGE_REMINDER_TYPES) & (F.col("sent_at") >= ts_lit(start)))
+    rem = (since(t.reminder_events, "sent_at", start)
+           .where(F.col("reminder_type").isin(MERGE_REMINDER_TYPES))
            .select("event_id", "appointment_id", "delivery_status",
                    F.col("sent_at").cast("date").alias("sent_date"),
                    epoch_seconds("sent_at").alias("rs")))
     lo = dt.datetime(start.year, start.month, start.day) - dt.timedelta(seconds=window)
-    dl = (t.delay_events.where(F.col("triggered_at") >= ts_lit(lo))
+    dl = (since(t.delay_events, "triggered_at", lo)
           .select("appointment_id", epoch_seconds("triggered_at").alias("ds"))
           .groupBy("appointment_id", "ds").agg(F.count(F.lit(1)).alias("n"))
           .withColumn("bucket", F.floor(F.col("ds") / window)))

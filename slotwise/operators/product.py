@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import boundary_diff, ts_lit, weeks_before
+from slotwise.functions.dates import boundary_diff, since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct, round_ratio
 from slotwise.operators import funnel, weekly
 from slotwise.operators.kpi import window_appointments
@@ -46,7 +46,7 @@ def recovered_revenue(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     this is (0.4 n - s) x P / (weeks x c), rounded half away from zero to cents (negative
     when the salon is above the baseline).
     """
-    a = t.appointments.where(F.col("scheduled_at") >= ts_lit(weeks_before(as_of, weeks)))
+    a = since(t.appointments, "scheduled_at", weeks_before(as_of, weeks))
     g = a.groupBy("salon_id").agg(
         F.count(F.lit(1)).alias("bookings"),
         count_if(F.col("status") == "no_show").alias("no_shows"),
@@ -87,7 +87,7 @@ def attendance_after_reminder(t, as_of: dt.date, days: int = 30) -> DataFrame:
 
 def delivery_alerts(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """M5: weekly reminder delivery with the two alert rules (failure > 5 %, delivery < 95 %)."""
-    r = t.reminder_events.where(F.col("sent_at") >= ts_lit(weeks_before(as_of, weeks)))
+    r = since(t.reminder_events, "sent_at", weeks_before(as_of, weeks))
     wk = weekly.with_week(r, F.col("sent_at").cast("date"), t).groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"), F.count(F.lit(1)).alias("n"),
         count_if(F.col("delivery_status") == "failed").alias("failed"),
@@ -183,8 +183,8 @@ def delay_check_coverage(t, as_of: dt.date, days: int = 30) -> DataFrame:
 
 def confirmation_sla(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Confirmations sent less than 60 s after the booking was created, per send week."""
-    c = (t.reminder_events.where((F.col("reminder_type") == "confirmation")
-                                 & (F.col("sent_at") >= ts_lit(weeks_before(as_of, weeks))))
+    c = (since(t.reminder_events, "sent_at", weeks_before(as_of, weeks))
+         .where(F.col("reminder_type") == "confirmation")
          .select("appointment_id", "sent_at"))
     j = c.join(t.appointments.select("appointment_id", "created_at"), "appointment_id")
     secs = boundary_diff("second", "created_at", "sent_at")

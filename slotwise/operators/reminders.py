@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import days_before, ts_lit
+from slotwise.functions.dates import days_before, since
 from slotwise.functions.rates import count_if, dec, pct
 
 # --- fixed values: reminder type order and engagement target -----------------------------
@@ -30,7 +30,7 @@ def reminder_by_type(t, as_of: dt.date, days: int = 30, corrected: bool = False)
     read, so the join is an existence check and cannot fan out).  Engagement as written
     counts any non-NULL action, including 'none'.
     """
-    rem = (t.reminder_events.where(F.col("sent_at") >= ts_lit(days_before(as_of, days)))
+    rem = (since(t.reminder_events, "sent_at", days_before(as_of, days))
            .join(t.appointments.select("appointment_id"), "appointment_id", "left_semi"))
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import boundary_diff, ts_lit, weeks_before
+from slotwise.functions.dates import boundary_diff, since, ts_lit, weeks_before
 from slotwise.functions.rates import count_if, dec, pct, raw_pct
 from slotwise.sources.tables import Tables
 
@@ -41,7 +41,7 @@ def weekly_noshow(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
     unrounded rates with the previous week present in the result.
     """
     start = weeks_before(as_of, weeks)
-    a = t.appointments.where(F.col("scheduled_at") >= ts_lit(start)).select("scheduled_at", "status")
+    a = since(t.appointments, "scheduled_at", start).select("scheduled_at", "status")
     wk = with_week(a, F.col("scheduled_at").cast("date"), t, start).groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"),
         F.max("full_date").alias("week_end"),
@@ -96,7 +96,7 @@ def priority_ontime(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     start = weeks_before(as_of, weeks)
     mins = boundary_diff("minute", "scheduled_at", "marked_at")
     attended = F.col("status") == "attended"
-    a = t.appointments.where(F.col("is_priority") & (F.col("scheduled_at") >= ts_lit(start)))
+    a = since(t.appointments, "scheduled_at", start).where(F.col("is_priority"))
     wk = with_week(a, F.col("scheduled_at").cast("date"), t, start).groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"),
         F.count(F.lit(1)).alias("priority_appointments"),

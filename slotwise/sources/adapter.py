@@ -179,10 +179,7 @@ def load_fixture(spark: SparkSession, sf_dir: str):
 
 
 FIXTURE_TABLES = ("salons", "customers", "appointments", "reminder_events", "delay_events")
-# Sort keys of the written tables: the rolling-window filters hit these columns, and sorted
-# files give parquet row-group statistics that let the scan skip old data.
-SORT_KEYS = {"appointments": "scheduled_at", "reminder_events": "sent_at", "delay_events": "triggered_at"}
-ADAPTER_VERSION = "2"
+ADAPTER_VERSION = "3"
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> str:
@@ -220,10 +217,15 @@ def materialize_fixture(spark: SparkSession, sf_dir: str, root: str | None = Non
     tables = load_fixture(spark, sf_dir)
 
     def write(name: str) -> None:
+        from slotwise.sources.layout import TIME_COLUMNS, time_partitioned
+
         df = tables[name]
-        if name in SORT_KEYS:
-            df = df.sortWithinPartitions(SORT_KEYS[name])
-        write_table(df, f"{base}/{name}")
+        if name in TIME_COLUMNS:
+            # month-partitioned and time-sorted: window filters prune directories and row groups
+            df, pcol = time_partitioned(df, name)
+            write_table(df, f"{base}/{name}", partition_by=[pcol])
+        else:
+            write_table(df, f"{base}/{name}")
 
     # the five writes are independent jobs; submitting them together keeps all cores busy
     todo = [n for n in FIXTURE_TABLES if not done(n)]
