@@ -38,8 +38,9 @@ def main():
                 loc = next((ln for ln in lines if ln.startswith("Location")), "")
                 table = re.sub(r".*/", "", loc.rstrip("]"))
                 pf = next((ln for ln in lines if ln.startswith("PushedFilters")), "PushedFilters: []")
+                part = next((ln for ln in lines if ln.startswith("PartitionFilters")), "")
                 rs = next((ln for ln in lines if ln.startswith("ReadSchema")), "")
-                scans.append(f"- `{table}` — {pf} — {rs}")
+                scans.append(f"- `{table}` — {part + ' — ' if part else ''}{pf} — {rs}")
         n_ex = sum("Exchange" in ln and "Broadcast" not in ln and "Reused" not in ln for ln in tree)
         out += [f"## {name}", "", f"shuffle exchanges: {n_ex}", "", "```", *tree, "```", "", *scans, ""]
     with open("PLANS.md", "w") as f:
