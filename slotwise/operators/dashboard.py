@@ -86,6 +86,7 @@ def weekly_secondary_kpis(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     o = weekly.priority_ontime(t, as_of, weeks).select("year", "week_number", F.col("on_time_rate_pct")
                                                        .alias("priority_ontime_pct"))
     j = r.join(p, ["year", "week_number"], "full").join(o, ["year", "week_number"], "full")
+    # one row per calendar week: bounded by the calendar size
     first_day = t.cal().groupBy("year", "week_number").agg(F.min("full_date").alias("week_start"))
     return j.join(F.broadcast(first_day), ["year", "week_number"], "left").select(
         "year", "week_number", "week_start", "reminder_engagement_pct", "prepay_adoption_pct",

@@ -72,7 +72,7 @@ def weekly_compliance(t, per_reminder: DataFrame, corrected: bool = False) -> Da
         F.min("full_date").alias("week_start"), F.count(F.lit(1)).alias("days_in_week"))
     wk = (p.join(cal.select("full_date", "year", "week_number"), p.sent_date == cal.full_date)
           .groupBy("year", "week_number").agg(*aggs)
-          .join(F.broadcast(week_days), ["year", "week_number"]))
+          .join(F.broadcast(week_days), ["year", "week_number"]))   # <= calendar weeks: bounded
     k = F.lit(1) if corrected else F.col("days_in_week")
     out = [
         "year", "week_number", "week_start",
