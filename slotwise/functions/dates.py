@@ -104,7 +104,9 @@ def month_key(d: dt.date | dt.datetime) -> str:
 
 def since(df, col: str, start: dt.date | dt.datetime):
     """``df`` rows with ``col >= start``; on a month-partitioned layout the same bound is also
-    put on the partition column, which Spark evaluates as a partition filter."""
+    put on the partition column, which Spark evaluates as a partition filter.  The partition
+    column must be the month of ``col`` (as ``sources.layout`` writes it); a DataFrame that
+    rewrites ``col`` must drop or recompute it."""
     out = df.where(F.col(col) >= ts_lit(start))
     pcol = PARTITION_COLUMNS.get(col)
     if pcol and pcol in df.columns:
