@@ -53,8 +53,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--tables", required=True, help="root folder of the domain parquet tables")
     p.add_argument("--out", required=True)
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
+    p.add_argument("--input-bytes", type=int, default=0,
+                   help="approximate input volume; sizes shuffle partitions and scan splits")
+    p.add_argument("--cores", type=int, default=0, help="total executor cores (with --input-bytes)")
     a = p.parse_args(argv)
-    spark = get_session()
+    from slotwise.session import recommended_conf
+
+    extra = recommended_conf(a.input_bytes, a.cores or 8) if a.input_bytes else None
+    spark = get_session(extra=extra)
     print(run_nightly(Tables.from_parquet(spark, a.tables), a.as_of, a.out))
 
 

@@ -57,11 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def recommended_conf(input_bytes: int, total_cores: int,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Shuffle sizing for a given input volume: enough initial shuffle partitions that each
-    holds about ``target_partition_bytes`` (AQE coalesces the small ones and splits skewed
-    ones at run time), and scan splits of the same size."""
-    parts = max(total_cores * 2, min(100_000, input_bytes // target_partition_bytes + 1))
+                     target_partition_bytes: int = 256 << 20,
+                     shuffle_fraction: float = 0.1) -> dict[str, str]:
+    """Shuffle sizing for a given input volume.
+
+    The metrics shuffle pruned columns after partial aggregation, a small fraction of what they
+    scan, so the initial shuffle partition count is sized to ``shuffle_fraction`` of the input
+    at ``target_partition_bytes`` each (at least two per core, at most 20,000 to keep the
+    map x reduce block count manageable); AQE then coalesces small partitions and splits skewed
+    ones at run time.  Scan splits use the same target size.
+    """
+    parts = int(input_bytes * shuffle_fraction // target_partition_bytes) + 1
+    parts = max(total_cores * 2, min(20_000, parts))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
