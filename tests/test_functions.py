@@ -62,3 +62,13 @@ def test_calendar_default_range(spark):
     r = cal.where("full_date = date'2025-01-04'").first()
     assert (r.date_key, r.day_of_week, r.day_name, r.week_number, r.month_name, r.quarter, r.year,
             r.is_weekend, r.fiscal_week) == (20250104, 7, "Saturday", 1, "January", 1, 2025, True, 1)
+
+
+def test_recommended_conf_bounds():
+    from slotwise.session import recommended_conf
+
+    big = recommended_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "20000"
+    small = recommended_conf(10 * 2**30, 64)
+    assert small["spark.sql.shuffle.partitions"] == "128"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
