@@ -57,36 +57,37 @@ def orphans(t) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _rules(name: str, df: DataFrame):
-    """(column, rule, violation condition) triples for one table."""
-    rules = []
+def rules(name: str) -> list[tuple[str, str, str]]:
+    """(column, rule, SQL predicate of a violating row) for one table, from the schema's
+    NOT NULL flags, enum domains and declared lengths."""
+    out = []
     for f in schemas.SCHEMAS[name].fields:
         if not f.nullable:
-            rules.append((f.name, "not_null", F.col(f.name).isNull()))
+            out.append((f.name, "not_null", f"{f.name} IS NULL"))
     for (tbl, col), values in schemas.DOMAINS.items():
         if tbl == name:
-            rules.append((col, "domain", F.col(col).isNotNull() & ~F.col(col).isin(values)))
+            lst = ", ".join(f"'{v}'" for v in values)
+            out.append((col, "domain", f"{col} IS NOT NULL AND {col} NOT IN ({lst})"))
     for (tbl, col), n in schemas.MAX_LENGTHS.items():
         if tbl == name:
-            rules.append((col, f"max_length_{n}", F.length(F.col(col)) > n))
-    return rules
+            out.append((col, f"max_length_{n}", f"length({col}) > {n}"))
+    return out
 
 
 def domain_violations(t) -> DataFrame:
     """Q3: one row per (table, column, rule) with the number of violating rows (0 allowed).
 
-    One pass and one global aggregate per table, every rule a conditional count.
+    One pass and one global aggregate per table, every rule a conditional count.  The rules
+    are data (generated from the schema), so they are handed to Spark as SQL predicates.
     """
     parts = []
     for name in TABLES:
-        df = _table(t, name)
-        rules = _rules(name, df)
-        agg = df.agg(*[count_when(cond).alias(f"r{i}") for i, (_, _, cond) in enumerate(rules)])
-        args = [F.lit(len(rules))]
-        for i, (col, rule, _) in enumerate(rules):
-            args += [F.lit(col), F.lit(rule), F.col(f"r{i}")]
-        parts.append(agg.select(F.lit(name).alias("table_name"),
-                                F.stack(*args).alias("column_name", "rule", "violations")))
+        rs = rules(name)
+        agg = _table(t, name).agg(*[F.expr(f"count(CASE WHEN {pred} THEN 1 END)").alias(f"r{i}")
+                                    for i, (_, _, pred) in enumerate(rs)])
+        cells = ", ".join(f"'{col}', '{rule}', r{i}" for i, (col, rule, _) in enumerate(rs))
+        parts.append(agg.selectExpr(f"'{name}' AS table_name",
+                                    f"stack({len(rs)}, {cells}) AS (column_name, rule, violations)"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -100,19 +100,7 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
 
 
 def _q3_rules():
-    rules = []
-    for t in quality.TABLES:
-        for f in schemas.SCHEMAS[t].fields:
-            if not f.nullable:
-                rules.append((t, f.name, "not_null", f"{f.name} IS NULL"))
-        for (tbl, col), values in schemas.DOMAINS.items():
-            if tbl == t:
-                lst = ", ".join(f"'{v}'" for v in values)
-                rules.append((t, col, "domain", f"{col} IS NOT NULL AND {col} NOT IN ({lst})"))
-        for (tbl, col), n in schemas.MAX_LENGTHS.items():
-            if tbl == t:
-                rules.append((t, col, f"max_length_{n}", f"length({col}) > {n}"))
-    return rules
+    return [(t, col, rule, pred) for t in quality.TABLES for col, rule, pred in quality.rules(t)]
 
 
 def _consumers() -> dict[str, tuple[QueryFn, Callable[[], str]]]:
