@@ -81,3 +81,32 @@ def merge_compliance_incremental(t, as_of: dt.date, weeks: int = 4, corrected: b
     pairs = spark.read.schema("event_id string, delivery_status string, sent_at timestamp_ntz, "
                               "delay_event_id string").parquet(path)
     return merge_compliance_from_pairs(t, pairs, as_of, weeks, corrected)
+
+
+# --- daily reminder delivery (M5 alerts) as an event-time windowed aggregation -------------
+
+def delivery_daily_stream(spark: SparkSession, root: str, sink: str, checkpoint: str,
+                          lateness: str = "1 day", available_now: bool = True) -> StreamingQuery:
+    """Reminders sent per calendar day with failures and deliveries, appended once a day is
+    closed: a day is final when the watermark (latest send time seen minus ``lateness``) has
+    passed its end; reminders arriving later than that are not counted."""
+    from slotwise.operators.product import DELIVERY_ALERT_PCT, FAILURE_ALERT_PCT
+
+    rem = (spark.readStream.schema(schemas.REMINDER_EVENTS).parquet(f"{root}/reminder_events")
+           .where(F.col("sent_at").isNotNull())
+           .withColumn("sent_time", F.timestamp_seconds(epoch_seconds("sent_at")))
+           .withWatermark("sent_time", lateness))
+    daily = rem.groupBy(F.window("sent_time", "1 day").alias("day")).agg(
+        F.count(F.lit(1)).alias("reminders"),
+        F.count(F.when(F.col("delivery_status") == "failed", 1)).alias("failed"),
+        F.count(F.when(F.col("delivery_status") == "sent", 1)).alias("delivered"))
+    out = daily.select(
+        # windows are aligned to UTC days of the epoch-based event time: date from epoch days
+        F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int")).alias("sent_date"),
+        "reminders", "failed", "delivered",
+        (F.col("failed") * 100 > F.col("reminders") * FAILURE_ALERT_PCT).alias("failure_alert"),
+        (F.col("delivered") * 100 < F.col("reminders") * DELIVERY_ALERT_PCT).alias("delivery_alert"))
+    w = (out.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
+    return w.start(sink)

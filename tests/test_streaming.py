@@ -47,3 +47,39 @@ def test_incremental_pairs_equal_batch(spark, tmp_path):
     batch = {tuple(r) for r in merge.merge_compliance(t, as_of).collect()}
     inc = {tuple(r) for r in incremental.merge_compliance_from_pairs(t, pairs, as_of).collect()}
     assert batch == inc and batch
+
+
+def test_daily_delivery_windows_close_with_watermark(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root, state = str(tmp_path / "tables"), str(tmp_path / "state")
+    day = lambda d, h: D(2025, 7, d, h)
+    rems = [dict(event_id=f"r{i}", appointment_id="a1", sent_at=day(1 + i % 3, 9 + i % 5),
+                 delivery_status=["sent", "failed", "merged"][i % 3]) for i in range(30)]
+    t1 = make_tables(spark, appointments=[dict(appointment_id="a1", scheduled_at=D(2025, 7, 9))], reminders=rems)
+    _write(t1, root, "overwrite")
+
+    def run():
+        q = incremental.delivery_daily_stream(spark, root, f"{state}/out", f"{state}/ck")
+        q.awaitTermination()
+        return {r.sent_date: r for r in spark.read.parquet(f"{state}/out").collect()}
+
+    first = run()
+    # latest send is 3 July 13:00, lateness 1 day: only 1 July is closed after the first run
+    assert sorted(first) == [dt.date(2025, 7, 1)]
+    batch = (t1.reminder_events.groupBy(F.col("sent_at").cast("date").alias("d"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("delivery_status") == "failed", 1)).alias("f"))
+             .collect())
+    want = {r.d: (r.n, r.f) for r in batch}
+    assert (first[dt.date(2025, 7, 1)].reminders, first[dt.date(2025, 7, 1)].failed) == want[dt.date(2025, 7, 1)]
+
+    # new data a week later advances the watermark; a reminder for 1 July arriving now is late
+    late = [dict(event_id="late", appointment_id="a1", sent_at=day(1, 10), delivery_status="failed"),
+            dict(event_id="new", appointment_id="a1", sent_at=day(9, 10), delivery_status="sent")]
+    t2 = make_tables(spark, salons=[{"salon_id": "s9"}], reminders=late)
+    _write(t2, root, "append")
+    second = run()
+    assert sorted(second) == [dt.date(2025, 7, d) for d in (1, 2, 3)]
+    for d in (1, 2, 3):
+        got = second[dt.date(2025, 7, d)]
+        assert (got.reminders, got.failed) == want[dt.date(2025, 7, d)]     # late row not counted
