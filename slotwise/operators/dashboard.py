@@ -43,13 +43,18 @@ def _kpi_long(t, as_of: dt.date) -> DataFrame:
     return snap.select(F.stack(*args).alias("kpi", "value", "target_pct", "reference_pct"))
 
 
+def attainment_pct(value, reference) -> F.Column:
+    """Bar width: value / reference in whole percent (half to even), capped at 100."""
+    ratio = F.lit(100) * value / reference
+    return F.least(F.bround(ratio, 0), F.lit(100)).cast("int")
+
+
 def kpi_attainment(t, as_of: dt.date) -> DataFrame:
     """Bar width per KPI card = value / reference, in whole percent (half to even),
     capped at 100; the no-show card is measured against its baseline."""
     k = _kpi_long(t, as_of)
-    ratio = F.lit(100) * F.col("value") / F.col("reference_pct")
     return k.select("kpi", "value", "target_pct", "reference_pct",
-                    F.least(F.bround(ratio, 0), F.lit(100)).cast("int").alias("attainment_pct"))
+                    attainment_pct(F.col("value"), F.col("reference_pct")).alias("attainment_pct"))
 
 
 def kpi_target_status(t, as_of: dt.date) -> DataFrame:
