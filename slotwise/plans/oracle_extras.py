@@ -315,3 +315,19 @@ def retry_rule_check() -> str:
 SELECT reminder_type, COUNT(*) AS reminders, {cnt("retry_count > 2")} AS over_retry_limit,
        CAST(MAX(retry_count) AS INTEGER) AS max_retry_count
 FROM reminder_events GROUP BY reminder_type""")
+
+
+def delivery_daily_closed(lateness_days: int = 1) -> str:
+    """Days closed by the watermark (latest send time minus the lateness) after one run."""
+    failed = "COUNT(CASE WHEN delivery_status = 'failed' THEN 1 END)"
+    delivered = "COUNT(CASE WHEN delivery_status = 'sent' THEN 1 END)"
+    return with_tables(f"""
+r AS (SELECT * FROM reminder_events WHERE sent_at IS NOT NULL),
+wm AS (SELECT MAX(sent_at) - INTERVAL {lateness_days} DAY AS w FROM r)
+SELECT CAST(r.sent_at AS DATE) AS sent_date, COUNT(*) AS reminders, {failed} AS failed,
+       {delivered} AS delivered,
+       {failed} * 100 > COUNT(*) * 5 AS failure_alert,
+       {delivered} * 100 < COUNT(*) * 95 AS delivery_alert
+FROM r CROSS JOIN wm
+GROUP BY CAST(r.sent_at AS DATE)
+HAVING CAST(CAST(r.sent_at AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")

@@ -110,3 +110,16 @@ def delivery_daily_stream(spark: SparkSession, root: str, sink: str, checkpoint:
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
     return w.start(sink)
+
+
+def delivery_daily_incremental(t, lateness_days: int = 1) -> DataFrame:
+    """Run the daily delivery stream once over the tables' folders (one availableNow run) and
+    return the closed days it has written."""
+    if not t.root:
+        raise ValueError("incremental refresh needs tables stored as parquet folders (Tables.root)")
+    spark = t.spark
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/delivery_daily-{uuid.uuid4().hex[:12]}"
+    q = delivery_daily_stream(spark, t.root, f"{base}/daily", f"{base}/_checkpoint",
+                              lateness=f"{lateness_days} day")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/daily")
