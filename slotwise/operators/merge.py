@@ -21,10 +21,10 @@ def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_
     (reminder, delay second, number of delay events at that second).
 
     Interval join without candidate blow-up: delay events are first counted per
-    (appointment, second), so however many events one appointment has, a reminder meets at
-    most ``2*window - 1`` rows; the equi key is (appointment, time bucket of ``window`` s)
-    with the reminder probing its own and both neighbouring buckets, so skew on one
-    appointment spreads over buckets and AQE can split what remains.
+    (appointment, second), so however many events one appointment has, a reminder probes at
+    most ``3*window`` candidate rows (its own and both neighbouring ``window``-second buckets
+    of the equi key (appointment, bucket)), of which at most ``2*window - 1`` match; skew on
+    one appointment spreads over buckets and AQE can split what remains.
     """
     start = weeks_before(as_of, weeks)
     rem = (since(t.reminder_events, "sent_at", start)
