@@ -52,11 +52,18 @@ def delay_bands(t, as_of: dt.date | None = None, days: int | None = None,
     counted once per *delay event* of the appointment.  ``corrected=True`` counts
     appointments and, with ``days``, keeps appointments scheduled in the last ``days`` days.
     """
+    return bands_from_per_appointment(t, delay_per_appointment(t), as_of, days, corrected)
+
+
+def bands_from_per_appointment(t, per_appt: DataFrame, as_of: dt.date | None = None,
+                               days: int | None = None, corrected: bool = False) -> DataFrame:
+    """Band rollup of per-appointment delay aggregates (appointment_id, worst_band_rank,
+    n_events, n_offered, n_rescheduled), from the batch aggregate or the streamed state."""
     appts = t.appointments
     if corrected and days is not None and as_of is not None:
         appts = since(appts, "scheduled_at", days_before(as_of, days))
     appts = appts.select("appointment_id", "status")
-    j = delay_per_appointment(t).join(appts, "appointment_id")
+    j = per_appt.join(appts, "appointment_id")
     label = band_label(F.col("worst_band_rank"))
     att, ns = F.col("status") == "attended", F.col("status") == "no_show"
     if corrected:

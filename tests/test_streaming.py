@@ -83,3 +83,31 @@ def test_daily_delivery_windows_close_with_watermark(spark, tmp_path):
     for d in (1, 2, 3):
         got = second[dt.date(2025, 7, d)]
         assert (got.reminders, got.failed) == want[dt.date(2025, 7, d)]     # late row not counted
+
+
+def test_delay_state_updates_equal_batch(spark, tmp_path):
+    from slotwise.operators import delays
+
+    root, state = str(tmp_path / "tables"), str(tmp_path / "state")
+    appts = [dict(appointment_id=f"a{i}", scheduled_at=D(2025, 7, 1 + i, 10),
+                  status=["attended", "no_show"][i % 2]) for i in range(4)]
+    first = [dict(event_id=f"d{i}", appointment_id=f"a{i % 4}", triggered_at=D(2025, 7, 1, 9), delay_minutes=5 * i,
+                  delay_band=["on_schedule", "minor"][i % 2], reschedule_shown=i % 3 == 0,
+                  customer_action="reschedule" if i % 3 == 0 else None) for i in range(8)]
+    _write(make_tables(spark, appointments=appts, delays=first), root, "overwrite")
+    log = f"{state}/log"
+    incremental.delay_state_stream(spark, root, log, f"{state}/ck").awaitTermination()
+    # later: a0 gets a major delay (its worst band changes), a new appointment's events arrive
+    later = [dict(event_id="x1", appointment_id="a0", triggered_at=D(2025, 7, 1, 9, 30), delay_minutes=75,
+                  delay_band="major", reschedule_shown=True, customer_action="reschedule")]
+    _write(make_tables(spark, salons=[{"salon_id": "s9"}], delays=later), root, "append")
+    incremental.delay_state_stream(spark, root, log, f"{state}/ck").awaitTermination()
+
+    from slotwise.sources.tables import Tables
+    t = Tables.from_parquet(spark, root, normalize=False)
+    latest = {r.appointment_id: tuple(r) for r in incremental.latest_delay_state(spark, log).collect()}
+    batch = {r.appointment_id: tuple(r) for r in
+             delays.delay_per_appointment(t).select(*incremental.STATE_COLUMNS).collect()}
+    assert latest == batch and latest["a0"][2] == 4
+    streamed = delays.bands_from_per_appointment(t, incremental.latest_delay_state(spark, log))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, delays.delay_bands(t).collect()))
