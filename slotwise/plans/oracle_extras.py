@@ -331,3 +331,21 @@ SELECT CAST(r.sent_at AS DATE) AS sent_date, COUNT(*) AS reminders, {failed} AS
 FROM r CROSS JOIN wm
 GROUP BY CAST(r.sent_at AS DATE)
 HAVING CAST(CAST(r.sent_at AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")
+
+
+def active_customers_closed(lateness_days: int = 1) -> str:
+    """Distinct active customers per day for the days the watermark has closed."""
+    return with_tables(f"""
+act AS (
+  SELECT a.scheduled_at AS act_time, a.customer_id FROM appointments a
+  WHERE a.status IN ('attended', 'cancelled', 'rescheduled', 'no_show')
+  UNION ALL
+  SELECT re.sent_at, a.customer_id
+  FROM reminder_events re JOIN appointments a ON a.appointment_id = re.appointment_id
+  WHERE re.customer_action IS NOT NULL AND re.sent_at IS NOT NULL
+),
+wm AS (SELECT MAX(act_time) - INTERVAL {lateness_days} DAY AS w FROM act)
+SELECT CAST(act.act_time AS DATE) AS activity_date, COUNT(DISTINCT act.customer_id) AS dau
+FROM act CROSS JOIN wm
+GROUP BY CAST(act.act_time AS DATE)
+HAVING CAST(CAST(act.act_time AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")

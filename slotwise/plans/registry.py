@@ -67,6 +67,8 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "merge_compliance_incremental": (_q(incremental.merge_compliance_incremental, as_of=AS_OF),
                                          oracle.merge_compliance),
         "delay_bands_incremental": (_q(incremental.delay_bands_incremental), oracle.delay_bands),
+        "active_customers_incremental": (_q(incremental.active_customers_incremental),
+                                         lambda: oracle_extras.active_customers_closed()),
         "delivery_daily_incremental": (_q(incremental.delivery_daily_incremental),
                                        lambda: oracle_extras.delivery_daily_closed()),
         # the reference-shaped (fan-out) plans, kept to measure the rewrites against

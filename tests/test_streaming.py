@@ -111,3 +111,19 @@ def test_delay_state_updates_equal_batch(spark, tmp_path):
     assert latest == batch and latest["a0"][2] == 4
     streamed = delays.bands_from_per_appointment(t, incremental.latest_delay_state(spark, log))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, delays.delay_bands(t).collect()))
+
+
+def test_active_customers_deduplicated_per_day(spark, tmp_path):
+    root, state = str(tmp_path / "tables"), str(tmp_path / "state")
+    appts = [dict(appointment_id="a1", customer_id="c1", scheduled_at=D(2025, 7, 1, 10), status="attended"),
+             dict(appointment_id="a2", customer_id="c2", scheduled_at=D(2025, 7, 1, 15), status="no_show"),
+             dict(appointment_id="a3", customer_id="c1", scheduled_at=D(2025, 7, 2, 11), status="confirmed"),
+             dict(appointment_id="a4", customer_id="c3", scheduled_at=D(2025, 7, 5, 9), status="attended")]
+    # c1 also acts on a reminder on 1 July (same day: counted once) and on 2 July (only activity that day)
+    rems = [dict(event_id="r1", appointment_id="a1", sent_at=D(2025, 7, 1, 8), customer_action="none"),
+            dict(event_id="r2", appointment_id="a3", sent_at=D(2025, 7, 2, 9), customer_action="cancel")]
+    _write(make_tables(spark, appointments=appts, reminders=rems), root, "overwrite")
+    incremental.active_customers_stream(spark, root, f"{state}/out", f"{state}/ck").awaitTermination()
+    got = {r.activity_date: r.dau for r in spark.read.parquet(f"{state}/out").collect()}
+    # latest activity 5 July 09:00, lateness 1 day: days up to 3 July are closed
+    assert got == {dt.date(2025, 7, 1): 2, dt.date(2025, 7, 2): 1}
