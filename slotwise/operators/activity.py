@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions.dates import date_lit, days_before, within
+from slotwise.sources.tables import Tables
 
 # --- fixed values: statuses that count as activity ----------------------------------------
 ACTIVE_STATUSES = ["attended", "cancelled", "rescheduled", "no_show"]
 
 
-def activity(t, start: dt.date, end: dt.date) -> DataFrame:
+def activity(t: Tables, start: dt.date, end: dt.date) -> DataFrame:
     """(activity_date, customer_id, salon_id, appointment_id) rows from appointments with an
     outcome and from reminders the customer acted on, restricted to [start, end] days.
 
@@ -33,7 +34,7 @@ def activity(t, start: dt.date, end: dt.date) -> DataFrame:
     return appts.unionByName(via_reminders)
 
 
-def daily_active_users(t, as_of: dt.date, days: int = 90, corrected: bool = False) -> DataFrame:
+def daily_active_users(t: Tables, as_of: dt.date, days: int = 90, corrected: bool = False) -> DataFrame:
     """V3: one row per calendar day in [as_of - days, as_of]; days without activity show 0.
 
     dau_7day_avg is the mean of the current and up to 6 previous rows, truncated to an

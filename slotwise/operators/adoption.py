@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.rates import pct
 from slotwise.operators.kpi import window_appointments
+from slotwise.sources.tables import Tables
 
 SALON_COLUMNS = ["salon_id", "salon_name", "city", "plan_tier", "onboarded_at", "reminder_30min",
                  "delay_tracker", "prepay_enabled", "prepay_discount"]
 
 
-def reminder_counts(t, corrected: bool = False) -> DataFrame:
+def reminder_counts(t: Tables, corrected: bool = False) -> DataFrame:
     """Per appointment: number of reminder events and of those with a customer action."""
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()
@@ -24,7 +25,7 @@ def reminder_counts(t, corrected: bool = False) -> DataFrame:
     )
 
 
-def feature_adoption(t, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
+def feature_adoption(t: Tables, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
     """One row per active salon (also without bookings): toggles, feature count and
     30-day no-show, reminder engagement and prepay adoption.
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import month_diff, months_before
 from slotwise.functions.rates import pct
+from slotwise.sources.tables import Tables
 
 # --- fixed values: statuses that count as a retained visit ---------------------------------
 RETAINED_STATUSES = ["attended", "rescheduled"]
 
 
-def customer_months(t) -> DataFrame:
+def customer_months(t: Tables) -> DataFrame:
     """One row per (customer, month of created_at): active flag and the customer's cohort.
 
     The first aggregation is partial per task, so a customer holding a large share of all
@@ -29,7 +30,7 @@ def customer_months(t) -> DataFrame:
               .withColumn("ever_active", F.max("active").over(w)))
 
 
-def cohort_retention(t, as_of: dt.date, months: int = 12, corrected: bool = False) -> DataFrame:
+def cohort_retention(t: Tables, as_of: dt.date, months: int = 12, corrected: bool = False) -> DataFrame:
     """V5: customers grouped by the month of their first booking (cohort) and the months
     with attended/rescheduled bookings (both by created_at).
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from slotwise.functions.dates import since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct
 from slotwise.operators import activity, adoption, cohort, delays, funnel, kpi, reminders, weekly
+from slotwise.sources.tables import Tables
 
 # --- fixed values: KPI cards (name, V1 column, target, divisor of the attainment bar) -------
 KPI_CARDS = [
@@ -35,7 +36,7 @@ RETENTION_MONTHS = 5      # M0..M4
 RETENTION_BANDS = [(70, "high"), (50, "mid")]
 
 
-def _kpi_long(t, as_of: dt.date) -> DataFrame:
+def _kpi_long(t: Tables, as_of: dt.date) -> DataFrame:
     snap = kpi.kpi_snapshot(t, as_of)
     args = [F.lit(len(KPI_CARDS))]
     for name, col, target, divisor in KPI_CARDS:
@@ -49,7 +50,7 @@ def attainment_pct(value, reference) -> F.Column:
     return F.least(F.bround(ratio, 0), F.lit(100)).cast("int")
 
 
-def kpi_attainment(t, as_of: dt.date) -> DataFrame:
+def kpi_attainment(t: Tables, as_of: dt.date) -> DataFrame:
     """Bar width per KPI card = value / reference, in whole percent (half to even),
     capped at 100; the no-show card is measured against its baseline."""
     k = _kpi_long(t, as_of)
@@ -57,7 +58,7 @@ def kpi_attainment(t, as_of: dt.date) -> DataFrame:
                     attainment_pct(F.col("value"), F.col("reference_pct")).alias("attainment_pct"))
 
 
-def kpi_target_status(t, as_of: dt.date) -> DataFrame:
+def kpi_target_status(t: Tables, as_of: dt.date) -> DataFrame:
     """Target line per KPI card with a check mark when met (no-show: at or below)."""
     k = _kpi_long(t, as_of)
     met = F.when(F.col("kpi").isin(*LOWER_IS_BETTER), F.col("value") <= F.col("target_pct")) \
@@ -70,7 +71,7 @@ def kpi_target_status(t, as_of: dt.date) -> DataFrame:
                     F.concat(line, F.when(met, F.lit(" ✓")).otherwise(F.lit(""))).alias("target_line"))
 
 
-def reminder_engagement_weekly(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def reminder_engagement_weekly(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Weekly reminder engagement (no view exists for it): reminders sent per US week of the
     send date, counted as in the by-type view (existing appointment, any action)."""
     start = weeks_before(as_of, weeks)
@@ -82,7 +83,7 @@ def reminder_engagement_weekly(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
             .withColumn("reminder_engagement_pct", pct("reminders_engaged", "reminders_sent")))
 
 
-def weekly_secondary_kpis(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def weekly_secondary_kpis(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Reminder engagement, prepay adoption and priority on-time per (year, US week),
     outer-joined so a week with any of the three appears (each side <= weeks+1 rows)."""
     r = reminder_engagement_weekly(t, as_of, weeks).select("year", "week_number", "reminder_engagement_pct")
@@ -98,7 +99,7 @@ def weekly_secondary_kpis(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
         "priority_ontime_pct")
 
 
-def recent_weeks_summary(t, as_of: dt.date, n: int = 4) -> DataFrame:
+def recent_weeks_summary(t: Tables, as_of: dt.date, n: int = 4) -> DataFrame:
     """D3: the latest ``n`` weeks of the no-show trend with the WoW arrow and an
     'In progress' status for weeks not closed at ``as_of`` (a top-n report: the limit is
     the feature)."""
@@ -109,7 +110,7 @@ def recent_weeks_summary(t, as_of: dt.date, n: int = 4) -> DataFrame:
                     F.when(F.col("week_end") >= F.lit(as_of), "In progress").otherwise("Complete").alias("status"))
 
 
-def weekly_dau(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def weekly_dau(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Daily active users reduced to one point per week (mean of the days shown)."""
     d = activity.daily_active_users(t, as_of, days=weeks * 7 - 1)
     return d.groupBy("year", "week_number").agg(
@@ -119,7 +120,7 @@ def weekly_dau(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
         F.max("dau").alias("max_dau"))
 
 
-def dau_trailing_rounded(t, as_of: dt.date, days: int = 90) -> DataFrame:
+def dau_trailing_rounded(t: Tables, as_of: dt.date, days: int = 90) -> DataFrame:
     """Trailing mean of up to 7 daily values rounded to the nearest integer."""
     d = activity.daily_active_users(t, as_of, days=days)
     w = Window.orderBy("activity_date").rowsBetween(-6, 0)
@@ -127,14 +128,14 @@ def dau_trailing_rounded(t, as_of: dt.date, days: int = 90) -> DataFrame:
                     F.round(F.avg("dau").over(w), 0).cast("bigint").alias("dau_7day_avg_rounded"))
 
 
-def monthly_outcome_share(t, as_of: dt.date) -> DataFrame:
+def monthly_outcome_share(t: Tables, as_of: dt.date) -> DataFrame:
     """Attended-or-rescheduled share against no-show share per month."""
     return funnel.conversion_funnel(t, as_of).select(
         "year", "month_number", "month_name", "month_start",
         F.col("pct_attended").alias("attended_share_pct"), F.col("pct_no_show").alias("no_show_share_pct"))
 
 
-def _retention_pivot(t, as_of: dt.date, value: str) -> DataFrame:
+def _retention_pivot(t: Tables, as_of: dt.date, value: str) -> DataFrame:
     c = cohort.cohort_retention(t, as_of, corrected=True)
     months = list(range(RETENTION_MONTHS))
     return (c.groupBy("cohort_month", "cohort_label", "cohort_size")
@@ -143,7 +144,7 @@ def _retention_pivot(t, as_of: dt.date, value: str) -> DataFrame:
                     *[F.col(str(m)).alias(f"m{m}") for m in months]))
 
 
-def retention_matrix(t, as_of: dt.date) -> DataFrame:
+def retention_matrix(t: Tables, as_of: dt.date) -> DataFrame:
     """Cohort x M0..M4 retention % (corrected cohort sizes); NULL where no data yet,
     with the colour band of each cell."""
     p = _retention_pivot(t, as_of, "retention_rate_pct")
@@ -156,19 +157,19 @@ def retention_matrix(t, as_of: dt.date) -> DataFrame:
     return p.select("*", *[band(f"m{m}").alias(f"band_m{m}") for m in range(RETENTION_MONTHS)]).drop("cohort_size")
 
 
-def retained_counts_matrix(t, as_of: dt.date) -> DataFrame:
+def retained_counts_matrix(t: Tables, as_of: dt.date) -> DataFrame:
     """Cohort x M0..M4 retained customers with the cohort size."""
     return _retention_pivot(t, as_of, "retained_customers")
 
 
-def delay_band_outcomes(t, as_of: dt.date | None = None) -> DataFrame:
+def delay_band_outcomes(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Attended / rescheduled-via-delay / no-show appointments per worst delay band."""
     return delays.delay_bands(t, corrected=True).select(
         "delay_band_label", "band_sort", F.col("ultimately_attended").alias("attended"),
         "rescheduled", F.col("ultimately_no_show").alias("no_show"))
 
 
-def feature_adoption_summary(t, as_of: dt.date | None = None) -> DataFrame:
+def feature_adoption_summary(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Active salons with each feature and with all three (one global aggregate)."""
     s = t.salons.where(F.col("is_active"))
     all3 = F.col("reminder_30min") & F.col("delay_tracker") & F.col("prepay_enabled")
@@ -180,7 +181,7 @@ def feature_adoption_summary(t, as_of: dt.date | None = None) -> DataFrame:
             .withColumn("full_adoption_pct", pct("with_all_three", "total_salons"))
 
 
-def salon_feature_table(t, as_of: dt.date) -> DataFrame:
+def salon_feature_table(t: Tables, as_of: dt.date) -> DataFrame:
     """Per salon toggles, the discount where prepay is on, and the three rates."""
     return adoption.feature_adoption(t, as_of).select(
         "salon_id", "salon_name", "reminder_30min", "delay_tracker", "prepay_enabled",
@@ -188,13 +189,13 @@ def salon_feature_table(t, as_of: dt.date) -> DataFrame:
         "reminder_engagement_pct", "prepay_adoption_pct", "salon_noshow_rate_pct")
 
 
-def reminder_performance(t, as_of: dt.date) -> DataFrame:
+def reminder_performance(t: Tables, as_of: dt.date) -> DataFrame:
     """Engagement and failure % per reminder type, in type order."""
     return reminders.reminder_by_type(t, as_of).select(
         "reminder_type", "sort_order", "engagement_rate_pct", "failure_rate_pct")
 
 
-def funnel_steps_long(t, as_of: dt.date) -> DataFrame:
+def funnel_steps_long(t: Tables, as_of: dt.date) -> DataFrame:
     """The funnel as (month, step, count, % of bookings) rows."""
     f = funnel.conversion_funnel(t, as_of)
     args = [F.lit(len(FUNNEL_STEPS))]
@@ -205,7 +206,7 @@ def funnel_steps_long(t, as_of: dt.date) -> DataFrame:
     return long.withColumn("pct_of_bookings", pct("step_count", "step1_bookings")).drop("step1_bookings")
 
 
-def funnel_step_loss(t, as_of: dt.date) -> DataFrame:
+def funnel_step_loss(t: Tables, as_of: dt.date) -> DataFrame:
     """Loss between consecutive nested steps in points of bookings (steps 2-3);
     outcome steps 4-5 are not subsets of step 3, so they carry no loss."""
     long = funnel_steps_long(t, as_of)
@@ -223,7 +224,7 @@ def funnel_targets(spark) -> DataFrame:
     return spark.createDataFrame([(s, Decimal(v)) for s, _, _, v in FUNNEL_STEPS], schema)
 
 
-def funnel_vs_targets(t, as_of: dt.date) -> DataFrame:
+def funnel_vs_targets(t: Tables, as_of: dt.date) -> DataFrame:
     """Each month's funnel step against the target funnel 100/95/60/70/30."""
     long = funnel_steps_long(t, as_of)
     tg = F.broadcast(funnel_targets(t.spark))     # five fixed rows

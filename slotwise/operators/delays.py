@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import days_before, since
 from slotwise.functions.rates import count_if, dec, pct
+from slotwise.sources.tables import Tables
 
 # --- fixed values: band ranks and labels, reschedule target ---------------------------------
 BAND_RANK = {"major": 4, "moderate": 3, "minor": 2}
@@ -29,7 +30,7 @@ def band_label(rank) -> F.Column:
             .when(rank == 2, BAND_LABEL[2]).otherwise(OTHER_BAND_LABEL)
 
 
-def delay_per_appointment(t) -> DataFrame:
+def delay_per_appointment(t: Tables) -> DataFrame:
     """One row per appointment with delay events: worst band, event count and sums.
 
     Carrying the counts lets the band rollup reproduce the per-event weighting of the
@@ -44,7 +45,7 @@ def delay_per_appointment(t) -> DataFrame:
     )
 
 
-def delay_bands(t, as_of: dt.date | None = None, days: int | None = None,
+def delay_bands(t: Tables, as_of: dt.date | None = None, days: int | None = None,
                 corrected: bool = False) -> DataFrame:
     """V8: appointments by worst delay band with reschedule offers, take-up and outcomes.
 
@@ -55,7 +56,7 @@ def delay_bands(t, as_of: dt.date | None = None, days: int | None = None,
     return bands_from_per_appointment(t, delay_per_appointment(t), as_of, days, corrected)
 
 
-def bands_from_per_appointment(t, per_appt: DataFrame, as_of: dt.date | None = None,
+def bands_from_per_appointment(t: Tables, per_appt: DataFrame, as_of: dt.date | None = None,
                                days: int | None = None, corrected: bool = False) -> DataFrame:
     """Band rollup of per-appointment delay aggregates (appointment_id, worst_band_rank,
     n_events, n_offered, n_rescheduled), from the batch aggregate or the streamed state."""

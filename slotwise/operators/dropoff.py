@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from slotwise.functions.rates import count_when
 from slotwise.operators.kpi import window_appointments
+from slotwise.sources.tables import Tables
 
 # --- fixed values: drop-off catalogue (label, risk level, feature area, requirement) ------
 CATALOG = [
@@ -37,7 +38,7 @@ def dropoff_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
-def dropoff_counts(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def dropoff_counts(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Five labelled counts over the appointments scheduled in the last ``days`` days.
 
     Always five rows (zero allowed).  One pass per source with conditional counts instead
@@ -64,7 +65,7 @@ def dropoff_counts(t, as_of: dt.date, days: int = 30) -> DataFrame:
     return agg.select(F.stack(*args).alias("drop_off_point", "occurrences"))
 
 
-def dropoff_report(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def dropoff_report(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """V6+: the catalogue with live counts filled in by label (six rows; the late-booking
     point has no live count and stays NULL)."""
     cat = dropoff_catalog(t.spark)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import months_before, since
 from slotwise.functions.rates import count_if, pct
+from slotwise.sources.tables import Tables
 
 
-def reminder_flags(t, corrected: bool = False) -> DataFrame:
+def reminder_flags(t: Tables, corrected: bool = False) -> DataFrame:
     """Per appointment: was any reminder delivered / acted on (one row per appointment)."""
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()
@@ -21,7 +22,7 @@ def reminder_flags(t, corrected: bool = False) -> DataFrame:
     )
 
 
-def conversion_funnel(t, as_of: dt.date, months: int = 6, corrected: bool = False) -> DataFrame:
+def conversion_funnel(t: Tables, as_of: dt.date, months: int = 6, corrected: bool = False) -> DataFrame:
     """V4: per calendar month of the scheduled date, bookings, delivered, engaged,
     attended-or-rescheduled and no-show counts with their share of bookings.
 

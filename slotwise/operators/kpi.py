@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import boundary_diff, days_before, since, weeks_before
 from slotwise.functions.rates import dec, flag, pct
+from slotwise.sources.tables import Tables
 
 # --- fixed values: KPI targets ------------------------------------------------------------
 TARGETS = {
@@ -29,12 +30,12 @@ TARGETS = {
 ON_TIME_MINUTES = 5
 
 
-def window_appointments(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def window_appointments(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Appointments scheduled on or after ``as_of - days`` (no upper bound)."""
     return since(t.appointments, "scheduled_at", days_before(as_of, days))
 
 
-def _indicator_rows(t, as_of: dt.date, days: int, corrected: bool) -> DataFrame:
+def _indicator_rows(t: Tables, as_of: dt.date, days: int, corrected: bool) -> DataFrame:
     win = window_appointments(t, as_of, days)
     base = win.join(t.salons.select("salon_id", "prepay_enabled"), "salon_id")
     status, pay = F.col("status"), F.col("payment_status")
@@ -70,7 +71,7 @@ def _indicator_rows(t, as_of: dt.date, days: int, corrected: bool) -> DataFrame:
     return b.unionByName(r, allowMissingColumns=True).unionByName(d, allowMissingColumns=True)
 
 
-def kpi_snapshot(t, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
+def kpi_snapshot(t: Tables, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
     """V1: one row of 30-day KPIs.
 
     Empty window: counts 0, sums NULL, rates NULL, revenue 0.  As written, prepay adoption

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import epoch_seconds, since, weeks_before
 from slotwise.functions.rates import pct
+from slotwise.sources.tables import Tables
 
 # --- fixed values: rule parameters -----------------------------------------------------------
 MERGE_WINDOW_SECONDS = 120
 MERGE_REMINDER_TYPES = ["2h", "1h"]
 
 
-def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_SECONDS) -> DataFrame:
+def overlap_pairs(t: Tables, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_SECONDS) -> DataFrame:
     """For 2h/1h reminders sent since ``as_of - weeks``: the delay events on the same
     appointment whose second boundary is less than ``window`` seconds away, as rows
     (reminder, delay second, number of delay events at that second).
@@ -44,7 +45,7 @@ def overlap_pairs(t, as_of: dt.date, weeks: int = 4, window: int = MERGE_WINDOW_
     return pairs.select("event_id", "delivery_status", "sent_date", F.col("n").alias("n_pairs"))
 
 
-def merge_compliance(t, as_of: dt.date, weeks: int = 4, corrected: bool = False) -> DataFrame:
+def merge_compliance(t: Tables, as_of: dt.date, weeks: int = 4, corrected: bool = False) -> DataFrame:
     """Per (year, US week) of the reminder's send date, overlapping (reminder, delay)
     pairs, merged ones, violations and the compliance rate.
 
@@ -56,7 +57,7 @@ def merge_compliance(t, as_of: dt.date, weeks: int = 4, corrected: bool = False)
     return weekly_compliance(t, overlap_pairs(t, as_of, weeks), corrected)
 
 
-def weekly_compliance(t, per_reminder: DataFrame, corrected: bool = False) -> DataFrame:
+def weekly_compliance(t: Tables, per_reminder: DataFrame, corrected: bool = False) -> DataFrame:
     """Week rollup of pair counts: rows (event_id, delivery_status, sent_date, n_pairs), one
     or more per reminder."""
     p = per_reminder

@@ -11,6 +11,7 @@ from slotwise.functions.dates import boundary_diff, since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct, round_ratio
 from slotwise.operators import funnel, weekly
 from slotwise.operators.kpi import window_appointments
+from slotwise.sources.tables import Tables
 
 # --- fixed values: product targets and rule parameters ------------------------------------
 BASELINE_NOSHOW_PCT = 40          # recovery is measured against the 40 % baseline
@@ -30,7 +31,7 @@ OPT_IN_TYPES = {"30min"}
 DELAY_CHECK_RANGES = [(-120, -60, 30), (-60, 0, 15)]
 
 
-def noshow_rate_by_salon(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def noshow_rate_by_salon(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """M1: missed / total x 100 per salon over the last ``days`` days."""
     a = window_appointments(t, as_of, days)
     return a.groupBy("salon_id").agg(F.count(F.lit(1)).alias("total_appointments"),
@@ -38,7 +39,7 @@ def noshow_rate_by_salon(t, as_of: dt.date, days: int = 30) -> DataFrame:
             .withColumn("no_show_rate_pct", pct("no_shows", "total_appointments"))
 
 
-def recovered_revenue(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def recovered_revenue(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """M2: weekly revenue recovered per salon versus the 40 % baseline:
     bookings/week x (baseline - no-show rate) x mean price, and x52 per year.
 
@@ -64,7 +65,7 @@ def recovered_revenue(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
         round_ratio(num * WEEKS_PER_YEAR, den, 2, 18).alias("recovered_per_year"))
 
 
-def attendance_rate_weekly(t, as_of: dt.date, weeks: int = 26) -> DataFrame:
+def attendance_rate_weekly(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
     """M3: attended / bookings per week with the 60 % baseline and 70 % target."""
     return weekly.weekly_noshow(t, as_of, weeks).select(
         "year", "iso_week", "week_start", "total_appointments", "attended",
@@ -72,7 +73,7 @@ def attendance_rate_weekly(t, as_of: dt.date, weeks: int = 26) -> DataFrame:
         dec(ATTENDANCE_BASELINE).alias("baseline_pct"), dec(ATTENDANCE_TARGET).alias("target_pct"))
 
 
-def attendance_after_reminder(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def attendance_after_reminder(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """M4: attendance of bookings with and without a delivered reminder, and the uplift of
     each group over the 60 % baseline."""
     a = window_appointments(t, as_of, days).select("appointment_id", "status")
@@ -85,7 +86,7 @@ def attendance_after_reminder(t, as_of: dt.date, days: int = 30) -> DataFrame:
                     (rate - dec(ATTENDANCE_BASELINE)).cast("decimal(5,1)").alias("uplift_vs_baseline_pct"))
 
 
-def delivery_alerts(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def delivery_alerts(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """M5: weekly reminder delivery with the two alert rules (failure > 5 %, delivery < 95 %)."""
     r = since(t.reminder_events, "sent_at", weeks_before(as_of, weeks))
     wk = weekly.with_week(r, F.col("sent_at").cast("date"), t).groupBy("year", "week_number").agg(
@@ -99,7 +100,7 @@ def delivery_alerts(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
                      (deliv < DELIVERY_ALERT_PCT).alias("delivery_alert"))
 
 
-def prepay_conversion(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def prepay_conversion(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """M6 / M7: slot-hold expiry (expired / chose), checkout paid (paid / chose), and the
     click-through proxy chose / eligible (no column records that the offer was seen)."""
     return weekly.prepay_funnel(t, as_of, weeks).select(
@@ -110,7 +111,7 @@ def prepay_conversion(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
         pct("chose_prepay", "eligible_bookings").alias("click_through_proxy_pct"))
 
 
-def delay_estimate_accuracy(t, as_of: dt.date | None = None) -> DataFrame:
+def delay_estimate_accuracy(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """M8: share of attended appointments whose last delay estimate is within 5 minutes of
     the delay observed at marking (marked_at is when the visit was recorded, a proxy for
     service start).  Last = latest triggered_at, ties broken by event id."""
@@ -124,7 +125,7 @@ def delay_estimate_accuracy(t, as_of: dt.date | None = None) -> DataFrame:
             .withColumn("accuracy_pct", pct("within_tolerance", "appointments"))
 
 
-def reschedule_rate_by_prepay(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def reschedule_rate_by_prepay(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Reschedule rate of the prepaid cohort against standard bookings."""
     a = window_appointments(t, as_of, days)
     return a.groupBy((F.col("payment_status") == "successful").alias("prepaid")).agg(
@@ -132,7 +133,7 @@ def reschedule_rate_by_prepay(t, as_of: dt.date, days: int = 30) -> DataFrame:
         .withColumn("reschedule_rate_pct", pct("rescheduled", "appointments"))
 
 
-def expected_reminders(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def expected_reminders(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """The reminder plan of every booking in the window (confirmation at booking, then
     T-24h, T-2h, T-1h and T-30m, the last only where the salon opted in)."""
     a = window_appointments(t, as_of, days).join(
@@ -147,7 +148,7 @@ def expected_reminders(t, as_of: dt.date, days: int = 30) -> DataFrame:
             .where(F.col("p.planned")).select("appointment_id", "p.reminder_type", "p.due_at"))
 
 
-def missed_reminders(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def missed_reminders(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Planned reminders per type and how many have no event row (anti join)."""
     plan = expected_reminders(t, as_of, days)
     # distinct keys: one appointment with a huge share of events still yields <= 5 rows
@@ -160,7 +161,7 @@ def missed_reminders(t, as_of: dt.date, days: int = 30) -> DataFrame:
         pct(F.coalesce(F.col("missing"), F.lit(0)), F.col("expected")).alias("missing_pct"))
 
 
-def delay_check_schedule(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def delay_check_schedule(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Planned delay checks per booking at delay-tracker salons (offsets in minutes)."""
     a = window_appointments(t, as_of, days).join(
         t.salons.where(F.col("delay_tracker")).select("salon_id"), "salon_id", "left_semi")
@@ -169,7 +170,7 @@ def delay_check_schedule(t, as_of: dt.date, days: int = 30) -> DataFrame:
     return a.select("appointment_id", "scheduled_at", F.explode(offsets).alias("offset_minutes"))
 
 
-def delay_check_coverage(t, as_of: dt.date, days: int = 30) -> DataFrame:
+def delay_check_coverage(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Planned checks against recorded delay events for the same bookings."""
     plan = delay_check_schedule(t, as_of, days)
     per_appt = plan.groupBy("appointment_id").agg(F.count(F.lit(1)).alias("planned"))
@@ -181,7 +182,7 @@ def delay_check_coverage(t, as_of: dt.date, days: int = 30) -> DataFrame:
             .withColumn("coverage_pct", pct("recorded_checks", "planned_checks"))
 
 
-def confirmation_sla(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
+def confirmation_sla(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Confirmations sent less than 60 s after the booking was created, per send week."""
     c = (since(t.reminder_events, "sent_at", weeks_before(as_of, weeks))
          .where(F.col("reminder_type") == "confirmation")
@@ -195,7 +196,7 @@ def confirmation_sla(t, as_of: dt.date, weeks: int = 12) -> DataFrame:
     return wk.withColumn("sla_pct", pct("within_sla", "confirmations"))
 
 
-def reschedule_cta_rule_check(t, as_of: dt.date | None = None) -> DataFrame:
+def reschedule_cta_rule_check(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """The reschedule call-to-action must be shown exactly when the delay is >= 60 min."""
     return t.delay_events.groupBy(
         (F.col("delay_minutes") >= CTA_DELAY_MIN).alias("delay_60_plus"),
@@ -203,7 +204,7 @@ def reschedule_cta_rule_check(t, as_of: dt.date | None = None) -> DataFrame:
         .withColumn("rule_ok", F.col("delay_60_plus") == F.col("reschedule_shown"))
 
 
-def retry_rule_check(t, as_of: dt.date | None = None) -> DataFrame:
+def retry_rule_check(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Reminders retried more than twice, per type (the retry times are not stored,
     so only the count part of the rule can be checked)."""
     return t.reminder_events.groupBy("reminder_type").agg(

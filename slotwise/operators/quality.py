@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.rates import count_when
 from slotwise.sources import schemas
+from slotwise.sources.tables import Tables
 
 TABLES = ["salons", "customers", "appointments", "reminder_events", "delay_events"]
 
 
-def _table(t, name: str) -> DataFrame:
+def _table(t: Tables, name: str) -> DataFrame:
     return getattr(t, name)
 
 
-def duplicate_keys(t) -> DataFrame:
+def duplicate_keys(t: Tables) -> DataFrame:
     """Q1: per table, rows, distinct keys, keys that occur more than once and excess rows.
 
     Counting per key is partially aggregated in every task, so a hot key costs one row per
@@ -37,7 +38,7 @@ def duplicate_keys(t) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphans(t) -> DataFrame:
+def orphans(t: Tables) -> DataFrame:
     """Q2: per foreign key, child rows whose non-NULL key has no parent row.
 
     The child is first reduced to (key value, row count) with partial aggregation, so the
@@ -74,7 +75,7 @@ def rules(name: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def domain_violations(t) -> DataFrame:
+def domain_violations(t: Tables) -> DataFrame:
     """Q3: one row per (table, column, rule) with the number of violating rows (0 allowed).
 
     One pass and one global aggregate per table, every rule a conditional count.  The rules
@@ -91,7 +92,7 @@ def domain_violations(t) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def domain_violation_values(t) -> DataFrame:
+def domain_violation_values(t: Tables) -> DataFrame:
     """Q3 detail: the offending enum values with their counts."""
     parts = []
     for (tbl, col), values in schemas.DOMAINS.items():
@@ -116,7 +117,7 @@ def expected_band(minutes) -> F.Column:
             .when(minutes >= 1, "minor").otherwise("on_schedule"))
 
 
-def band_consistency(t) -> DataFrame:
+def band_consistency(t: Tables) -> DataFrame:
     """Q5: stored delay band against the band implied by delay_minutes, with counts."""
     de = t.delay_events
     return (de.groupBy(F.col("delay_band").alias("stored_band"),

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slotwise.sources.sinks import write_table
+from slotwise.sources.tables import Tables
 
 log = logging.getLogger(__name__)
 
 
-def refresh_total_bookings(t, corrected: bool = False) -> DataFrame:
+def refresh_total_bookings(t: Tables, corrected: bool = False) -> DataFrame:
     """Customers with ``total_bookings`` set to their number of appointments.
 
     As written customers without any appointment keep their stored value (the update only
@@ -29,7 +30,7 @@ def refresh_total_bookings(t, corrected: bool = False) -> DataFrame:
                     F.col("booking_count").isNotNull().alias("_matched")))
 
 
-def run_refresh(t, path: str, corrected: bool = False) -> dict:
+def run_refresh(t: Tables, path: str, corrected: bool = False) -> dict:
     """Write the refreshed customers table to ``path`` and report duration and rows updated.
 
     The row count is gathered with an ``Observation`` during the write itself (no second
@@ -47,5 +48,5 @@ def run_refresh(t, path: str, corrected: bool = False) -> dict:
     return out
 
 
-def refreshed_customers(t, corrected: bool = False) -> DataFrame:
+def refreshed_customers(t: Tables, corrected: bool = False) -> DataFrame:
     return refresh_total_bookings(t, corrected).drop("_matched")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.dates import days_before, since
 from slotwise.functions.rates import count_if, dec, pct
+from slotwise.sources.tables import Tables
 
 # --- fixed values: reminder type order and engagement target -----------------------------
 TYPE_ORDER = {"confirmation": 1, "24h": 2, "2h": 3, "1h": 4, "30min": 5}
@@ -23,7 +24,7 @@ def type_sort_order(c) -> F.Column:
     return expr.otherwise(F.lit(OTHER_TYPE_ORDER))
 
 
-def reminder_by_type(t, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
+def reminder_by_type(t: Tables, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
     """V7: reminders *sent* in the last ``days`` days per type.
 
     Only reminders of an existing appointment count (semi join: no appointment column is
