@@ -27,6 +27,24 @@ from slotwise.sources import schemas
 PAIR_COLUMNS = ["event_id", "delivery_status", "sent_at", "delay_event_id"]
 
 
+def _start(spark: SparkSession, writer, *args, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a streaming query with ``state_partitions`` state-store partitions.
+
+    The partition count of a stateful query is fixed by ``spark.sql.shuffle.partitions`` when
+    its checkpoint is first created; the query takes a copy of the session conf at start, so
+    the setting is applied only around ``start`` and the caller's value is restored.  Default:
+    the cluster's default parallelism (one state partition per core).
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start(*args)
+    finally:
+        spark.conf.set(key, old)
+
+
 def merge_pairs_stream(spark: SparkSession, root: str, sink: str, checkpoint: str,
                        watermark: str = "6 hours", window: int = MERGE_WINDOW_SECONDS,
                        available_now: bool = True) -> StreamingQuery:
@@ -51,7 +69,7 @@ def merge_pairs_stream(spark: SparkSession, root: str, sink: str, checkpoint: st
     w = (pairs.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(sink)
+    return _start(spark, w, sink)
 
 
 def refresh_merge_pairs(spark: SparkSession, root: str, state_dir: str | None = None) -> str:
@@ -109,7 +127,7 @@ def delivery_daily_stream(spark: SparkSession, root: str, sink: str, checkpoint:
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
-    return w.start(sink)
+    return _start(spark, w, sink)
 
 
 def delivery_daily_incremental(t, lateness_days: int = 1) -> DataFrame:
@@ -157,7 +175,7 @@ def delay_state_stream(spark: SparkSession, root: str, log_path: str, checkpoint
     w = (agg.writeStream.outputMode("update").foreachBatch(append_changes)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
-    return w.start()
+    return _start(spark, w)
 
 
 def latest_delay_state(spark: SparkSession, log_path: str) -> DataFrame:
@@ -213,7 +231,7 @@ def active_customers_stream(spark: SparkSession, root: str, sink: str, checkpoin
         "dau")
     w = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
-    return w.start(sink)
+    return _start(spark, w, sink)
 
 
 def active_customers_incremental(t, lateness_days: int = 1) -> DataFrame:
