@@ -64,7 +64,9 @@ def test_daily_delivery_windows_close_with_watermark(spark, tmp_path):
         q.awaitTermination()
         return {r.sent_date: r for r in spark.read.parquet(f"{state}/out").collect()}
 
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     first = run()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before     # stream start leaves it as it was
     # latest send is 3 July 13:00, lateness 1 day: only 1 July is closed after the first run
     assert sorted(first) == [dt.date(2025, 7, 1)]
     batch = (t1.reminder_events.groupBy(F.col("sent_at").cast("date").alias("d"))
