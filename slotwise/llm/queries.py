@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import language_id, packing, url_filter
+from slotwise.llm import language_id, minhash, packing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,8 +37,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
+def op9_minmax_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_best_fit_packing, op7_url_vocabulary, op8_language_id)}
+    return {f.__name__: f for f in (op4_best_fit_packing, op7_url_vocabulary, op8_language_id, op9_minmax_hashing)}
 
 
 def oracle_sql() -> dict[str, str]:
