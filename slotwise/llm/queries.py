@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import embedding_dedup, language_id, minhash, packing, url_filter
+from slotwise.llm import divergence, embedding_dedup, language_id, minhash, packing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_rules(_table(spark, sf_dir, "documents")).drop("chars_distance", "words_distance")
+
+
 def op2_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -46,7 +50,7 @@ def op9_minmax_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_iterative_quantisation, op4_best_fit_packing, op7_url_vocabulary, op8_language_id, op9_minmax_hashing)}
+    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op7_url_vocabulary, op8_language_id, op9_minmax_hashing)}
 
 
 def oracle_sql() -> dict[str, str]:
