@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import divergence, embedding_dedup, language_id, minhash, packing, url_filter
+from slotwise.llm import divergence, embedding_dedup, language_id, minhash, packing, sanitise, site_quality, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages")).drop("n_strict", "n_soft")
 
@@ -49,8 +53,13 @@ def op9_minmax_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op10_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op7_url_vocabulary, op8_language_id, op9_minmax_hashing)}
+    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
+                                  op10_information_sanitisation)}
 
 
 def oracle_sql() -> dict[str, str]:
