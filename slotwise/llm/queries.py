@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import divergence, embedding_dedup, language_id, minhash, packing, sanitise, site_quality, url_filter
+from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, sanitise, site_quality, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+MIX = {"budget_share": 0.5, "epochs": 2, "seed": "mix"}
+
+
+def op5_hierarchical_budgeting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(_table(spark, sf_dir, "documents"), mixing.source_domain(), MIX["budget_share"], MIX["epochs"],
+                       mixing.DOMAINS, mixing.LANGS, seed=MIX["seed"])
+    return taken.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"),
+                        F.col("_tokens").alias("tokens"), F.col("_budget").alias("budget"))
+
+
 def op6_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -58,9 +68,9 @@ def op10_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
+    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op5_hierarchical_budgeting, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
                                   op10_information_sanitisation)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_vocabulary": url_filter.oracle()}
+    return {"op5_hierarchical_budgeting": mixing.oracle(**MIX), "op7_url_vocabulary": url_filter.oracle()}
