@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, sanitise, site_quality, url_filter
+from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, sanitise, site_quality, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op2_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.without_repeats(_table(spark, sf_dir, "documents"), window=13))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -68,7 +72,7 @@ def op10_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op4_best_fit_packing, op5_hierarchical_budgeting, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
+    return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op3_fm_index, op4_best_fit_packing, op5_hierarchical_budgeting, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
                                   op10_information_sanitisation)}
 
 
