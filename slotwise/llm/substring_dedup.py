@@ -32,7 +32,7 @@ WINDOW = 13
 GRAM = 4                        # words of an anchor
 MASK = (1 << 48) - 1            # bits of an anchor's hash that are kept; a collision only costs time
 HOT_RUNS = 4096                 # distinct runs of an anchor beyond which they are cut into windows
-SHARD_WORDS = 1_000_000         # words that one FM-index holds, at least one anchor's
+SHARD_WORDS = 400_000         # words that one FM-index holds, at least one anchor's
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
