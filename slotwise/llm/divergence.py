@@ -142,15 +142,17 @@ def word_references(docs: DataFrame, text: str = "text", lang: str = "lang", min
     by_word = rows.select("lang", F.explode(split_words(F.col("t"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     by_word = stored(by_word, "divergence-words")
 
-    def common(counts: DataFrame) -> DataFrame:
-        total = stored(counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= min_words), "divergence-total")
-        frequent = counts.join(total, counts["lang"].eqNullSafe(total["lang"])).where(F.col("n") >= min_share * F.col("total"))
-        return frequent.select(counts["lang"], "word", (F.col("n") / F.col("total")).alias("share")).groupBy("lang").agg(
+    def common(frequent: DataFrame) -> DataFrame:
+        return frequent.select("lang", "word", (F.col("n") / F.col("total")).alias("share")).groupBy("lang").agg(
             F.sort_array(F.collect_list(F.struct("word", "share"))).alias("c")).select(
             "lang", F.transform("c", lambda x: x["word"]).alias("common"), F.transform("c", lambda x: x["share"]).alias("word_shares"))
 
-    whole = by_word.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
-    return stored(common(by_word.where(F.col("lang").isNotNull())).unionByName(common(whole)), "divergence-common")
+    totals = stored(by_word.groupBy("lang").agg(F.sum("n").alias("total")), "divergence-total")
+    own = by_word.join(totals.where(F.col("total") >= min_words), "lang").where(F.col("n") >= min_share * F.col("total"))
+    total = totals.agg(F.sum("total")).first()[0] or 0
+    whole = by_word.groupBy("word").agg(F.sum("n").alias("n")).where((F.lit(total) >= min_words) & (F.col("n") >= min_share * F.lit(total)))
+    whole = whole.select(F.lit(None).cast("string").alias("lang"), "word", "n", F.lit(total).alias("total"))
+    return stored(common(own).unionByName(common(whole)), "divergence-common")
 
 
 def class_references(stats: DataFrame, min_words: int = MIN_REFERENCE_WORDS) -> DataFrame:
