@@ -5,13 +5,14 @@ shingles, so ``2 x PERMUTATIONS`` values cost half the hash evaluations.  Bands
 (min and max of two permutations) are the candidate keys: at similarity 0.8 a pair misses all
 bands with probability (1 - 0.8^4)^24 = 3e-6.
 
-1. One pass over the texts: set size, a 128-bit key of the set, signature, band keys.
+1. One pass over the texts: set size, a 128-bit key of the set, band keys of the signature.
 2. Documents with equal sets are one class; only the class's smallest document goes on.
 3. In every band bucket each class is paired with the bucket's smallest class, never all with all,
    and the pairs are confirmed on their full sets.  Confirmed links give first components.
-4. Buckets that still hold several components are compared in blocks: pairs of *different*
-   components whose signatures agree often enough are confirmed on their full sets as well.  So
-   every candidate pair is either confirmed, ruled out, or inside one component already.
+4. Buckets that still hold several components are compared in blocks, on long signatures.  First
+   each class only proposes its most alike partner of another component, which joins what belongs
+   together with few pairs; then all pairs of different components whose signatures agree often
+   enough are confirmed, in a crowded block pair by comparing its full sets at one go.  So every candidate pair is confirmed, ruled out, or inside one component.
 
 Links compare exactly: 100 x intersection >= threshold x union, on 64-bit shingle hashes.
 """
@@ -33,10 +34,13 @@ PERMUTATIONS = 48
 ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 BLOCK = 256                     # classes of a bucket that meet another block in one task's matrix
-AGREE = 0.6                     # of the signature: at similarity 0.8 five standard deviations down
+LONG = 512                      # permutations of the long signatures, a byte per value
+SLACK = 0.06                    # below the threshold a long signature may agree: five standard deviations
 _RNG = np.random.default_rng(977)
 _A = (_RNG.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _RNG.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)[:, None]
+_A_LONG = (_RNG.integers(0, 2**31, LONG, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_B_LONG = _RNG.integers(0, 2**32, LONG, dtype=np.uint32)[:, None]
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -52,13 +56,13 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]
                 yield lo + k, textnum.mix(textnum.combine(words[at[k]:at[k + 1]], int(n), int(n))) if n else words[:0]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """2 x PERMUTATIONS values: minimum and maximum under each permutation, side by side."""
+def signature(shingles: np.ndarray, times: np.ndarray = _A, plus: np.ndarray = _B) -> np.ndarray:
+    """Minimum and maximum under each permutation, side by side."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)[None, :]
-    low = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32)
-    high = np.zeros(PERMUTATIONS, np.uint32)
-    for s in range(0, x.shape[1], 4096):
-        h = x[:, s:s + 4096] * _A + _B
+    low = np.full(len(times), 0xFFFFFFFF, np.uint32)
+    high = np.zeros(len(times), np.uint32)
+    for s in range(0, x.shape[1], 2048):
+        h = x[:, s:s + 2048] * times + plus
         h ^= h >> np.uint32(15)
         np.minimum(low, h.min(1), out=low)
         np.maximum(high, h.max(1), out=high)
@@ -70,7 +74,6 @@ def signatures(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             count, one, two = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-            sign_of: list[bytes | None] = [None] * n
             bands: list[np.ndarray | None] = [None] * n
             for row, s in shingle_sets(batch.column(1), size):
                 if not len(s):
@@ -84,14 +87,35 @@ def signatures(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
                 for j in range(ROWS):
                     key_of = textnum.mix(key_of * np.uint64(0x9E3779B97F4A7C15) + rows[:, j])
                 bands[row] = key_of.astype(np.int64)
-                sign_of[row] = (values >> np.uint32(16)).astype("<u2").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count), pa.array(one), pa.array(two), pa.array(sign_of, pa.binary()),
+                [batch.column(0), pa.array(count), pa.array(one), pa.array(two),
                  pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_1", "set_2", "signature", "bands"])
+                names=["doc_id", "n_shingles", "set_1", "set_2", "bands"])
 
     return arrow_map(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), sign,
-                     "doc_id long, n_shingles long, set_1 long, set_2 long, signature binary, bands array<long>")
+                     "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>")
+
+
+def long_signatures(texts: DataFrame, size: int) -> DataFrame:
+    """texts (doc_id, text): doc_id, signature of 2 x LONG bytes."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[bytes] = [b""] * batch.num_rows
+            for row, s in shingle_sets(batch.column(1), size):
+                out[row] = (signature(s, _A_LONG, _B_LONG) >> np.uint32(24)).astype(np.uint8).tobytes() if len(s) else b"\0" * (2 * LONG)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "signature"])
+
+    return arrow_map(texts, sign, "doc_id long, signature binary")
+
+
+def shingles_of(texts: DataFrame, size: int) -> DataFrame:
+    """texts (doc_id, text): doc_id, shingles (sorted distinct 64-bit hashes)."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [s.tobytes() for _, s in shingle_sets(batch.column(1), size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "shingles"])
+
+    return arrow_map(texts, sets, "doc_id long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
@@ -115,37 +139,88 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, key: s
     return arrow_map(both, check, "src long, dst long")
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components inside a bucket, block by block.
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """rows (bucket, n_bucket, doc_id, ..) with block pairs: a row meets every block of its bucket once."""
+    placed = rows.withColumn("_blocks", F.ceil(F.col("n_bucket") / BLOCK).cast("int"))
+    placed = placed.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
+    return placed.withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")}).drop("_blocks", "_other", "n_bucket")
+
+
+def _sides(table: pa.Table, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    block = table["_block"].to_numpy()
+    left = np.flatnonzero(block == low)
+    return left, left if low == high else np.flatnonzero(block == high)
 
-    rows: bucket, n_bucket, doc_id, n_shingles, component, signature."""
-    blocks = F.ceil(F.col("n_bucket") / BLOCK).cast("int")
-    placed = rows.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
-    # a row meets every block of its bucket once: as the lower or the upper side
-    spread = (placed.withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
-              .withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")})
-              .select("bucket", "_low", "_high", "_block", "doc_id", "n_shingles", "component", "signature"))
 
+def _proposed(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Candidate pairs (src, dst) of different components, by long signatures; with ``best_only``
+    just each row's most alike partner in the other block.  A block pair with many candidates is
+    named instead (bucket, _low, _high): its sets are to be compared where they meet."""
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         low, high = key[1].as_py(), key[2].as_py()
         doc, n, component = (table[c].to_numpy() for c in ("doc_id", "n_shingles", "component"))
-        sign = np.array([np.frombuffer(x, "<u2") for x in table["signature"].to_pylist()])
-        block = table["_block"].to_numpy()
-        left = np.flatnonzero(block == low)
-        right = left if low == high else np.flatnonzero(block == high)
-        src, dst = [], []
+        sign = np.array([np.frombuffer(x, np.uint8) for x in table["signature"].to_pylist()])
+        left, right = _sides(table, low, high)
+        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             j = right[component[right] != component[i]]
             j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
             if low == high:
                 j = j[doc[j] < doc[i]]
-            j = j[(sign[j] == sign[i]).sum(1) >= AGREE * sign.shape[1]]
+            alike = (sign[j] == sign[i]).sum(1)
+            ok = alike >= (percent / 100 - SLACK) * sign.shape[1]
+            j = j[ok]
+            if best_only and len(j):
+                j = j[[int(alike[ok].argmax())]]
             src.append(np.maximum(doc[j], doc[i]))
             dst.append(np.minimum(doc[j], doc[i]))
-        empty = np.zeros(0, np.int64)
-        return pa.table({"src": np.concatenate([empty, *src]), "dst": np.concatenate([empty, *dst])})
+        src, dst = np.concatenate(src), np.concatenate(dst)
+        if len(src) <= 2 * len(doc):
+            none = [None] * len(src)
+            return pa.table({"src": src, "dst": dst, "bucket": pa.array(none, pa.int64()), "_low": pa.array(none, pa.int32()), "_high": pa.array(none, pa.int32())})
+        none = pa.array([None], pa.int64())
+        return pa.table({"src": none, "dst": none, "bucket": [key[0].as_py()], "_low": pa.array([low], pa.int32()), "_high": pa.array([high], pa.int32())})
 
-    return spread.groupBy("bucket", "_low", "_high").applyInArrow(compare, "src long, dst long").distinct()
+    shape = "src long, dst long, bucket long, _low int, _high int"
+    return _in_blocks(rows).groupBy("bucket", "_low", "_high").applyInArrow(compare, shape)
+
+
+def _links_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """rows (bucket, _low, _high, _block, doc_id, shingles): exact links inside each block pair, as one
+    edge per linked row to the smallest row it reaches there."""
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        table = table.sort_by("doc_id")
+        doc = table["doc_id"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        size = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(sets)), size)
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row, column = row[times[column] > 1], column[times[column] > 1]         # others are in no intersection
+        _, column = np.unique(column, return_inverse=True)
+        left, right = _sides(table, low, high)
+        common = np.zeros((len(left), len(right)), np.float32)
+        for begin in range(0, int(column.max(initial=-1)) + 1, 4096):
+            at = (column >= begin) & (column < begin + 4096)
+            has = np.zeros((len(sets), 4096), np.float32)
+            has[row[at], column[at] - begin] = 1
+            common += has[left] @ has[right].T
+        linked = 100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)
+        if low == high:
+            np.fill_diagonal(linked, False)
+        root = np.arange(len(doc))
+        while linked.any():
+            new = root.copy()
+            new[left] = np.minimum(new[left], np.where(linked, root[right][None, :], len(doc)).min(1))
+            new[right] = np.minimum(new[right], np.where(linked, new[left][:, None], len(doc)).min(0))
+            if (new == root).all():
+                break
+            root = new
+        far = root != np.arange(len(doc))
+        return pa.table({"src": doc[far], "dst": doc[root[far]]})
+
+    return rows.groupBy("bucket", "_low", "_high").applyInArrow(compare, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,23 +244,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     star = (shared.where(F.col("doc_id") != F.col("least.doc_id"))
             .where(100 * F.least("n_shingles", "least.n_shingles") >= percent * F.greatest("n_shingles", "least.n_shingles"))
             .select(F.col("doc_id").alias("src"), F.col("least.doc_id").alias("dst")).distinct())
-    first = stored(confirmed(stored(star, "minhash-star"), docs, size, percent, key, text), "minhash-links")
-
-    found = stored(components(first, "minhash-first"), "minhash-component")
-    member = shared.drop("least").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    member = stored(member.withColumn("component", F.coalesce("component", "doc_id")), "minhash-member")
-    mixed = stored(member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .where("lo <> hi").select("bucket"), "minhash-mixed")
-    open_rows = member.join(mixed, "bucket", "left_semi")
-    signs = reps.select("doc_id", "signature")
-    across = _across(open_rows.join(signs, "doc_id"), percent)
-    across = stored(across.join(first, ["src", "dst"], "left_anti"), "minhash-across")
-    second = stored(confirmed(across, docs, size, percent, key, text), "minhash-more")
+    star = stored(star, "minhash-star")
+    first = stored(confirmed(star, docs, size, percent, key, text), "minhash-links")
+
+    links, tried, signs = first, star, None
+    for best_only in (True, False):
+        found = stored(components(links, "minhash-found"), "minhash-component")
+        member = shared.drop("least").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        member = stored(member.withColumn("component", F.coalesce("component", "doc_id")), "minhash-member")
+        mixed = stored(member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                       .where("lo <> hi").select("bucket"), "minhash-mixed")
+        member = member.join(mixed, "bucket", "left_semi")
+        if signs is None:                               # the first round's open classes hold the second's
+            texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            open_ids = stored(member.select("doc_id").distinct(), "minhash-open")
+            signs = long_signatures(texts.join(open_ids, "doc_id", "left_semi"), size)
+            signs = stored(signs.dropDuplicates(["doc_id"]), "minhash-long")
+        proposed = stored(_proposed(member.join(signs, "doc_id"), percent, best_only), "minhash-proposed")
+        across = proposed.where("bucket IS NULL").select("src", "dst").distinct().join(tried, ["src", "dst"], "left_anti")
+        across = stored(across, "minhash-across")
+        dense = proposed.where("bucket IS NOT NULL").select("bucket", "_low", "_high")
+        crowded = stored(_in_blocks(member.select("bucket", "n_bucket", "doc_id")).join(dense, ["bucket", "_low", "_high"]), "minhash-crowded")
+        sets = stored(texts.join(stored(crowded.select("doc_id").distinct(), "minhash-crowd"), "doc_id", "left_semi"), "minhash-crowd-texts")
+        inside = _links_in_blocks(crowded.join(shingles_of(sets, size).dropDuplicates(["doc_id"]), "doc_id"), percent)
+        links = links.union(confirmed(across, docs, size, percent, key, text)).union(inside)
+        links = stored(links, "minhash-more")
+        tried = stored(tried.union(across), "minhash-tried")
 
     same = signed.where("n_shingles > 0").join(classes, ["set_1", "set_2", "n_shingles"]).where("doc_id <> rep")
     # rows repeated under one doc_id with other texts tie their classes together as well
     tied = same.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    links = first.union(second).union(tied.select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
+    links = links.union(tied.select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
     label = stored(components(stored(links, "minhash-all"), "minhash-last"), "minhash-label")
     of_class = stored(classes.join(label.withColumnRenamed("id", "rep"), "rep", "left")
                       .select("set_1", "set_2", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-of-class")

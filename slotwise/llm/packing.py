@@ -136,7 +136,7 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, in
     return rows
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, salts: int = 256) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
     """Adds sequence_id and offset to stored pieces (doc_id, piece, start, length, ...).
 
     A length's pieces are ranked inside ``salts`` hash groups, whose sizes (at most capacity x salts
