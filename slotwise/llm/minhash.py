@@ -33,7 +33,7 @@ from slotwise.llm.components import components
 PERMUTATIONS = 48
 ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
-BLOCK = 256                     # classes of a bucket that meet another block in one task's matrix
+BLOCK = 512                     # classes of a bucket that meet another block in one task's matrix
 LONG = 512                      # permutations of the long signatures, a byte per value
 SLACK = 0.06                    # below the threshold a long signature may agree: five standard deviations
 _RNG = np.random.default_rng(977)
@@ -264,7 +264,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
         across = proposed.where("bucket IS NULL").select("src", "dst").distinct().join(tried, ["src", "dst"], "left_anti")
         across = stored(across, "minhash-across")
         dense = proposed.where("bucket IS NOT NULL").select("bucket", "_low", "_high")
-        crowded = stored(_in_blocks(member.select("bucket", "n_bucket", "doc_id")).join(dense, ["bucket", "_low", "_high"]), "minhash-crowded")
+        packed = member.select("bucket", "n_bucket", "doc_id").join(dense.select("bucket").distinct(), "bucket", "left_semi")
+        crowded = stored(_in_blocks(packed).join(dense, ["bucket", "_low", "_high"]), "minhash-crowded")
         sets = stored(texts.join(stored(crowded.select("doc_id").distinct(), "minhash-crowd"), "doc_id", "left_semi"), "minhash-crowd-texts")
         inside = _links_in_blocks(crowded.join(shingles_of(sets, size).dropDuplicates(["doc_id"]), "doc_id"), percent)
         links = links.union(confirmed(across, docs, size, percent, key, text)).union(inside)
