@@ -45,6 +45,14 @@ def run_nightly(t, as_of: dt.date, out: str, workers: int = 4) -> dict:
     return result
 
 
+def data_calendar(t, as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """Whole years around everything booked, with a year before for early reminders."""
+    least, most = F.least("scheduled_at", "created_at"), F.greatest("scheduled_at", "created_at")
+    first, last = t.appointments.agg(F.year(F.min(least)), F.year(F.max(most))).first()
+    years = [y for y in (first, last, as_of.year) if y is not None]
+    return dt.date(min(years) - 1, 1, 1), dt.date(max(years) + 1, 12, 31)
+
+
 def main(argv: list[str] | None = None) -> None:
     from slotwise.session import get_session
     from slotwise.sources.tables import Tables
@@ -56,12 +64,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--input-bytes", type=int, default=0,
                    help="approximate input volume; sizes shuffle partitions and scan splits")
     p.add_argument("--cores", type=int, default=0, help="total executor cores (with --input-bytes)")
+    p.add_argument("--cal-start", type=dt.date.fromisoformat, help="calendar range; by default it follows the bookings")
+    p.add_argument("--cal-end", type=dt.date.fromisoformat)
     a = p.parse_args(argv)
     from slotwise.session import recommended_conf
 
     extra = recommended_conf(a.input_bytes, a.cores or 8) if a.input_bytes else None
     spark = get_session(extra=extra)
-    print(run_nightly(Tables.from_parquet(spark, a.tables), a.as_of, a.out))
+    t = Tables.from_parquet(spark, a.tables)
+    start, end = data_calendar(t, a.as_of)
+    t = t.with_calendar(a.cal_start or start, a.cal_end or end)
+    if (a.cal_start or start) > dt.date(start.year + 1, 1, 1) or (a.cal_end or end) < dt.date(end.year - 1, 12, 31):
+        log.warning("The calendar given does not cover all bookings (%s to %s)", start, end)
+    print(run_nightly(t, a.as_of, a.out))
 
 
 if __name__ == "__main__":

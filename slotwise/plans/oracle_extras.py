@@ -229,7 +229,8 @@ def delivery_alerts(as_of: str = AS_OF) -> str:
 SELECT d.year AS "year", d.week_number, MIN(d.full_date) AS week_start, COUNT(*) AS reminders,
        {cnt("re.delivery_status = 'failed'")} AS failed, {cnt("re.delivery_status = 'sent'")} AS delivered,
        {fail} AS failure_rate_pct, {deliv} AS delivery_rate_pct,
-       {fail} > 5 AS failure_alert, {deliv} < 95 AS delivery_alert
+       20 * {cnt("re.delivery_status = 'failed'")} > COUNT(*) AS failure_alert,
+       20 * {cnt("re.delivery_status = 'sent'")} < 19 * COUNT(*) AS delivery_alert
 FROM reminder_events re JOIN dim_date d ON CAST(re.sent_at AS DATE) = d.full_date
 WHERE re.sent_at >= DATE '{as_of}' - INTERVAL 12 WEEK
 GROUP BY d.year, d.week_number""")
@@ -271,7 +272,7 @@ def missed_reminders(as_of: str = AS_OF) -> str:
         f"SELECT a.appointment_id, '{t}' AS reminder_type FROM appointments a JOIN salons s ON s.salon_id = a.salon_id "
         f"WHERE {_w30(as_of)}{'' if always else ' AND s.reminder_30min'}" for t, always in types)
     missing = ("COUNT(CASE WHEN NOT EXISTS (SELECT 1 FROM reminder_events re WHERE re.appointment_id = p.appointment_id "
-               "AND re.reminder_type = p.reminder_type) THEN 1 END)")
+               "AND re.reminder_type = p.reminder_type AND re.sent_at IS NOT NULL) THEN 1 END)")
     return with_tables(f"""
 p AS ({plan})
 SELECT reminder_type, COUNT(*) AS expected, {missing} AS missing, {pct(missing, "COUNT(*)")} AS missing_pct

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.operators import (activity, adoption, cohort, delays, dropoff, funnel, kpi, merge,
                                 quality, refresh, reminders, weekly)
-from slotwise.plans import consumer, literal, oracle, oracle_extras
+from slotwise.plans import consumer, oracle, oracle_extras
 from slotwise.streaming import incremental
 from slotwise.sources import schemas
 from slotwise.sources.tables import Tables
@@ -71,10 +71,6 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
                                          lambda: oracle_extras.active_customers_closed()),
         "delivery_daily_incremental": (_q(incremental.delivery_daily_incremental),
                                        lambda: oracle_extras.delivery_daily_closed()),
-        # the reference-shaped (fan-out) plans, kept to measure the rewrites against
-        "delay_bands_literal": (_q(literal.delay_bands_literal), oracle.delay_bands),
-        "feature_adoption_literal": (_q(literal.feature_adoption_literal, as_of=AS_OF), oracle.feature_adoption),
-        "merge_compliance_literal": (_q(literal.merge_compliance_literal, as_of=AS_OF), oracle.merge_compliance),
         # intended metrics where the definition has a grain or semantics defect
         "kpi_snapshot_corrected": (_q(kpi.kpi_snapshot, as_of=AS_OF, corrected=True),
                                    lambda: oracle.kpi_snapshot(corrected=True)),

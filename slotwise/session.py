@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job in this package assumes.  Timestamps are TIMESTAMP_NTZ and all
@@ -42,18 +40,19 @@ def get_session(master: str | None = None, app: str = "slotwise",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.  Only when it
-    is unset (local tests) a private scratch folder is created and registered.
+    On a cluster this setting points at shared storage and is used as is, so what is written
+    below it is found again by later sessions.  Only a local session (tests) may leave it unset;
+    it gets a folder below its warehouse.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="slotwise-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
+    return path
 
 
 def recommended_conf(input_bytes: int, total_cores: int,
@@ -63,12 +62,11 @@ def recommended_conf(input_bytes: int, total_cores: int,
 
     The metrics shuffle pruned columns after partial aggregation, a small fraction of what they
     scan, so the initial shuffle partition count is sized to ``shuffle_fraction`` of the input
-    at ``target_partition_bytes`` each (at least two per core, at most 20,000 to keep the
-    map x reduce block count manageable); AQE then coalesces small partitions and splits skewed
+    at ``target_partition_bytes`` each (at least two per core); AQE then coalesces small partitions and splits skewed
     ones at run time.  Scan splits use the same target size.
     """
     parts = int(input_bytes * shuffle_fraction // target_partition_bytes) + 1
-    parts = max(total_cores * 2, min(20_000, parts))
+    parts = max(total_cores * 2, parts)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

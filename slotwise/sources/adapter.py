@@ -107,12 +107,11 @@ def appointments(orders: DataFrame, supplier: DataFrame, keep_key: bool = False)
 
 
 def _event_keys(lineitem: DataFrame, cond) -> DataFrame:
-    # one shuffle on the order key serves both the de-duplication of (k, n) and the join to
-    # the appointments on k (a plain DISTINCT would shuffle on (k, n) and then again on k)
+    # at most seven line numbers an order: tasks gather them before the one shuffle on the order
+    # key, which also serves the join to the appointments
     return (lineitem.where(cond)
             .select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"))
-            .repartition("k")
-            .dropDuplicates(["k", "n"]))
+            .groupBy("k").agg(F.collect_set("n").alias("n")).select("k", F.explode("n").alias("n")))
 
 
 def reminder_events(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -179,22 +178,26 @@ def load_fixture(spark: SparkSession, sf_dir: str):
 
 
 FIXTURE_TABLES = ("salons", "customers", "appointments", "reminder_events", "delay_events")
-ADAPTER_VERSION = "3"
+ADAPTER_VERSION = "4"
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
-    import os
 
-    h = hashlib.sha1(f"{ADAPTER_VERSION}|{os.path.abspath(sf_dir)}".encode())
+    h = hashlib.sha1(f"{ADAPTER_VERSION}|{sf_dir}".encode())
     for name in ("orders", "lineitem", "supplier", "nation", "customer"):
-        p = f"{sf_dir}/{name}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+        fs, path = _hadoop(spark, f"{sf_dir}/{name}.parquet")
+        if fs.exists(path):
+            h.update(f"{name}:{fs.getContentSummary(path).getLength()}:{fs.getFileStatus(path).getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of any path that Spark can read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def materialize_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """Write the five derived tables once under the shared checkpoint folder; return the root.
 
@@ -202,14 +205,15 @@ def materialize_fixture(spark: SparkSession, sf_dir: str, root: str | None = Non
     of inside every metric, and the metrics scan compact, sorted domain parquet.  Existing
     complete output (a ``_SUCCESS`` marker per table) is reused.
     """
-    import os
-
     from slotwise.session import ensure_checkpoint_dir
     from slotwise.sources.sinks import write_table
 
     base = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/slotwise-fixture/{_signature(spark, sf_dir)}"
-    local = base.startswith("file:") or base.startswith("/")
-    done = lambda name: local and os.path.exists(f"{base.removeprefix('file:')}/{name}/_SUCCESS")
+
+    def done(name: str) -> bool:
+        fs, path = _hadoop(spark, f"{base}/{name}/_SUCCESS")
+        return fs.exists(path)
+
     if all(done(n) for n in FIXTURE_TABLES):
         return base
     from concurrent.futures import ThreadPoolExecutor

@@ -58,11 +58,14 @@ def time_partitioned(df, name: str, partitions: int | None = None):
     from pyspark.sql import functions as F
 
     from slotwise.functions.dates import MONTH_FORMAT, PARTITION_COLUMNS
+    from slotwise.sources.schemas import PRIMARY_KEYS
 
     col = TIME_COLUMNS[name]
     pcol = PARTITION_COLUMNS[col]
     out = df.withColumn(pcol, F.date_format(F.col(col), MONTH_FORMAT))
-    out = out.repartitionByRange(partitions, F.col(col)) if partitions else out.repartitionByRange(F.col(col))
+    # the key parts rows of equal (or no) time: they never meet in one task
+    by = (F.col(col), F.col(PRIMARY_KEYS[name]))
+    out = out.repartitionByRange(partitions, *by) if partitions else out.repartitionByRange(*by)
     return out.sortWithinPartitions(col), pcol
 
 

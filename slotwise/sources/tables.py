@@ -72,7 +72,7 @@ class Tables:
             df = spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{root}/{name}")
             if normalize:
                 for c in ENUM_COLUMNS.get(name, []):
-                    df = df.withColumn(c, F.lower(F.trim(F.col(c))))
+                    df = df.withColumn(c, F.lower(F.rtrim(F.col(c))))
             dfs[name] = df
         return cls(calendar=build_calendar(spark, cal_start, cal_end),
                    cal_start=cal_start, cal_end=cal_end, root=root, **dfs)
