@@ -206,3 +206,57 @@ def divergence_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", l
     return judged.withColumn("reason", reason).select(
         key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.col("reason").isNull().alias("kept"), "reason", "chars_distance", "words_distance")
+
+
+def oracle() -> str:
+    """DuckDB: the same rules; words and windows as rows."""
+    classes = [c.replace("'", "''") for c in CLASSES]
+    left, counts = ["t"], []
+    for c in classes:
+        left.append(f"regexp_replace({left[-1]}, '{c}', '', 'g')")
+        counts.append(f"length({left[-2]}) - length({left[-1]})")
+    counts.append(f"length({left[-1]})")
+    columns = ", ".join(f"{x} AS c{i}" for i, x in enumerate(counts))
+    bins = range(len(CLASSES) + 1)
+
+    def half(p: str, q: str) -> str:
+        return (f"(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END"
+                f" + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END) / 2")
+
+    total = " + ".join(f"c{i}" for i in bins)
+    of_lang = ", ".join(f"sum(c{i})::DOUBLE / greatest(sum({total}), 1) AS q{i}" for i in bins)
+    chars = " + ".join(half(f"(c{i}::DOUBLE / greatest({total}, 1))", f"coalesce(o.q{i}, a.q{i})") for i in bins)
+    return f"""
+    WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT doc_id, lang, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+    u AS (SELECT doc_id, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+    five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM (SELECT doc_id, i, word || ' ' || lead(word, 1) OVER s || ' '
+             || lead(word, 2) OVER s || ' ' || lead(word, 3) OVER s || ' ' || lead(word, 4) OVER s AS k FROM u
+             WINDOW s AS (PARTITION BY doc_id ORDER BY i)) x WHERE k IS NOT NULL),
+    rep AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat FROM five, range(0, 5) r(o) WHERE n > 1 GROUP BY doc_id),
+    lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+              WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    base AS (SELECT d.doc_id, d.lang, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+               length(regexp_replace(t, '[^{SYMBOLS}]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+               coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, {columns}
+             FROM d JOIN w USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+    failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base),
+    own_c AS (SELECT lang, {of_lang} FROM base WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {MIN_REFERENCE_WORDS}),
+    all_c AS (SELECT {of_lang} FROM base HAVING sum(n_words) >= {MIN_REFERENCE_WORDS}),
+    counted AS (SELECT lang, word, count(*) AS n FROM u GROUP BY ALL),
+    common AS (SELECT lang, word, n / t AS q FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS t FROM counted WHERE lang IS NOT NULL)
+               WHERE t >= {MIN_REFERENCE_WORDS} AND n >= {MIN_SHARE} * t),
+    everyword AS (SELECT word, n / t AS q FROM (SELECT word, sum(n) AS n, sum(sum(n)) OVER () AS t FROM counted GROUP BY word)
+               WHERE t >= {MIN_REFERENCE_WORDS} AND n >= {MIN_SHARE} * t),
+    ref AS (SELECT f.doc_id, f.n_words, c.word, c.q FROM failed f JOIN common c USING (lang)
+            UNION ALL SELECT f.doc_id, f.n_words, e.word, e.q FROM failed f, everyword e WHERE NOT EXISTS (SELECT 1 FROM common c WHERE c.lang = f.lang)),
+    hits AS (SELECT doc_id, word, count(*) AS n FROM u GROUP BY ALL),
+    bins AS (SELECT r.doc_id, r.q, coalesce(h.n, 0)::DOUBLE / r.n_words AS p FROM ref r LEFT JOIN hits h USING (doc_id, word) WHERE r.n_words > 0),
+    rest AS (SELECT doc_id, sum({half('p', 'q')}) AS s, greatest(1 - sum(p), 0) AS p, greatest(1 - sum(q), 0) AS q FROM bins GROUP BY doc_id),
+    wd AS (SELECT doc_id, sqrt(greatest(s + {half('p', 'q')}, 0)) AS words_distance FROM rest),
+    judged AS (SELECT f.*, CASE WHEN {total} >= {MIN_CHARS} AND coalesce(o.q0, a.q0) IS NOT NULL THEN sqrt(greatest({chars}, 0)) END AS chars_distance,
+               CASE WHEN NOT base_failed AND n_words >= {MIN_WORDS} THEN words_distance END AS words_distance
+             FROM failed f LEFT JOIN own_c o USING (lang) LEFT JOIN all_c a ON true LEFT JOIN wd USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, reason
+    FROM (SELECT *, CASE WHEN base_failed THEN 'base' WHEN chars_distance > {MAX_CHARS_DISTANCE} THEN 'chars'
+                         WHEN words_distance > {MAX_WORDS_DISTANCE} THEN 'words' END AS reason FROM judged)"""

@@ -60,12 +60,14 @@ def _best_pair(count: np.ndarray, gap: int, most: int) -> tuple[int, int] | None
     return (int(large[at]), int(gap - large[at])) if ok[at] else None
 
 
-def _complement(count: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three lengths that are there and fill ``gap`` exactly."""
-    if count[gap] > 0:
+def _complement(count: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
+    """One, two or three lengths (up to ``most``) that are there and fill ``gap`` exactly."""
+    if most > 0 and count[gap] > 0:
         return (gap,)
-    if pair := _best_pair(count, gap, gap):
+    if most > 1 and (pair := _best_pair(count, gap, gap)):
         return pair
+    if most < 3:
+        return None
     for a in np.flatnonzero(count[:gap - 1])[::-1]:
         if 3 * a < gap:
             break
@@ -78,7 +80,15 @@ def _complement(count: np.ndarray, gap: int) -> tuple[int, ...] | None:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """Patterns ({length: how many}, uses) that place every piece once."""
+    """Patterns ({length: how many}, uses) that place every piece once.
+
+    Exact complements may use up small pieces that larger rests need, mostly when there are few
+    pieces: of the plans with complements of up to three, two, one and no pieces the shortest counts.
+    """
+    return min((_plan(histogram, capacity, most) for most in (3, 2, 1, 0)), key=lambda p: sum(n for _, n in p))
+
+
+def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[dict[int, int], int]]:
     count = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         count[length] = n
@@ -86,7 +96,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
     for length in range(capacity, 0, -1):
         while count[length] > 0:
             count[length] -= 1
-            more = _complement(count, capacity - length) if length < capacity else ()
+            more = _complement(count, capacity - length, most) if length < capacity else ()
             count[length] += 1
             if more is None:
                 rest[length] = int(count[length])

@@ -77,4 +77,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_hierarchical_budgeting": mixing.oracle(**MIX), "op7_url_vocabulary": url_filter.oracle()}
+    return {"op1_distribution_divergence": divergence.oracle(), "op5_hierarchical_budgeting": mixing.oracle(**MIX), "op7_url_vocabulary": url_filter.oracle()}
