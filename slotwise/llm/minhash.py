@@ -34,8 +34,8 @@ PERMUTATIONS = 48
 ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 BLOCK = 512                     # classes of a bucket that meet another block in one task's matrix
-LONG = 512                      # permutations of the long signatures, a byte per value
-SLACK = 0.06                    # below the threshold a long signature may agree: five standard deviations
+LONG = 256                      # permutations of the long signatures, a byte per value
+SLACK = 0.09                    # below the threshold a long signature may agree: five standard deviations
 _RNG = np.random.default_rng(977)
 _A = (_RNG.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _RNG.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)[:, None]
