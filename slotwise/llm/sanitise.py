@@ -3,9 +3,10 @@
 Emails, IP addresses, card and phone numbers are found by patterns and validated.  Their values are
 the protected entities.  A term (word) reveals an entity as far as knowing the term tells of the
 entity: the pointwise mutual information of both, over all lines of the corpus, as a share of
-the entity's own information.  Terms that stand in a line with an entity, do so in at least
-``min_lines`` lines, and reveal at least ``disclosure`` of it, are removed if they tell all (no
-other line has them), else generalised.
+the entity's own information.  Counts are smoothed (a term's lines are taken as ``smoothing`` more,
+which hold the entity as often as all lines do), so entities seen once are judged like any other and
+a small corpus proves little.  Terms that stand in a line with an entity and reveal at least
+``disclosure`` of it are removed if they tell all (no other line has them), else generalised.
 
 Only DataFrame functions are used.  Places of matches come from cutting a text at the pattern: the
 pieces' and matches' lengths add up to code-point offsets.  Only lines with entities, and word
@@ -31,7 +32,7 @@ PATTERN = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
 #: A text without these characters has no match of the kind.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "removed": ""}
-MIN_LINES = 3
+SMOOTHING = 0.5
 DISCLOSURE = 0.9
 SPAN = "array<struct<start:int,end:int,kind:string,value:string>>"
 
@@ -139,11 +140,11 @@ def line_words(found: DataFrame) -> DataFrame:
                         F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity"))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, beside: DataFrame, text: str = "text", min_lines: int = MIN_LINES,
+def disclosing_terms(docs: DataFrame, found: DataFrame, beside: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, action): the terms that reveal an entity, with what becomes of them."""
     together = stored(beside.select("doc_id", "text_id", "at", "entity", "term").distinct().groupBy("entity", "term")
-                      .agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_lines), "pii-together")
+                      .agg(F.count("*").alias("n_both")), "pii-together")
     value = found.select("doc_id", "text_id", F.explode("spans").alias("s"), F.explode("lines").alias("l")).where(
         (F.col("s.start") < F.col("l.start") + F.length("l.line")) & (F.col("s.end") > F.col("l.start")))
     n_entity = value.select("doc_id", "text_id", F.col("l.start").alias("at"), F.col("s.value").alias("entity")).distinct() \
@@ -155,18 +156,19 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, beside: DataFrame, text:
     n_lines = n_term.where(F.col("term").isNull()).agg(F.sum("n_term")).first()[0] or 1      # one number
     known = together.join(stored(n_entity, "pii-entities"), "entity").join(n_term, "term")
     information = F.log2(F.lit(float(n_lines)) / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.lit(float(n_lines)) / (F.col("n_entity") * F.col("n_term")))
+    share = F.col("n_entity") / F.lit(float(n_lines))
+    mutual = F.log2((F.col("n_both") + smoothing * share) / (F.col("n_term") + smoothing) / share)
     return known.where((information > 0) & (mutual >= disclosure * information)).select(
         "entity", "term", F.when(F.col("n_both") >= F.col("n_term"), "removed").otherwise("term").alias("action"))
 
 
-def sanitised_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
+def sanitised_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", smoothing: float = SMOOTHING,
                     disclosure: float = DISCLOSURE) -> DataFrame:
     """Per row: doc_id, text_id, base (validated pattern spans) and spans (with disclosing terms)."""
     found = stored(entities(docs, key, text), "pii-found")
     some = found.where(F.size("spans") > 0)
     beside = stored(line_words(some), "pii-beside")
-    revealing = stored(disclosing_terms(docs, some, beside, text, min_lines, disclosure), "pii-revealing")
+    revealing = stored(disclosing_terms(docs, some, beside, text, smoothing, disclosure), "pii-revealing")
     added = beside.join(revealing, ["entity", "term"]).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(F.struct(
         "start", "end", F.col("action").alias("kind"), F.col("term").alias("value")))).alias("added"))
     added = stored(added, "pii-added")

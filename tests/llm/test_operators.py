@@ -242,6 +242,13 @@ def test_disclosing_terms_and_masks(spark):
     assert out[9] == "wrote today\nto the text" and out[0].startswith(" ") and "[EMAIL]" in out[0] and "Zorblax" not in out[0] and "other line" in out[0]
 
 
+def test_terms_of_entities_seen_once(spark):
+    rows = [(i, f"common words stand in every line {i % 7}") for i in range(100)] + [(200, "common Quenbix words a@b.co")]
+    got = {r["doc_id"]: r for r in sanitise.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[200]["spans"] == "removed:7:14,email:21:27" and got[200]["n_terms"] == 1
+    assert all(got[i]["n_terms"] == 0 for i in range(100))
+
+
 def test_site_shrinkage(spark):
     rows = [("big", "p", 0.0)] * 500 + [("other", "p", 1.0)] * 500 + [("tiny", "p", 0.0)]
     got, prior = site_quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
