@@ -2,15 +2,17 @@
 
 Emails, IP addresses, card and phone numbers are found by patterns and validated.  Their values are
 the protected entities.  A term (word) reveals an entity as far as knowing the term tells of the
-entity: the pointwise mutual information of both, over all lines of the corpus, as a share of
-the entity's own information.  Counts are smoothed (a term's lines are taken as ``smoothing`` more,
-which hold the entity as often as all lines do), so entities seen once are judged like any other and
-a small corpus proves little.  Terms that stand in a line with an entity and reveal at least
-``disclosure`` of it are removed if they tell all (no other line has them), else generalised.
+entity: the pointwise mutual information of both, over all lines of the corpus and again over all
+its documents, as a share of the entity's own information.  Counts are smoothed (a term's lines are
+taken as ``smoothing`` more, which hold the entity as often as all lines do), so entities seen once
+are judged like any other and a small corpus proves little.  An entity of less than one bit over the
+documents (more than half of them hold it) is judged over lines only.  Terms that reveal at least
+``disclosure`` of an entity are masked wherever they stand: removed if they tell all (no line or
+document without the entity has them), else generalised.
 
 Only DataFrame functions are used.  Places of matches come from cutting a text at the pattern: the
-pieces' and matches' lengths add up to code-point offsets.  Only lines with entities, and word
-counts that the tasks have added up, are shuffled.
+pieces' and matches' lengths add up to code-point offsets.  Words of documents with entities, word
+counts that the tasks have added up, and documents that are joined with their terms are shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import let, stored, words_of
+from slotwise.llm.common import bounded_broadcast, let, stored, words_of
 
 #: The matches of these are those of the plain patterns (fixed values); possessive loops and the look
 #: at the character before only keep long runs of word characters or digits from being tried again
@@ -34,6 +36,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "removed": ""}
 SMOOTHING = 0.5
 DISCLOSURE = 0.9
+#: Up to so many terms are broadcast to the words of all documents; more are joined by a shuffle.
+MOST_TERMS = 200_000
 SPAN = "array<struct<start:int,end:int,kind:string,value:string>>"
 
 
@@ -100,22 +104,37 @@ def described(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _lines(text: Column, wanted) -> Column:
+    """The lines (start, line) of a text for which ``wanted(start, line)`` holds."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,line:string>>").alias("out"))
+    return F.aggregate(F.split(text, "\n", -1), zero, lambda a, x: F.struct(
+        (a["at"] + F.length(x) + 1).alias("at"),
+        F.when(wanted(a["at"], x), F.array_append(a["out"], F.struct(a["at"].alias("start"), x.alias("line"))))
+        .otherwise(a["out"]).alias("out")))["out"]
+
+
+def _words(text: Column) -> Column:
+    """The words (start, end, term) of a text, in order."""
+    pieces = F.split(text, r"[^\x20\x09-\x0D]+", -1)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,term:string>>").alias("out"))
+    pairs = F.zip_with(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), words_of(text), lambda p, w: F.struct(p.alias("p"), w.alias("w")))
+    return F.aggregate(pairs, zero, lambda a, x: F.struct(
+        (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("at"),
+        F.array_append(a["out"], F.struct((a["at"] + F.length(x["p"])).alias("start"), (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("end"),
+                                          x["w"].alias("term"))).alias("out")))["out"]
+
+
 def entities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, text_id, n_lines, spans (base), and the lines that hold a span."""
+    """Per row: doc_id, text_id, spans (base), the lines that hold a span, and the text of the others."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("_text"))
     rows = base_spans(rows).withColumn("spans", F.concat(*[f"_{k}" for k in KINDS]))
     rows = rows.withColumn("spans", F.when(F.size("spans") > 1, ordered(F.col("spans"))).otherwise(F.col("spans")))
 
-    def lines(text_of: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,line:string>>").alias("out"))
-        every = F.aggregate(F.split(text_of, "\n", -1), zero, lambda a, x: F.struct(
-            (a["at"] + F.length(x) + 1).alias("at"),
-            F.when(F.exists("spans", lambda s: (s["start"] < a["at"] + F.length(x)) & (s["end"] > a["at"])),
-                   F.array_append(a["out"], F.struct(a["at"].alias("start"), x.alias("line")))).otherwise(a["out"]).alias("out")))
-        return every["out"]
-
-    return rows.select("doc_id", F.xxhash64("_text").alias("text_id"), "spans",
-                       F.when(F.size("spans") > 0, lines(F.col("_text"))).alias("lines"))
+    holds = F.when(F.size("spans") > 0, _lines(F.col("_text"), lambda at, line: F.exists(
+        "spans", lambda s: (s["start"] < at + F.length(line)) & (s["end"] > at))))
+    others = F.array_join(F.array_except(F.split("_text", "\n", -1), F.transform("lines", lambda x: x["line"])), "\n")
+    return rows.select("_text", "spans", "doc_id", F.xxhash64("_text").alias("text_id"), holds.alias("lines")).select(
+        "doc_id", "text_id", "spans", "lines", F.when(F.size("spans") > 0, others).alias("others"))
 
 
 def line_words(found: DataFrame) -> DataFrame:
@@ -124,16 +143,7 @@ def line_words(found: DataFrame) -> DataFrame:
     line = line.select("doc_id", "text_id", F.col("l.start").alias("at"), F.col("l.line").alias("line"),
                        F.filter("spans", lambda s: (s["start"] < F.col("l.start") + F.length("l.line")) & (s["end"] > F.col("l.start"))).alias("spans"))
 
-    def words(text: Column) -> Column:
-        pieces = F.split(text, r"[^\x20\x09-\x0D]+", -1)
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,term:string>>").alias("out"))
-        pairs = F.zip_with(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), words_of(text), lambda p, w: F.struct(p.alias("p"), w.alias("w")))
-        return F.aggregate(pairs, zero, lambda a, x: F.struct(
-            (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("at"),
-            F.array_append(a["out"], F.struct((a["at"] + F.length(x["p"])).alias("start"), (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("end"),
-                                              x["w"].alias("term"))).alias("out")))["out"]
-
-    each = line.select("doc_id", "text_id", "at", "spans", F.explode(words(F.col("line"))).alias("w")).select(
+    each = line.select("doc_id", "text_id", "at", "spans", F.explode(_words(F.col("line"))).alias("w")).select(
         "doc_id", "text_id", "at", "spans", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.term").alias("term"))
     apart = each.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
     return apart.select("doc_id", "text_id", "at", "start", "end", "term",
@@ -143,23 +153,60 @@ def line_words(found: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame, beside: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, action): the terms that reveal an entity, with what becomes of them."""
-    together = stored(beside.select("doc_id", "text_id", "at", "entity", "term").distinct().groupBy("entity", "term")
-                      .agg(F.count("*").alias("n_both")), "pii-together")
+    by_line = beside.select("doc_id", "text_id", "at", "entity", "term").distinct().groupBy("entity", "term") \
+        .agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("line"))
+    apart = found.select("doc_id", "text_id", F.explode(F.array_distinct(words_of(F.col("others")))).alias("term"))
+    of_doc = beside.select("doc_id", "text_id", "term").union(apart).distinct()
+    held = stored(found.select("doc_id", "text_id", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity")).distinct(), "pii-held")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))
+    by_doc = of_doc.join(held.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), same).groupBy("entity", "term") \
+        .agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("doc"))
+    together = stored(by_line.unionByName(by_doc), "pii-together")
     value = found.select("doc_id", "text_id", F.explode("spans").alias("s"), F.explode("lines").alias("l")).where(
         (F.col("s.start") < F.col("l.start") + F.length("l.line")) & (F.col("s.end") > F.col("l.start")))
     n_entity = value.select("doc_id", "text_id", F.col("l.start").alias("at"), F.col("s.value").alias("entity")).distinct() \
-        .groupBy("entity").agg(F.count("*").alias("n_entity"))
-    lines = docs.select(F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line"))
-    # one row per line goes with its words under a null term: the number of lines comes along
-    terms = lines.select(F.explode(F.array_append(F.array_distinct(words_of(F.col("line"))), F.lit(None).cast("string"))).alias("term"))
-    n_term = stored(terms.groupBy("term").agg(F.count("*").alias("n_term")), "pii-terms")
-    n_lines = n_term.where(F.col("term").isNull()).agg(F.sum("n_term")).first()[0] or 1      # one number
-    known = together.join(stored(n_entity, "pii-entities"), "entity").join(n_term, "term")
-    information = F.log2(F.lit(float(n_lines)) / F.col("n_entity"))
-    share = F.col("n_entity") / F.lit(float(n_lines))
+        .groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("line"))
+    n_entity = n_entity.unionByName(held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("doc")))
+    whole = F.coalesce(text, F.lit(""))
+
+    def terms(of: Column, scale: str) -> Column:
+        """One row each for the different words, and one under a null term: the number of units comes along."""
+        return F.transform(F.array_append(F.array_distinct(words_of(of)), F.lit(None).cast("string")),
+                           lambda w: F.struct(w.alias("term"), F.lit(scale).alias("scale")))
+
+    lines = docs.select(F.explode(F.split(whole, "\n")).alias("line"))
+    every = lines.select(F.inline(terms(F.col("line"), "line"))).union(docs.select(F.inline(terms(whole, "doc"))))
+    n_term = stored(every.groupBy("term", "scale").agg(F.count("*").alias("n_term")), "pii-terms")
+    n_all = n_term.where(F.col("term").isNull()).groupBy("scale").agg(F.sum("n_term").alias("n_all"))    # two rows
+    known = together.join(stored(n_entity, "pii-entities"), ["entity", "scale"]).join(n_term, ["term", "scale"]).join(F.broadcast(n_all), "scale")
+    share = F.col("n_entity") / F.col("n_all")
+    information = -F.log2(share)
     mutual = F.log2((F.col("n_both") + smoothing * share) / (F.col("n_term") + smoothing) / share)
-    return known.where((information > 0) & (mutual >= disclosure * information)).select(
-        "entity", "term", F.when(F.col("n_both") >= F.col("n_term"), "removed").otherwise("term").alias("action"))
+    enough = F.when(F.col("scale") == "doc", information >= 1).otherwise(information > 0)
+    return known.where(enough & (mutual >= disclosure * information)).groupBy("entity", "term").agg(
+        F.when(F.max(F.col("n_both") >= F.col("n_term")), "removed").otherwise("term").alias("action"))
+
+
+def term_spans(docs: DataFrame, revealing: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every place of a disclosing term, in whatever document: doc_id, text_id, added (spans)."""
+    # all terms are masked alike wherever they stand: removed if that is due for one entity
+    terms = stored(revealing.groupBy("term").agg(F.min("action").alias("action")), "pii-disclosing")
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("_text")).withColumn("text_id", F.xxhash64("_text"))
+    words = rows.select("doc_id", "text_id", F.explode(F.array_distinct(words_of(F.col("_text")))).alias("term"))
+    hits = stored(words.join(bounded_broadcast(terms, MOST_TERMS), "term").groupBy("doc_id", "text_id").agg(
+        F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("actions")), "pii-hits")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))
+    rows = rows.join(hits.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), same).withColumn("names", F.map_keys("actions"))
+    rows = base_spans(rows).withColumn("spans", F.concat(*[f"_{k}" for k in KINDS]))
+    lines = _lines(F.col("_text"), lambda at, line: F.arrays_overlap(words_of(line), F.col("names")))
+    at = rows.select("doc_id", "text_id", "actions", "names", "spans", F.explode(lines).alias("l"))
+    at = at.select("doc_id", "text_id", "actions", "names", "spans", F.col("l.start").alias("at"), F.explode(_words(F.col("l.line"))).alias("w")) \
+        .where(F.array_contains(F.col("names"), F.col("w.term")))
+    at = at.select("doc_id", "text_id", "actions", "spans", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"),
+                   F.col("w.term").alias("value"))
+    apart = at.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
+    return apart.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(F.struct(
+        "start", "end", F.element_at("actions", F.col("value")).alias("kind"), "value"))).alias("added"))
 
 
 def sanitised_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", smoothing: float = SMOOTHING,
@@ -169,9 +216,7 @@ def sanitised_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sm
     some = found.where(F.size("spans") > 0)
     beside = stored(line_words(some), "pii-beside")
     revealing = stored(disclosing_terms(docs, some, beside, text, smoothing, disclosure), "pii-revealing")
-    added = beside.join(revealing, ["entity", "term"]).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(F.struct(
-        "start", "end", F.col("action").alias("kind"), F.col("term").alias("value")))).alias("added"))
-    added = stored(added, "pii-added")
+    added = stored(term_spans(docs, revealing, key, text), "pii-added")
     both = found.join(added.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t")), "left")
     return both.select("doc_id", "text_id", F.col("spans").alias("base"),
                        F.when(F.col("added").isNull(), F.col("spans")).otherwise(ordered(F.concat("spans", "added"))).alias("spans"))
@@ -182,7 +227,7 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
 
     Defined results: null texts are empty and have no spans; spans of different kinds may overlap and
     are all reported; a term inside a base span adds nothing; a word that reveals two entities is one
-    span per action; rows repeated under one id are reported each, and count as one document in
+    span, removed if one of them asks for it; rows repeated under one id are reported each, and count as one document in
     the term statistics when their text is equal; an empty table gives an empty table; only the
     named columns are read.
     """

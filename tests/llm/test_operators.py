@@ -249,6 +249,16 @@ def test_terms_of_entities_seen_once(spark):
     assert all(got[i]["n_terms"] == 0 for i in range(100))
 
 
+@pytest.mark.parametrize("most", [10**6, 0])                             # broadcast; shuffled
+def test_terms_across_lines_and_documents(spark, monkeypatch, most):
+    monkeypatch.setattr(sanitise, "MOST_TERMS", most)
+    rows = [(i, f"common words\nstand in every line {i % 7}") for i in range(200)]
+    rows += [(300 + i, "Quenbix common\n\nmail: jane@x.org words\nQuenbix\tevery") for i in range(4)] + [(400, "line with Quenbix")]
+    got = {r["doc_id"]: r["spans"] for r in sanitise.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[300] == "term:0:7,removed:16:21,email:22:32,term:39:46"
+    assert got[400] == "term:10:17" and not any(got[i] for i in range(200))
+
+
 def test_site_shrinkage(spark):
     rows = [("big", "p", 0.0)] * 500 + [("other", "p", 1.0)] * 500 + [("tiny", "p", 0.0)]
     got, prior = site_quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
