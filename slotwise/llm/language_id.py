@@ -5,8 +5,9 @@ hashed byte 2- and 3-grams, letters only) predicts that bit.  Decoding weighs ea
 loss by how often that bit was right for that language on the training rows, and takes the
 codeword of least total loss; documents whose two best codewords are close are flagged ambiguous.
 
-The n-gram counts are sums over all training rows, made by the tasks and added up by Spark; the
-model is a table of (languages x buckets) counts, bounded by ``max_langs``.
+The n-gram counts are sums over all training rows, made by the tasks and kept as a Spark table of
+(language, bucket) rows; the tasks add them up per bit of the codewords.  The model has a
+(buckets x bits) array, about 10 log2(n) bits, and (languages x bits) ones: every language is learned.
 
 Defined results: null, empty or letterless text is ``und`` with score 0; without any training row
 everything is ``und``; a single learned language gets score 1; equal losses go to the
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import textnum
-from slotwise.llm.common import arrow_map
+from slotwise.llm.common import arrow_map, stored
 
 BUCKETS = 1 << 12           # for each n-gram length
 FEATURES = 2 * BUCKETS
@@ -62,7 +63,8 @@ def ngram_counts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def codewords(n: int) -> np.ndarray:
     """(languages x bits) of +-1: all splits into two parts for up to 6 languages, else random
-    codes of 10 log2(n) bits, the best of many draws by smallest distance between rows."""
+    codes of 10 log2(n) bits, the best of many draws by smallest distance between rows (above 256
+    languages the first draw whose rows all differ)."""
     if n <= 1:
         return np.ones((n, 1))
     if n <= 6:
@@ -72,6 +74,10 @@ def codewords(n: int) -> np.ndarray:
     for _ in range(200):
         code = rng.choice([-1.0, 1.0], (n, bits))
         code = code[:, np.abs(code.sum(0)) < n]
+        if n > 256:
+            if len(np.unique(code, axis=0)) == n:
+                return code
+            continue
         apart = (code[:, None, :] != code[None, :, :]).sum(2) + np.eye(n) * bits
         if apart.min() > most:
             best, most = code, apart.min()
@@ -90,50 +96,71 @@ class Model:
         return counts @ self.weights / np.maximum(total, 1)
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
-        z = self.margins(counts)[:, None, :] * self.code[None, :, :]
-        return (np.logaddexp(0, -z) * self.trust[None, :, :]).sum(2) / self.trust.sum(1)[None, :]
+        z = self.margins(counts)
+        plus, minus = self.trust * (self.code > 0), self.trust * (self.code < 0)
+        return (np.logaddexp(0, -z) @ plus.T + np.logaddexp(0, z) @ minus.T) / self.trust.sum(1)[None, :]
 
 
-def model_from_counts(langs: list[str], counts: np.ndarray) -> Model:
-    """Bit classifiers from (languages x FEATURES) counts; languages weigh alike."""
-    code = codewords(len(langs))
-    half = counts + 0.5
-    shares = np.concatenate([p / p.sum(1, keepdims=True) for p in (half[:, :BUCKETS], half[:, BUCKETS:])], 1)
+def model_from_sums(langs: list[str], code: np.ndarray, of_ones: np.ndarray, of_all: np.ndarray) -> Model:
+    """Bit classifiers from (FEATURES x bits) and (FEATURES) sums of the languages' n-gram shares; languages weigh alike."""
     if len(langs) == 1:
         weights = np.ones((FEATURES, 1))
     else:
-        ones, zeros = (code > 0).astype(float), (code < 0).astype(float)
-        weights = np.log((shares.T @ ones) / ones.sum(0)) - np.log((shares.T @ zeros) / zeros.sum(0))
-        apart = np.abs(((shares.T @ (ones / ones.sum(0) - zeros / zeros.sum(0))) * weights).sum(0)) / 4
+        ones, zeros = of_ones / (code > 0).sum(0), (of_all[:, None] - of_ones) / (code < 0).sum(0)
+        weights = np.log(ones) - np.log(zeros)
+        apart = np.abs(((ones - zeros) * weights).sum(0)) / 4
         weights = weights / np.maximum(apart, 1e-9) * 3      # +-3 is the mean margin of either side
     return Model(langs, code, weights, np.ones_like(code))
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_langs: int = 256) -> Model | None:
-    """Learn from every row of ``train`` that has a language (of more than ``max_langs`` languages,
-    those with most rows: the model's bound).  None without training rows."""
+def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
+    """Learn from every row of ``train`` that has a language.  None without training rows."""
     rows = train.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    langs = sorted(r["lang"] for r in top)
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().toLocalIterator())
     if not langs:
         return None
     index = {x: i for i, x in enumerate(langs)}
+    code = codewords(len(langs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(langs), FEATURES))
         for batch in batches:
-            at = np.array([index.get(x, -1) for x in batch.column(1).to_pylist()], int)
+            at = np.array([index[x] for x in batch.column(1).to_pylist()], int)
             for lo, hi, buf, offsets in textnum.slices(batch.column(0)):
-                known = at[lo:hi] >= 0
-                np.add.at(sums, at[lo:hi][known], ngram_counts(buf, offsets)[known])
-        i, j = np.nonzero(sums)
-        yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32), "n": sums[i, j]})
-
-    counts = np.zeros((len(langs), FEATURES))
-    table = arrow_map(rows, count, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n"))
-    for r in table.toLocalIterator():
-        counts[r["i"], r["j"]] = r["n"]
-    model = model_from_counts(langs, counts)
+                here, place = np.unique(at[lo:hi], return_inverse=True)
+                sums = np.zeros((len(here), FEATURES))
+                for first in range(0, hi - lo, 256):         # so many documents' counts at once
+                    last = min(first + 256, hi - lo)
+                    part = ngram_counts(buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+                    np.add.at(sums, place[first:last], part)
+                i, j = np.nonzero(sums)
+                yield pa.RecordBatch.from_pydict({"i": here[i].astype(np.int32), "j": j.astype(np.int32), "n": sums[i, j]})
+
+    counts = stored(arrow_map(rows, count, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")), "lang-ngrams")
+    half = (F.col("j") >= BUCKETS).cast("int").alias("h")
+    total = np.full((len(langs), 2), 0.5 * BUCKETS)
+    for r in counts.groupBy("i", half).agg(F.sum("n").alias("n")).toLocalIterator():
+        total[r["i"], r["h"]] += r["n"]
+
+    def per_bit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.concatenate([code > 0, np.ones((len(langs), 1))], 1)
+        sums, seen = np.zeros((FEATURES, bits.shape[1])), np.zeros(FEATURES, bool)
+        for batch in batches:
+            i, j, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for lo in range(0, len(i), 4096):
+                x, y = i[lo:lo + 4096], j[lo:lo + 4096]
+                np.add.at(sums, y, bits[x] * (n[lo:lo + 4096] / total[x, (y >= BUCKETS).astype(int)])[:, None])
+                seen[y] = True
+        j = np.flatnonzero(seen)
+        for lo in range(0, len(j), 1024):
+            k = j[lo:lo + 1024]
+            yield pa.RecordBatch.from_pydict({"j": np.repeat(k, sums.shape[1]).astype(np.int32), "b": np.tile(np.arange(sums.shape[1], dtype=np.int32), len(k)),
+                                              "p": sums[k].ravel()})
+
+    low = 0.5 / total                                           # every bucket's share without any n-gram
+    sums = np.repeat(low.T @ np.concatenate([code > 0, np.ones((len(langs), 1))], 1), BUCKETS, 0)
+    for r in arrow_map(counts, per_bit, "j int, b int, p double").groupBy("j", "b").agg(F.sum("p").alias("p")).toLocalIterator():
+        sums[r["j"], r["b"]] += r["p"]
+    model = model_from_sums(langs, code, sums[:, :-1], sums[:, -1])
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, seen = np.zeros(model.code.shape), np.zeros(len(langs))

@@ -175,6 +175,16 @@ def test_language_on_edges(spark, docs):
     assert language_id.predict(docs, language_id.fit(docs.limit(0)), {"doc_id": F.col("doc_id")}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_more_languages_than_256(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)), f"l{i:03}") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(table)
+    assert len(model.langs) == 300
+    got = language_id.predict(table, model, {"lang": F.col("lang")}).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 285
+
+
 def brute_near(rows, size, percent):
     sets = {}
     for k, t in rows:
