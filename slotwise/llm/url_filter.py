@@ -2,10 +2,11 @@
 
 Strict terms reject a url by one hit, soft terms only when several different ones hit.  A hit
 counts only between boundaries: no ASCII letter or digit stands next to it, so ``ads-track`` does
-not fire inside ``roads-tracker``.  All terms are searched in one pass over host and path.
+not fire inside ``roads-tracker``.  All terms are searched in one pass over the whole
+url, lower-cased, with its query and fragment.
 
-Defined results: a null url, or one without ``://``, has an empty host and path, no rule and the
-verdict allow; repeated rows are judged alike; an empty table gives an empty table; only the named
+Defined results: a null url, or one without ``://``, has an empty host and path and no rule, and only
+terms can block it; repeated rows are judged alike; an empty table gives an empty table; only the named
 columns are read, so further columns never clash.
 """
 
@@ -55,8 +56,8 @@ def _between(text: str, start: int, end: int) -> bool:
     return not (start and inner(text[start - 1])) and not (end < len(text) and inner(text[end]))
 
 
-def term_hits(df: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
-    """Adds ``n_strict`` (hits) and ``n_soft`` (different soft terms) of host and path."""
+def term_hits(df: DataFrame, strict=STRICT, soft=SOFT, url: str = "url") -> DataFrame:
+    """Adds ``n_strict`` (hits) and ``n_soft`` (different soft terms) of the url."""
     kinds = {**dict.fromkeys(soft, False), **dict.fromkeys(strict, True)}
 
     @F.pandas_udf("n_strict long, n_soft long")
@@ -80,15 +81,15 @@ def term_hits(df: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
             yield pd.DataFrame(rows, columns=["n_strict", "n_soft"])
 
     ship(df.sparkSession)
-    lowered = F.lower(F.concat("host", "path"))
+    lowered = F.lower(F.coalesce(url, F.lit("")))
     return df.withColumn("_hits", count(lowered)).select("*", "_hits.n_strict", "_hits.n_soft").drop("_hits")
 
 
 def url_filter(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, strict=STRICT, soft=SOFT,
                soft_hits: int = SOFT_HITS) -> DataFrame:
     """One row per page: key, host, path, rule, verdict (allow or block), n_strict, n_soft."""
-    parsed = with_host_path(pages.select(F.col(key), F.col(url).alias("_url")), "_url").drop("_url")
-    judged = term_hits(parsed, strict, soft)
+    parsed = with_host_path(pages.select(F.col(key), F.col(url).alias("_url")), "_url")
+    judged = term_hits(parsed, strict, soft, "_url")
     by_terms = F.when((F.col("n_strict") >= 1) | (F.col("n_soft") >= soft_hits), "block").otherwise("allow")
     return judged.select(
         key, "host", "path", _first_rule(rules, lambda v, h, p: F.lit(h + p)).alias("rule"),

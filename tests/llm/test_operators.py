@@ -165,6 +165,13 @@ def test_urls(spark):
     assert [verdict[i][3] for i in (5, 6, 7, 8, 9)] == ["allow", "block", "block", "allow", "block"]
 
 
+def test_terms_in_the_whole_url(spark):
+    rows = [(1, "http://x.com/search?q=CASINO"), (2, "http://x.com/a#free-bonus"), (3, "casino"), (4, "http://x.com/free?a=bonus"),
+            (5, "http://x.com/?q=casinos"), (6, "http://x.org/fr/?q=casino"), (7, "http://x.com/?q=free")]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_filter(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow"}
+
+
 def test_language_on_edges(spark, docs):
     model = language_id.fit(spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id") % 2 == 0))
     got = {r["doc_id"]: r for r in language_id.predict(docs, model, {"doc_id": F.col("doc_id")}).collect()}
