@@ -31,19 +31,21 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, key: str =
     """Per piece: key, piece, start, length, ids_crc32.  A document is its ids, then id 0 (null
     text: only that); longer ones are cut every ``capacity`` ids."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids.cached(tokenizer)
-        step = 4 * capacity
+        table = word_ids.cached(tokenizer)
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of.of(value.as_py() or "") + b"\0\0\0\0"
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    for column, x in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        column.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(x, pa.int64()) for x in rows[2:])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            keys = batch.column(0).to_pylist()
+            for row, stop, ids, ends in word_ids.ids_of(batch.column(1), table):
+                rows: list[list] = [[], [], [], [], []]
+                flat = ids.astype("<u4").tobytes()
+                for doc, a, b in zip(keys[row:stop], ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    own = flat[4 * a:4 * b] + b"\0\0\0\0"
+                    for k, at in enumerate(range(0, len(own) // 4, capacity)):
+                        part = own[4 * at:4 * (at + capacity)]
+                        for column, x in zip(rows, (doc, k, at, len(part) // 4, zlib.crc32(part)), strict=True):
+                            column.append(x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(x, pa.int64()) for x in rows[2:])],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return arrow_map(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), cut,
                      "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, sanitise, site_quality, substring_dedup, url_filter
+from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, prefix_bpe, sanitise, site_quality, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,9 +71,13 @@ def op10_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame
     return sanitise.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digests(prefix_bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), decode=True))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op3_fm_index, op4_best_fit_packing, op5_hierarchical_budgeting, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
-                                  op10_information_sanitisation)}
+                                  op10_information_sanitisation, op11_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

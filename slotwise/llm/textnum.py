@@ -80,6 +80,29 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     return hashes, np.searchsorted(starts, offsets)
 
 
+def runs(buf: np.ndarray, offsets: np.ndarray, kept: np.ndarray, lower: bool = False) -> tuple[pa.StringArray, np.ndarray]:
+    """The runs of bytes that ``kept`` (256 flags) allows as strings, and where each document's begin
+    (one more for the end).  ``kept`` must hold all bytes above 127 or none of them."""
+    starts = run_starts(buf, offsets, kept)
+    inside = kept[buf]
+    data = (_LOWER[buf] if lower else buf)[inside]
+    places = np.zeros(len(starts) + 1, np.int32)
+    places[:-1] = np.cumsum(inside)[starts] - 1
+    places[-1] = len(data)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data))
+    return words, np.searchsorted(starts, offsets)
+
+
+def run_starts(buf: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Where runs of ``kept`` bytes begin; a run ends with its document."""
+    inside = kept[buf]
+    cut = np.zeros(len(buf) + 1, bool)
+    cut[offsets] = True
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | cut[1:len(buf)]
+    return np.flatnonzero(first)
+
+
 def combine(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of ``n`` consecutive hashes (order matters)."""
     if len(hashes) < n:

@@ -1,49 +1,101 @@
-"""Token ids of whole texts, word by word, with a cache that lives as long as a Python worker."""
+"""Token ids of whole text columns: words are looked up once a slice, ids are gathered by numpy.
+
+A text is cut at the six ASCII white-space characters, which end every token of the vocabularies
+used here, so its ids are its words' ids in order.  ``WordTable`` keeps the ids of words already
+seen, for as long as a Python worker lives.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
 import numpy as np
+import pyarrow as pa
+
+from slotwise.llm import textnum
+
+TABLE_WORDS = 400_000
+SLICE_BYTES = 4 << 20
+#: Bytes of words: all but the six ASCII white-space characters.
+WORD_BYTES = np.ones(256, bool)
+WORD_BYTES[[32, 9, 10, 11, 12, 13]] = False
+
+
+class WordTable:
+    """Words -> their ids in one flat array.  Beyond ``TABLE_WORDS`` words it starts anew."""
 
-CACHE_WORDS = 300_000
-_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]]):
+        self.encode = encode
+        self._clear()
 
+    def _clear(self) -> None:
+        self.row: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1 << 16, np.int64)             # row k: ids[ends[k]:ends[k + 1]]
 
-class WordIds(dict):
-    """Word -> its token ids (little-endian uint32 bytes); a cache in front of the tokenizer.
+    def _add(self, words: list[str]) -> None:
+        new = self.encode(words)
+        first, used = len(self.row), int(self.ends[len(self.row)])
+        ends = used + np.cumsum([len(x) for x in new])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.ends) <= first + len(new):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[used:ends[-1]] = [i for x in new for i in x]
+        self.ends[first + 1:first + 1 + len(new)] = ends
+        self.row.update(zip(words, range(first, first + len(new)), strict=True))
 
-    White space ends every token of this vocabulary, so a text's ids are its words' ids in order;
-    and ASCII letters followed by ASCII punctuation (no apostrophe) split in two there, in lower
-    case, so ``Word,`` and ``word`` share an entry.
-    """
+    def lookup(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids, and where each word's begin (one more for the end)."""
+        coded = words.dictionary_encode()
+        values = coded.dictionary.to_pylist()
+        new = [w for w in values if w not in self.row]
+        if new and len(self.row) + len(new) > TABLE_WORDS:
+            self._clear()
+            new = values
+        if new:
+            self._add(new)
+        rows = np.fromiter(map(self.row.__getitem__, values), np.int64, len(values))[coded.indices.to_numpy(zero_copy_only=False)]
+        begin, size = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ends = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(size, out=ends[1:])
+        return self.ids[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def ids_of(column: pa.Array, table: WordTable, by_word: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, ids, where each row's ids begin) for slices of a text column; nulls are
+    empty.  Unless ``by_word``, whole texts go to the table."""
+    for row, stop, buf, offsets in textnum.slices(column, SLICE_BYTES):
+        if by_word:
+            words, first = textnum.runs(buf, offsets, WORD_BYTES)
+        else:
+            words = pa.StringArray.from_buffers(stop - row, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(buf)))
+            first = np.arange(stop - row + 1)
+        ids, ends = table.lookup(words)
+        yield row, stop, ids, ends[first]
+
+
+class LibraryTable(WordTable):
+    """A word table filled by the tokenizers library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        if word.isascii():
-            core = word.rstrip(_TAIL)
-            low = core.lower()
-            if core.isalpha() and low != word:
-                ids = self[low] + (self[word[len(core):]] if len(core) < len(word) else b"")
-                self[word] = ids
-                return ids
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
-        return ids
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        super().__init__(lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        """One text's ids (little-endian uint32 bytes)."""
+        return b"".join(ids.astype("<u4").tobytes() for _, _, ids, _ in ids_of(pa.array([text]), self))
 
 
-_caches: dict[str, WordIds] = {}
+_tables: dict[str, LibraryTable] = {}
 
 
-def cached(path: str) -> WordIds:
-    """This worker's cache for a tokenizer file."""
-    if path not in _caches:
-        _caches[path] = WordIds(path)
-    return _caches[path]
+def cached(path: str) -> LibraryTable:
+    """This worker's table for a tokenizer file."""
+    if path not in _tables:
+        _tables[path] = LibraryTable(path)
+    return _tables[path]
