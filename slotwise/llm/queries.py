@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import divergence, embedding_dedup, language_id, minhash, mixing, packing, prefix_bpe, sanitise, site_quality, substring_dedup, url_filter
+from slotwise.llm import collocations, divergence, embedding_dedup, language_id, minhash, mixing, packing, prefix_bpe, sanitise, site_quality, source_audit, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,10 +75,19 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.digests(prefix_bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), decode=True))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents")).drop("cut")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence_audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_distribution_divergence, op2_iterative_quantisation, op3_fm_index, op4_best_fit_packing, op5_hierarchical_budgeting, op6_empirical_bayes, op7_url_vocabulary, op8_language_id, op9_minmax_hashing,
-                                  op10_information_sanitisation, op11_prefix_bpe)}
+                                  op10_information_sanitisation, op11_prefix_bpe, op12_phrase_collocations, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_distribution_divergence": divergence.oracle(), "op5_hierarchical_budgeting": mixing.oracle(**MIX), "op7_url_vocabulary": url_filter.oracle()}
+    return {"op1_distribution_divergence": divergence.oracle(), "op5_hierarchical_budgeting": mixing.oracle(**MIX), "op7_url_vocabulary": url_filter.oracle(), "op12_phrase_collocations": collocations.oracle(),
+            "op13_source_divergence": source_audit.oracle()}
