@@ -224,8 +224,8 @@ def oracle() -> str:
     cuts AS (SELECT c.lang, c.phrase, c.a, cut, h.f AS l, t.f AS r, (c.a::HUGEINT * {SCORE_SCALE}) // (h.f + t.f) AS score
              FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
              JOIN g h ON h.lang = c.lang AND h.phrase = array_to_string(ws[1:cut], ' ') JOIN g t ON t.lang = c.lang AND t.phrase = array_to_string(ws[cut + 1:], ' ')),
-    lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS at FROM cuts),
+    lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts),
     n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
     ranked AS (SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank FROM lowest w LEFT JOIN longer o
-               ON o.lang = w.lang AND o.phrase = w.phrase WHERE at = 1 AND (f_longer IS NULL OR 100 * f_longer < {CONTAINED_PERCENT} * a))
+               ON o.lang = w.lang AND o.phrase = w.phrase WHERE nth = 1 AND (f_longer IS NULL OR 100 * f_longer < {CONTAINED_PERCENT} * a))
     SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= {TOP}"""
