@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ class PrefixBpe:
         self.split = library.pre_tokenizer.pre_tokenize_str
         #: white space never reaches a token, so texts may be cut at it
         self.by_word = [w for w, _ in self.split(self.normalize("a b\tc\nd"))] == ["a", "b", "c", "d"]
+        self.ascii_split = _ascii_split(spec) if self.by_word else None
         self.decoder = (spec.get("decoder") or {}).get("type")
         vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         self.end = _END if suffix else ""
@@ -162,28 +164,46 @@ class PrefixBpe:
             self._compatible[at] = known
         return known
 
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of one word (byte-level characters)."""
-        text = piece + self.end
+    def _pieces(self, pieces: list[str]) -> dict[str, list[int]]:
+        """Ids of distinct words (byte-level characters).  In sorted order a word's prefixes are often those
+        of the word before, whose last tokens still hold."""
+        step, longest, length, shorter, memo = self.step, self.longest, self.length, self.shorter, self._compatible
+        found: dict[str, list[int]] = {}
         last: list[int] = []                             # of the prefix that ends at each place
-        step, longest, length = self.step, self.longest, self.length
-        node = 0
-        for place, c in enumerate(text):
-            node = step[node][c] if c in step[node] else self._next(node, c)
-            token = longest[node]
-            while token >= 0:
-                before = place - length[token]
-                if before < 0 or last[before] >= 0 and self.compatible(last[before], token):
+        nodes: list[int] = []
+        text = ""
+        for piece in sorted(pieces):
+            before, text = text, piece + self.end
+            same = 0
+            for x, y in zip(before, text):
+                if x != y:
                     break
-                token = self.shorter[token]
-            last.append(token)
-        out, place = [], len(text) - 1
-        while place >= 0:
-            if last[place] < 0:
-                raise ValueError(f"no encoding of {piece!r}: a character is missing from the vocabulary")
-            out.append(last[place])
-            place -= self.length[last[place]]
-        return out[::-1]
+                same += 1
+            del last[same:], nodes[same:]
+            node = nodes[-1] if nodes else 0
+            for place in range(same, len(text)):
+                c = text[place]
+                node = step[node][c] if c in step[node] else self._next(node, c)
+                nodes.append(node)
+                token = longest[node]
+                while token >= 0:
+                    left = place - length[token]
+                    if left < 0:
+                        break
+                    if (prior := last[left]) >= 0:
+                        fits = memo.get(prior << 32 | token)
+                        if self.compatible(prior, token) if fits is None else fits:
+                            break
+                    token = shorter[token]
+                last.append(token)
+            out, place = [], len(text) - 1
+            while place >= 0:
+                if last[place] < 0:
+                    raise ValueError(f"no encoding of {piece!r}: a character is missing from the vocabulary")
+                out.append(last[place])
+                place -= length[last[place]]
+            found[piece] = out[::-1]
+        return found
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text.  Strings of added tokens in it become those tokens, as in the library."""
@@ -192,28 +212,27 @@ class PrefixBpe:
             if part in self.added:
                 out.append(self.added[part])
             elif part:
-                for piece, _ in self.split(self.normalize(part)):
-                    out += self._piece(piece)
+                pieces = [piece for piece, _ in self.split(self.normalize(part))]
+                ids = self._pieces(list(set(pieces)))
+                for piece in pieces:
+                    out += ids[piece]
         return out
 
     def encode_many(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of many words.  Plain ASCII words are normalized and split in one call, where
-        white space keeps them apart; the rest one by one."""
-        plain = [self.by_word and w.isascii() and w.isprintable() and " " not in w and not (self.outside and self.outside.search(w))
-                 for w in words]
-        together = [w for w, p in zip(words, plain, strict=True) if p]
-        text = self.normalize(" ".join(together))
-        out: list[list[int]] = [[] for _ in together]
-        ends = np.cumsum([len(w) + 1 for w in text.split(" ")]).tolist()
-        if text and len(ends) != len(together):
-            raise ValueError("the normalizer joins or splits ASCII words")
-        at, seen = 0, {}
-        for piece, (start, _) in self.split(text) if text else ():
-            while start >= ends[at]:
-                at += 1
-            if piece not in seen:
-                seen[piece] = self._piece(piece)
-            out[at] += seen[piece]
+        """Ids of each of many words.  Plain ASCII words need no Unicode rules: where the file's own
+        pattern splits them, all are split in one call, kept apart by line ends."""
+        if self.ascii_split is None:
+            return [self.encode(w) for w in words]
+        plain = [w.isascii() and w.isprintable() and not ("<" in w and self.outside and self.outside.search(w)) for w in words]
+        pieces = self.ascii_split.findall("\n".join([w for w, p in zip(words, plain, strict=True) if p]).lower())
+        ids = self._pieces(list(set(pieces) - {"\n"}))
+        ids["\n"] = []
+        out: list[list[int]] = [[]]
+        for piece in pieces:
+            if piece == "\n":
+                out.append([])
+            else:
+                out[-1] += ids[piece]
         found = iter(out)
         return [next(found) if p else self.encode(w) for w, p in zip(words, plain, strict=True)]
 
@@ -228,6 +247,19 @@ class PrefixBpe:
         return pa.array([_bytes_of(x).decode("utf-8", "replace") for x in pc.binary_join(names, "").to_pylist()], pa.string())
 
 
+def _ascii_split(spec: dict) -> regex.Pattern | None:
+    """The file's splitting pattern, with line ends as pieces of their own, if ASCII text is only lower-cased
+    and split by it."""
+    normal, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    kinds = [x["type"] for x in normal.get("normalizers", ())], [x["type"] for x in split.get("pretokenizers", ())]
+    if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+        return None
+    cut, level = split["pretokenizers"]
+    if cut["behavior"] != "Removed" or not cut["invert"] or level["add_prefix_space"] or level["use_regex"] or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"}:
+        return None
+    return regex.compile(r"\n|" + cut["pattern"]["Regex"])
+
+
 def _byte_characters() -> dict[str, int]:
     """Byte-level characters: printable Latin-1 characters are their bytes, the other bytes follow
     from 256 on."""
