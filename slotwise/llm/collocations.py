@@ -8,6 +8,11 @@ pass, so no n-gram is exploded for itself.
 A phrase can't be more frequent than its words, so words below the minimum end a window as padding
 does.  Words that reach it get numbers while they fit ``MAX_WORDS`` (windows are then two 64-bit
 numbers); with more words the same windows are counted as strings, none left out.
+
+Windows are dealt by their first two words, so the counts of four and three words are complete in
+one task, and third words that can't make a phrase are folded into the padding before the ROLLUP shuffles
+again.  Pairs of hot words (each at least 1 in ``HOT`` of all words) are dealt by their third word
+too, triples of hot words by their fourth; what then isn't complete in a task is left to the ROLLUP.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ CONTAINED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 MAX_WORDS = 1_000_000
 MAX_LANGS = 10_000
+HOT, SALTS = 1000, 64
 #: A language's candidates are ranked in this many hash groups before the survivors are ranked together.
 RANK_GROUPS = 256
 #: Bytes that end a piece, and those that end a word.
@@ -79,58 +85,100 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang", min_cou
     return stored(counts.where(F.col("word").isNull() | (F.col("n") >= min_count)), "collocation-words")
 
 
-def _follow(w: np.ndarray, piece: np.ndarray, nothing: int) -> list[np.ndarray]:
-    """The window of each word: itself and the next ones, ``nothing`` from its piece's end on or from where
-    a word is ``nothing``."""
+def _follow(w: np.ndarray, piece: np.ndarray) -> list[np.ndarray]:
+    """The window of each word: itself and the next ones, 0 from its piece's end on or from a 0."""
     columns = [w]
     for k in range(1, LONGEST):
-        at = np.full(len(w), nothing, w.dtype)
+        at = np.zeros_like(w)
         if len(w) > k:
-            goes_on = (piece[k:] == piece[:-k]) & (columns[-1][:-k] != nothing)
-            at[:-k] = np.where(goes_on, w[k:], nothing)
+            at[:-k] = np.where((piece[k:] == piece[:-k]) & (columns[-1][:-k] > 0), w[k:], 0)
         columns.append(at)
     return columns
 
 
-def _numbered_windows(rows: DataFrame, numbers: dict[str, dict[str, int]]) -> DataFrame:
-    """Counted windows (w1..w4, n) of words' numbers, 0 for padding."""
-    shared = rows.sparkSession.sparkContext.broadcast(numbers)
+def _windows(w: np.ndarray, piece: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A slice's different windows of numbers as (first two, last two, how many of the first three are hot
+    from the second on, count)."""
+    w1, w2, w3, w4 = _follow(w, piece)
+    some = w1 > 0
+    first, last = w1[some] << 32 | w2[some], w3[some] << 32 | w4[some]
+    order = np.lexsort((last, first))
+    first, last = first[order], last[order]
+    starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (last[1:] != last[:-1])])[:len(first)])
+    n = np.diff(np.append(starts, len(first)))
+    first, last = first[starts], last[starts]
+    pair = hot[first >> 32] & hot[first & _LOW]
+    return first, last, pair.astype(np.int32) + (pair & hot[last >> 32]), n
+
+
+_LOW = (1 << 32) - 1
+
+
+def _numbered_windows(rows: DataFrame, numbers: dict[str, dict[str, int]], hot: set[tuple[str, str]]) -> DataFrame:
+    """Windows (first, last: two words' numbers each, 0 for padding, heat, n), counted within slices."""
+    known = rows.sparkSession.sparkContext.broadcast((numbers, sorted(numbers[g][w] for g, w in hot), sum(map(len, numbers.values()))))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number_of, hot_numbers, most = known.value
+        is_hot = np.zeros(most + 1, bool)
+        is_hot[hot_numbers] = True
         for batch in batches:
             for langs, of_word, words, piece in _slices(batch):
                 size = len(words.dictionary)
                 keys, at = np.unique(of_word * size + _codes(words), return_inverse=True)
-                of = [shared.value.get(x, {}) for x in langs.to_pylist()]
+                of = [number_of.get(x, {}) for x in langs.to_pylist()]
                 names = words.dictionary.to_pylist()
                 number = np.fromiter((of[k // size].get(names[k % size], 0) for k in keys.tolist()), np.int64, len(keys))
-                w = _follow(number[at], piece, 0)
-                some = w[0] > 0
-                first, last = w[0][some] << 32 | w[1][some], w[2][some] << 32 | w[3][some]
-                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(last)], names=["first", "last"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _windows(number[at], piece, is_hot)], names=["first", "last", "heat", "n"])
 
-    counted = arrow_map(rows, windows, "first long, last long").groupBy("first", "last").agg(F.count("*").alias("n"))
-    halves = [h(F.col(c)) for c in ("first", "last") for h in (lambda x: F.shiftright(x, 32), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)))]
-    return counted.select(*[h.cast("int").alias(w) for h, w in zip(halves, _WORDS, strict=True)], "n")
+    return arrow_map(rows, windows, "first long, last long, heat int, n long")
 
 
-def _named_windows(rows: DataFrame) -> DataFrame:
-    """Counted windows (lang, w1..w4, n) of the words themselves, empty for padding."""
+def _named_windows(rows: DataFrame, hot: set[tuple[str, str]]) -> DataFrame:
+    """Windows (lang, w1..w4: words, empty for padding, heat, n), counted within slices."""
+    known = rows.sparkSession.sparkContext.broadcast(hot)
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for langs, of_word, words, piece in _slices(batch):
-                names = pa.concat_arrays([words.dictionary, pa.array([""], words.dictionary.type)])
-                w = _follow(_codes(words), piece, len(words.dictionary))
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(of_word)), *[names.take(pa.array(x)) for x in w]], names=["lang", *_WORDS])
+                size = len(words.dictionary)
+                keys, at = np.unique(of_word * size + _codes(words), return_inverse=True)
+                of, names = langs.take(pa.array(keys // size)), words.dictionary.take(pa.array(keys % size))
+                is_hot = np.array([False, *((g, w) in known.value for g, w in zip(of.to_pylist(), names.to_pylist(), strict=True))])
+                first, last, heat, n = _windows(at.astype(np.int64) + 1, piece, is_hot)
+                names = pa.concat_arrays([pa.array([""], names.type), names])
+                yield pa.RecordBatch.from_arrays([of.take(pa.array((first >> 32) - 1)), *[names.take(pa.array(x)) for x in (first >> 32, first & _LOW, last >> 32, last & _LOW)],
+                                                  pa.array(heat), pa.array(n)], names=["lang", *_WORDS, "heat", "n"])
 
-    return arrow_map(rows, windows, "lang string, " + ", ".join(f"{w} string" for w in _WORDS)).groupBy("lang", *_WORDS).agg(F.count("*").alias("n"))
+    return arrow_map(rows, windows, "lang string, " + ", ".join(f"{w} string" for w in _WORDS) + ", heat int, n long")
 
 
-def _marginals(counted: DataFrame, lead: list[str], nothing, min_count: int) -> DataFrame:
-    """(lead.., words: the phrase, f) of the phrases of one to four words with ``min_count`` occurrences,
-    from counted longest windows."""
-    longest = counted.where((F.col("n") >= min_count) & (F.col("w4") != nothing)).select(*lead, F.array(*_WORDS).alias("words"), F.col("n").alias("f"))
-    sums = counted.rollup(*lead, *_WORDS[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
+def _levels(windows: DataFrame, head: list[str], tail: list[str], third: Column, fourth: Column, nothing: Column, min_count: int) -> DataFrame:
+    """(head.., third, fourth, n): the windows with ``min_count`` occurrences, and with fourth null the sums
+    over the fourth word, where the third is ``nothing`` if it can't make a phrase.  Stored.
+
+    Dealt by ``head`` (the first two words) and, for hot words, salts: one shuffle, and every step
+    after it stays in its task.
+    """
+    by_third, by_fourth = (F.pmod(F.xxhash64(x), F.lit(SALTS)) for x in (third, fourth))
+    salt = F.when(F.col("heat") == 0, 0).when(F.col("heat") == 1, 1 + by_third).otherwise(1 + SALTS + SALTS * by_third + by_fourth).cast("int")
+    dealt = windows.withColumn("salt", salt).repartition(*head, "salt")
+    counted = (dealt.groupBy(*head, "salt", "heat", *tail).agg(F.sum("n").alias("n"))
+               .select(*head, "salt", "heat", third.alias("third"), fourth.alias("fourth"), "n"))
+    # the condition on the word names n, so it stays above the count and both uses share one shuffle
+    longest = counted.where((F.col("n") >= min_count) & (F.when(F.col("n") >= min_count, F.col("fourth")) != nothing))
+    triples = counted.groupBy(*head, "salt", "heat", "third").agg(F.sum("n").alias("n"))
+    kept = F.when((F.col("n") >= min_count) | (F.col("heat") == 2), F.col("third")).otherwise(nothing)
+    folded = triples.withColumn("third", kept).groupBy(*head, "salt", "third").agg(F.sum("n").alias("n"))
+    sums = folded.select(*head, "third", F.lit(None).cast(counted.schema["fourth"].dataType).alias("fourth"), "n")
+    return stored(longest.select(*head, "third", "fourth", "n").unionByName(sums), "collocation-levels")
+
+
+def _marginals(levels: DataFrame, lead: list[str], nothing, min_count: int) -> DataFrame:
+    """(lead.., words: the phrase, f) of the phrases of one to four words with ``min_count`` occurrences;
+    levels: (lead.., w1..w4, n), w4 null where summed over."""
+    longest = levels.where("w4 IS NOT NULL").select(*lead, F.array(*_WORDS).alias("words"), F.col("n").alias("f"))
+    sums = levels.where("w4 IS NULL").rollup(*lead, *_WORDS[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
     # left_out has a bit per column that a row sums over: 0, 1, 3 for three, two, one words
     phrase = F.when(F.col("left_out") == 0, F.array(*_WORDS[:3])).when(F.col("left_out") == 1, F.array(*_WORDS[:2])).otherwise(F.array("w1"))
     shorter = (sums.where((F.col("f") >= min_count) & F.col("left_out").isin(0, 1, 3)).select(*lead, phrase.alias("words"), "f")
@@ -141,16 +189,25 @@ def _marginals(counted: DataFrame, lead: list[str], nothing, min_count: int) ->
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
             words: DataFrame | None = None) -> DataFrame:
     """(lang, words, f): every phrase of one to four words with ``min_count`` occurrences, stored."""
-    frequent = (words or word_counts(docs, text, lang, min_count)).where("word IS NOT NULL")
+    counts = word_counts(docs, text, lang, min_count) if words is None else words
+    frequent = counts.where("word IS NOT NULL")
     rows = _rows(docs, text, lang)
+    total = counts.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    # at most HOT words
+    hot = {(r["lang"], r["word"]) for r in frequent.where(F.col("n") * HOT >= total).select("lang", "word").collect()}
     if frequent.count() > max_words:
-        return stored(_marginals(_named_windows(rows), ["lang"], F.lit(""), min_count), "collocation-phrases")
+        levels = _levels(_named_windows(rows, hot), ["lang", "w1", "w2"], ["w3", "w4"], F.col("w3"), F.col("w4"), F.lit(""), min_count)
+        levels = levels.select("lang", "w1", "w2", F.col("third").alias("w3"), F.col("fourth").alias("w4"), "n")
+        return stored(_marginals(levels, ["lang"], F.lit(""), min_count), "collocation-phrases")
     numbers: dict[str, dict[str, int]] = {}
     # at most ``max_words`` words reach the driver; the most frequent ones get the small numbers
     table = frequent.orderBy(F.desc("n"), "lang", "word").select("lang", "word").toPandas()
     for k, (name, word) in enumerate(zip(table["lang"], table["word"], strict=True)):
         numbers.setdefault(name, {})[word] = k + 1
-    found = stored(_marginals(_numbered_windows(rows, numbers), [], F.lit(0), min_count), "collocation-numbers")
+    halves = [half(F.col(c)).cast("int") for c in ("first", "last") for half in (lambda x: F.shiftright(x, 32), lambda x: x.bitwiseAND(F.lit(_LOW)))]
+    levels = _levels(_numbered_windows(rows, numbers, hot), ["first"], ["last"], halves[2], halves[3], F.lit(0), min_count)
+    levels = levels.select(halves[0].alias("w1"), halves[1].alias("w2"), F.col("third").alias("w3"), F.col("fourth").alias("w4"), "n")
+    found = stored(_marginals(levels, [], F.lit(0), min_count), "collocation-numbers")
     table["number"] = np.arange(1, len(table) + 1, dtype=np.int32)
     named = rows.sparkSession.createDataFrame(pa.table({"lang": pa.array(table["lang"], pa.string()), "word": pa.array(table["word"], pa.string()),
                                                         "number": pa.array(table["number"], pa.int32())}))
