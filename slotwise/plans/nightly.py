@@ -1,7 +1,8 @@
 """The nightly job: refresh customers.total_bookings and write every view for ``as_of``.
 
 Views are written to ``{out}/{view}/as_of=YYYY-MM-DD`` (overwrite of that date only, so a
-re-run of the same night is idempotent and earlier nights stay readable).  The writes are
+re-run of the same night is idempotent and earlier nights stay readable).  The customers table is
+published: the next night's refresh starts from it.  The writes are
 independent jobs and are submitted together; each one's row count is gathered by an
 ``Observation`` while it writes.
 
@@ -38,7 +39,7 @@ def run_nightly(t, as_of: dt.date, out: str, workers: int = 4) -> dict:
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         counts = dict(pool.map(write_view, list(VIEW_BUILDERS)))
-    ref = refresh.run_refresh(t, f"{out}/customers/as_of={stamp}")
+    ref = refresh.publish_refresh(t, out, as_of)
     result = {"as_of": stamp, "views": counts, "refresh": ref,
               "duration_ms": int((time.monotonic() - start) * 1000)}
     log.info("Nightly refresh complete: %s", result)

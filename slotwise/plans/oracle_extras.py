@@ -350,3 +350,14 @@ SELECT CAST(act.act_time AS DATE) AS activity_date, COUNT(DISTINCT act.customer_
 FROM act CROSS JOIN wm
 GROUP BY CAST(act.act_time AS DATE)
 HAVING CAST(CAST(act.act_time AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")
+
+
+def refresh_two_nights(first, second) -> str:
+    """Each night's counts by one conditional tally per customer; the later night's wins where it has any."""
+    return with_tables(f"""
+n AS (SELECT customer_id, COUNT(*) FILTER (scheduled_at < DATE '{first}') AS early,
+             COUNT(*) FILTER (scheduled_at >= DATE '{first}' AND scheduled_at < DATE '{second}') AS late
+      FROM appointments GROUP BY customer_id)
+SELECT c.customer_id, c.salon_id, c.phone_hash, c.first_seen,
+       CAST(CASE WHEN late > 0 THEN late WHEN early > 0 THEN early ELSE c.total_bookings END AS INTEGER) AS total_bookings, c.created_at
+FROM customers c LEFT JOIN n ON n.customer_id = c.customer_id""")

@@ -22,6 +22,7 @@ from slotwise.sources.tables import Tables
 
 AS_OF = dt.date(2001, 8, 1)
 COHORT_AS_OF = dt.date(1996, 1, 1)
+FIRST_NIGHT = dt.date(1998, 7, 1)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +92,7 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "refresh_total_bookings": (_q(refresh.refreshed_customers), oracle.refresh_total_bookings),
         "refresh_total_bookings_corrected": (_q(refresh.refreshed_customers, corrected=True),
                                              lambda: oracle.refresh_total_bookings(corrected=True)),
+        "refresh_published_two_nights": (_q(refresh.refresh_two_nights, first=FIRST_NIGHT, second=AS_OF), lambda: oracle_extras.refresh_two_nights(FIRST_NIGHT, AS_OF)),
         # Q1-Q3, Q5 data quality
         "quality_duplicate_keys": (_q(quality.duplicate_keys),
                                    lambda: oracle.duplicate_keys(schemas.PRIMARY_KEYS)),

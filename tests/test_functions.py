@@ -68,7 +68,7 @@ def test_recommended_conf_bounds():
     from slotwise.session import recommended_conf
 
     big = recommended_conf(100 * 2**40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "20000"
+    assert big["spark.sql.shuffle.partitions"] == "40961"
     small = recommended_conf(10 * 2**30, 64)
     assert small["spark.sql.shuffle.partitions"] == "128"
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
