@@ -34,15 +34,23 @@ def overlap_pairs(t: Tables, as_of: dt.date, weeks: int = 4, window: int = MERGE
                    F.col("sent_at").cast("date").alias("sent_date"),
                    epoch_seconds("sent_at").alias("rs")))
     lo = dt.datetime(start.year, start.month, start.day) - dt.timedelta(seconds=window)
-    dl = (since(t.delay_events, "triggered_at", lo)
-          .select("appointment_id", epoch_seconds("triggered_at").alias("ds"))
-          .groupBy("appointment_id", "ds").agg(F.count(F.lit(1)).alias("n"))
-          .withColumn("bucket", F.floor(F.col("ds") / window)))
+    dl = delay_seconds(since(t.delay_events, "triggered_at", lo))
+    return meeting(rem, dl, window).select("event_id", "delivery_status", "sent_date", F.col("n").alias("n_pairs"))
+
+
+def delay_seconds(delays: DataFrame) -> DataFrame:
+    """(appointment_id, ds, n): delay events counted per appointment and second."""
+    return (delays.select("appointment_id", epoch_seconds("triggered_at").alias("ds"))
+            .groupBy("appointment_id", "ds").agg(F.count(F.lit(1)).alias("n")))
+
+
+def meeting(rem: DataFrame, seconds: DataFrame, window: int = MERGE_WINDOW_SECONDS) -> DataFrame:
+    """Reminders (.., appointment_id, rs) with each second (appointment_id, ds, n) of delay events less than
+    ``window`` seconds away: one row per (reminder, second)."""
+    dl = seconds.withColumn("bucket", F.floor(F.col("ds") / window))
     probes = rem.withColumn("bucket", F.explode(F.array(
         *[F.floor(F.col("rs") / window) + k for k in (-1, 0, 1)])))
-    pairs = probes.join(dl, ["appointment_id", "bucket"]).where(F.abs(F.col("ds") - F.col("rs")) < window)
-    # one row per (reminder, delay second) with the number of delay events at that second
-    return pairs.select("event_id", "delivery_status", "sent_date", F.col("n").alias("n_pairs"))
+    return probes.join(dl, ["appointment_id", "bucket"]).where(F.abs(F.col("ds") - F.col("rs")) < window)
 
 
 def merge_compliance(t: Tables, as_of: dt.date, weeks: int = 4, corrected: bool = False) -> DataFrame:

@@ -318,38 +318,27 @@ SELECT reminder_type, COUNT(*) AS reminders, {cnt("retry_count > 2")} AS over_re
 FROM reminder_events GROUP BY reminder_type""")
 
 
-def delivery_daily_closed(lateness_days: int = 1) -> str:
-    """Days closed by the watermark (latest send time minus the lateness) after one run."""
-    failed = "COUNT(CASE WHEN delivery_status = 'failed' THEN 1 END)"
-    delivered = "COUNT(CASE WHEN delivery_status = 'sent' THEN 1 END)"
-    return with_tables(f"""
-r AS (SELECT * FROM reminder_events WHERE sent_at IS NOT NULL),
-wm AS (SELECT MAX(sent_at) - INTERVAL {lateness_days} DAY AS w FROM r)
-SELECT CAST(r.sent_at AS DATE) AS sent_date, COUNT(*) AS reminders, {failed} AS failed,
-       {delivered} AS delivered,
-       {failed} * 100 > COUNT(*) * 5 AS failure_alert,
-       {delivered} * 100 < COUNT(*) * 95 AS delivery_alert
-FROM r CROSS JOIN wm
-GROUP BY CAST(r.sent_at AS DATE)
-HAVING CAST(CAST(r.sent_at AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")
-
-
-def active_customers_closed(lateness_days: int = 1) -> str:
-    """Distinct active customers per day for the days the watermark has closed."""
+def delivery_daily() -> str:
+    """All days with reminders."""
+    return with_tables("""
+per AS (SELECT CAST(sent_at AS DATE) AS sent_date, delivery_status AS s, COUNT(*) AS n FROM reminder_events WHERE sent_at IS NOT NULL GROUP BY 1, 2)
+SELECT sent_date, CAST(SUM(n) AS BIGINT) AS reminders, CAST(SUM(CASE WHEN s = 'failed' THEN n ELSE 0 END) AS BIGINT) AS failed,
+       CAST(SUM(CASE WHEN s = 'sent' THEN n ELSE 0 END) AS BIGINT) AS delivered,
+       SUM(CASE WHEN s = 'failed' THEN 20 * n ELSE 0 END) > SUM(n) AS failure_alert,
+       SUM(CASE WHEN s = 'sent' THEN 20 * n ELSE 0 END) < 19 * SUM(n) AS delivery_alert
+FROM per GROUP BY sent_date""")
+
+
+def active_customers_daily(figures: bool = False) -> str:
+    """Distinct customers of all days with activity; with ``figures`` salons and appointments too."""
+    more = ", COUNT(DISTINCT a.salon_id) AS active_salons, COUNT(DISTINCT a.appointment_id) AS active_appointments" if figures else ""
     return with_tables(f"""
-act AS (
-  SELECT a.scheduled_at AS act_time, a.customer_id FROM appointments a
-  WHERE a.status IN ('attended', 'cancelled', 'rescheduled', 'no_show')
-  UNION ALL
-  SELECT re.sent_at, a.customer_id
-  FROM reminder_events re JOIN appointments a ON a.appointment_id = re.appointment_id
-  WHERE re.customer_action IS NOT NULL AND re.sent_at IS NOT NULL
-),
-wm AS (SELECT MAX(act_time) - INTERVAL {lateness_days} DAY AS w FROM act)
-SELECT CAST(act.act_time AS DATE) AS activity_date, COUNT(DISTINCT act.customer_id) AS dau
-FROM act CROSS JOIN wm
-GROUP BY CAST(act.act_time AS DATE)
-HAVING CAST(CAST(act.act_time AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= MAX(wm.w)""")
+days AS (
+  SELECT CAST(scheduled_at AS DATE) AS activity_date, appointment_id FROM appointments WHERE status <> 'confirmed'
+  UNION
+  SELECT CAST(sent_at AS DATE), appointment_id FROM reminder_events WHERE customer_action IS NOT NULL AND sent_at IS NOT NULL)
+SELECT activity_date, COUNT(DISTINCT a.customer_id) AS dau{more}
+FROM days JOIN appointments a USING (appointment_id) GROUP BY activity_date""")
 
 
 def refresh_two_nights(first, second) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slotwise.operators import (activity, adoption, cohort, delays, dropoff, funnel, kpi, merge,
                                 quality, refresh, reminders, weekly)
 from slotwise.plans import consumer, oracle, oracle_extras
-from slotwise.streaming import incremental
+from slotwise.streaming import deltas, incremental
 from slotwise.sources import schemas
 from slotwise.sources.tables import Tables
 
@@ -65,13 +65,12 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "priority_ontime": (_q(weekly.priority_ontime, as_of=AS_OF), oracle.priority_ontime),
         "feature_adoption": (_q(adoption.feature_adoption, as_of=AS_OF), oracle.feature_adoption),
         "merge_compliance": (_q(merge.merge_compliance, as_of=AS_OF), oracle.merge_compliance),
-        "merge_compliance_incremental": (_q(incremental.merge_compliance_incremental, as_of=AS_OF),
+        "merge_compliance_incremental": (_q(deltas.merge_compliance, as_of=AS_OF),
                                          oracle.merge_compliance),
         "delay_bands_incremental": (_q(incremental.delay_bands_incremental), oracle.delay_bands),
-        "active_customers_incremental": (_q(incremental.active_customers_incremental),
-                                         lambda: oracle_extras.active_customers_closed()),
-        "delivery_daily_incremental": (_q(incremental.delivery_daily_incremental),
-                                       lambda: oracle_extras.delivery_daily_closed()),
+        "active_customers_incremental": (_q(deltas.active_customers), oracle_extras.active_customers_daily),
+        "delivery_daily_incremental": (_q(deltas.delivery_daily), oracle_extras.delivery_daily),
+        "active_daily_incremental": (_q(deltas.active_daily), lambda: oracle_extras.active_customers_daily(figures=True)),
         # intended metrics where the definition has a grain or semantics defect
         "kpi_snapshot_corrected": (_q(kpi.kpi_snapshot, as_of=AS_OF, corrected=True),
                                    lambda: oracle.kpi_snapshot(corrected=True)),
