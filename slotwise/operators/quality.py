@@ -41,21 +41,27 @@ def duplicate_keys(t: Tables) -> DataFrame:
 def orphans(t: Tables) -> DataFrame:
     """Q2: per foreign key, child rows whose non-NULL key has no parent row.
 
-    The child is first reduced to (key value, row count) with partial aggregation, so the
-    anti join sees each key once however skewed the child is.
+    Every table is read once and gives, for each key it holds, a row tagged with the parent table
+    and with what the key is there: the parent's own key, or a child's reference.  One grouped
+    pass per (parent, key), partially aggregated in every task, says whether the parent is there
+    and how many rows of each child point to it; however skewed a key is, it costs one row per task.
     """
-    parts = []
-    for child, ccol, parent, pcol in schemas.FOREIGN_KEYS:
-        per_key = (_table(t, child).where(F.col(ccol).isNotNull())
-                   .groupBy(F.col(ccol).alias("k")).agg(F.count(F.lit(1)).alias("n")))
-        keys = _table(t, parent).select(F.col(pcol).alias("k")).distinct()   # a duplicated parent key stays one row
-        missing = per_key.join(keys, "k", "left_anti")
-        parts.append(missing.agg(
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-        ).select(F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-                 F.lit(parent).alias("parent_table"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    keys = schemas.FOREIGN_KEYS
+    parents = dict.fromkeys((parent, pcol) for _, _, parent, pcol in keys)
+    tagged = []
+    for name in TABLES:
+        held = [F.struct(F.lit(parent).alias("parent"), F.col(pcol).alias("k"), F.lit(-1).alias("child")) for parent, pcol in parents if parent == name]
+        held += [F.struct(F.lit(parent).alias("parent"), F.col(ccol).alias("k"), F.lit(i).alias("child"))
+                 for i, (child, ccol, parent, _) in enumerate(keys) if child == name]
+        if held:
+            tagged.append(_table(t, name).select(F.inline(F.array(*held))))
+    per_key = reduce(DataFrame.unionByName, tagged).where(F.col("k").isNotNull()).groupBy("parent", "k").agg(
+        F.max(F.col("child") < 0).alias("there"), *[F.count(F.when(F.col("child") == i, 1)).alias(f"n{i}") for i in range(len(keys))])
+    missing = per_key.where(~F.col("there")).agg(
+        *[F.count(F.when(F.col(f"n{i}") > 0, 1)).alias(f"keys{i}") for i in range(len(keys))],
+        *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).cast("bigint").alias(f"rows{i}") for i in range(len(keys))])
+    cells = [c for i, (child, ccol, parent, _) in enumerate(keys) for c in (F.lit(child), F.lit(ccol), F.lit(parent), F.col(f"keys{i}"), F.col(f"rows{i}"))]
+    return missing.select(F.stack(F.lit(len(keys)), *cells).alias("child_table", "child_column", "parent_table", "orphan_keys", "orphan_rows"))
 
 
 def rules(name: str) -> list[tuple[str, str, str]]:

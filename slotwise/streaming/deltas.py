@@ -17,14 +17,15 @@ rows count once.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.functions.dates import MONTH_FORMAT, epoch_seconds, ts_lit, weeks_before
+from slotwise.functions.dates import MONTH_FORMAT, epoch_seconds, month_key, ts_lit, weeks_before
 from slotwise.operators.activity import ACTIVE_STATUSES
 from slotwise.operators.merge import MERGE_REMINDER_TYPES, delay_seconds, meeting, weekly_compliance
 from slotwise.operators.product import DELIVERY_ALERT_PCT, FAILURE_ALERT_PCT
@@ -65,14 +66,17 @@ class Delta:
                  .trigger(availableNow=True).foreachBatch(self._apply).start())
         query.awaitTermination()
 
-    def _write(self, rows: DataFrame, table: str, batch: int, by: str | None = None) -> None:
-        """A batch's rows of a state table, in place of what an earlier try of the batch wrote."""
+    def _write(self, rows: DataFrame, table: str, batch: int, day: Column | None = None) -> None:
+        """A batch's rows of a state table, in place of what an earlier try of the batch wrote; with ``day`` in
+        folders by month, dealt to tasks by ranges of days, so each writes few months however large one is."""
+        if day is not None:
+            rows = rows.withColumn("month", F.date_format(day, MONTH_FORMAT)).repartitionByRange("month", day)
         writer = rows.write.mode("overwrite")
-        (writer.partitionBy(by) if by else writer).parquet(f"{self.state}/{table}/batch={batch}")
+        (writer.partitionBy("month") if day is not None else writer).parquet(f"{self.state}/{table}/batch={batch}")
 
     def _read(self, spark: SparkSession, table: str, schema: str, below: int | None = None) -> DataFrame:
         """A state table's rows, of the batches below a number; empty before the first batch."""
-        fields = T.StructType([*T._parse_datatype_string(schema).fields, T.StructField("batch", T.LongType())])
+        fields = T.StructType.fromDDL(f"{schema}, batch long")
         fs, path = publish._hadoop(spark, f"{self.state}/{table}")
         if not fs.exists(path):
             return spark.createDataFrame([], fields).drop("batch")
@@ -144,7 +148,7 @@ class ActiveCustomers(Delta):
             acts = acts.unionByName(publish.read(spark, waiting))
         columns = ["activity_date", "customer_id", "salon_id", "appointment_id"]
         active = bookings.where("active").select(*columns).unionByName(acts.join(known, "appointment_id").select(*columns))
-        self._write(active.distinct().withColumn("activity_month", F.date_format("activity_date", MONTH_FORMAT)), "active", number, "activity_month")
+        self._write(active.distinct(), "active", number, F.col("activity_date"))
         publish.publish(acts.join(known, "appointment_id", "left_anti"), self.state, "waiting", _tag(number))
         publish.forget(spark, self.state, "waiting", keep=3)
         batch.unpersist()
@@ -158,8 +162,8 @@ class ActiveCustomers(Delta):
 
 
 class MergePairs(Delta):
-    REMINDERS = "event_id string, appointment_id string, delivery_status string, sent_at timestamp_ntz, rs long, day long"
-    SECONDS = "appointment_id string, ds long, n long, day long"
+    REMINDERS = "event_id string, appointment_id string, delivery_status string, sent_at timestamp_ntz, rs long, day date, month string"
+    SECONDS = "appointment_id string, ds long, n long, day date, month string"
     PAIRS = "event_id string, delivery_status string, sent_at timestamp_ntz, n_pairs long"
 
     def refresh(self) -> None:
@@ -171,25 +175,27 @@ class MergePairs(Delta):
         self._run(rem.unionByName(dl), "append")
 
     @staticmethod
-    def _days(rows: DataFrame) -> list[int]:
-        """The days of some rows and those beside them: one number a day, however many rows."""
-        days = {r["day"] for r in rows.select("day").distinct().collect()}
-        return sorted({d + k for d in days for k in (-1, 0, 1)})
+    def _around(rows: DataFrame, of: DataFrame) -> DataFrame:
+        """The rows of the days of ``of`` and those beside them: one value a day, however many rows; their
+        months prune folders."""
+        days = {r["day"] for r in of.select("day").distinct().collect()}
+        days = sorted({d + dt.timedelta(days=k) for d in days for k in (-1, 0, 1)})
+        return rows.where(F.col("month").isin(sorted({month_key(d) for d in days})) & F.col("day").isin(days)).drop("day", "month")
 
     def _apply(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         rem = batch.where("kind = 'reminder'").select("event_id", "appointment_id", "delivery_status", F.col("at").alias("sent_at"),
                                                       epoch_seconds("at").alias("rs"))
-        rem = rem.withColumn("day", F.floor(F.col("rs") / DAY_SECONDS)).persist()
+        rem = rem.withColumn("day", F.col("sent_at").cast("date")).persist()
         seconds = delay_seconds(batch.where("kind = 'delay'").select("appointment_id", F.col("at").alias("triggered_at")))
-        seconds = seconds.withColumn("day", F.floor(F.col("ds") / DAY_SECONDS)).persist()
-        self._write(rem, "reminders", number, "day")
-        self._write(seconds, "seconds", number, "day")
+        seconds = seconds.withColumn("day", F.date_from_unix_date(F.floor(F.col("ds") / DAY_SECONDS).cast("int"))).persist()
+        self._write(rem, "reminders", number, F.col("day"))
+        self._write(seconds, "seconds", number, F.col("day"))
         # each pair meets once: in the batch of its later side
-        all_seconds = self._read(spark, "seconds", self.SECONDS, number + 1).where(F.col("day").isin(self._days(rem)))
-        old_reminders = self._read(spark, "reminders", self.REMINDERS, number).where(F.col("day").isin(self._days(seconds)))
-        pairs = meeting(rem, all_seconds.drop("day")).unionByName(meeting(old_reminders, seconds.drop("day")))
+        all_seconds = self._around(self._read(spark, "seconds", self.SECONDS, number + 1), rem)
+        old_reminders = self._around(self._read(spark, "reminders", self.REMINDERS, number), seconds)
+        pairs = meeting(rem.drop("day"), all_seconds).unionByName(meeting(old_reminders, seconds.drop("day")))
         self._write(pairs.groupBy("event_id", "delivery_status", "sent_at").agg(F.sum("n").alias("n_pairs")), "pairs", number)
         for rows in (seconds, rem, batch):
             rows.unpersist()
