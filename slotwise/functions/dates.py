@@ -96,6 +96,8 @@ def month_start(d) -> Column:
 PARTITION_COLUMNS = {"scheduled_at": "scheduled_month", "sent_at": "sent_month",
                      "triggered_at": "triggered_month"}
 MONTH_FORMAT = "yyyy-MM"
+# Event tables also carry the month their booking is scheduled in, as their first partition column.
+BOOKING_MONTH = "appointment_month"
 
 
 def month_key(d: dt.date | dt.datetime) -> str:
@@ -114,6 +116,14 @@ def since(df, col: str, start: dt.date | dt.datetime):
     return out
 
 
+def booked_since(events, start: dt.date | dt.datetime):
+    """Events that can belong to a booking scheduled on or after ``start``: on a layout with the booking's
+    month a partition filter, else all.  A prune only: who joins bookings must bound them too."""
+    if BOOKING_MONTH in events.columns:
+        return events.where(F.col(BOOKING_MONTH) >= F.lit(month_key(start)))
+    return events
+
+
 def within(df, col: str, start: dt.date, end_exclusive: dt.date):
     """``df`` rows with ``start <= col < end_exclusive`` (partition-pruned like ``since``)."""
     out = since(df, col, start).where(F.col(col) < ts_lit(end_exclusive))

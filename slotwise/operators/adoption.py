@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.functions.dates import booked_since, days_before
 from slotwise.functions.rates import pct
 from slotwise.operators.kpi import window_appointments
 from slotwise.sources.tables import Tables
@@ -15,11 +16,13 @@ SALON_COLUMNS = ["salon_id", "salon_name", "city", "plan_tier", "onboarded_at",
                  "delay_tracker", "prepay_enabled", "prepay_discount"]
 
 
-def reminder_counts(t: Tables, corrected: bool = False) -> DataFrame:
-    """Per appointment: number of reminder events and of those with a customer action."""
+def reminder_counts(t: Tables, corrected: bool = False, start: dt.date | None = None) -> DataFrame:
+    """Per appointment: number of reminder events and of those with a customer action; with ``start`` only
+    bookings from then on are sure to be there."""
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()
-    return t.reminder_events.groupBy("appointment_id").agg(
+    events = booked_since(t.reminder_events, start) if start else t.reminder_events
+    return events.groupBy("appointment_id").agg(
         F.count("event_id").alias("n_events"),
         F.count(F.when(engaged, F.lit(1))).alias("n_engaged"),
     )
@@ -37,7 +40,7 @@ def feature_adoption(t: Tables, as_of: dt.date, days: int = 30, corrected: bool
     task, not one task.  ``corrected=True`` counts at booking grain.
     """
     appts = window_appointments(t, as_of, days).select("appointment_id", "salon_id", "status", "payment_status")
-    j = appts.join(reminder_counts(t, corrected), "appointment_id", "left")
+    j = appts.join(reminder_counts(t, corrected, days_before(as_of, days)), "appointment_id", "left")
     n_ev = F.coalesce(F.col("n_events"), F.lit(0))
     weight = F.lit(1) if corrected else F.greatest(n_ev, F.lit(1))
     per_salon = j.groupBy("salon_id").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from slotwise.functions.rates import count_when
 from slotwise.operators.kpi import window_appointments
+from slotwise.functions.dates import booked_since, days_before
 from slotwise.sources.tables import Tables
 
 # --- fixed values: drop-off catalogue (label, risk level, feature area, requirement) ------
@@ -46,10 +47,11 @@ def dropoff_counts(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """
     win = window_appointments(t, as_of, days)
     ids = win.select("appointment_id")
-    rem = t.reminder_events.join(ids, "appointment_id", "left_semi").select(
+    start = days_before(as_of, days)
+    rem = booked_since(t.reminder_events, start).join(ids, "appointment_id", "left_semi").select(
         ((F.col("delivery_status") == "sent") & F.col("customer_action").isNull()).alias("r_no_action"),
         (F.col("delivery_status") == "failed").alias("r_failed"))
-    dl = t.delay_events.join(ids, "appointment_id", "left_semi").select(
+    dl = booked_since(t.delay_events, start).join(ids, "appointment_id", "left_semi").select(
         (F.col("reschedule_shown") & (F.col("customer_action").isNull() | (F.col("customer_action") == "none")))
         .alias("d_no_action"))
     ap = win.select((F.col("payment_status") == "expired").alias("a_expired"),

@@ -7,16 +7,18 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import months_before, since
+from slotwise.functions.dates import booked_since, months_before, since
 from slotwise.functions.rates import count_if, pct
 from slotwise.sources.tables import Tables
 
 
-def reminder_flags(t: Tables, corrected: bool = False) -> DataFrame:
-    """Per appointment: was any reminder delivered / acted on (one row per appointment)."""
+def reminder_flags(t: Tables, corrected: bool = False, start: dt.date | None = None) -> DataFrame:
+    """Per appointment: was any reminder delivered / acted on (one row per appointment); with ``start`` only
+    bookings from then on are sure to be there."""
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()
-    return t.reminder_events.groupBy("appointment_id").agg(
+    events = booked_since(t.reminder_events, start) if start else t.reminder_events
+    return events.groupBy("appointment_id").agg(
         F.max(F.when(F.col("delivery_status") == "sent", 1).otherwise(0)).alias("was_delivered"),
         F.max(F.when(engaged, 1).otherwise(0)).alias("was_engaged"),
     )
@@ -34,7 +36,7 @@ def conversion_funnel(t: Tables, as_of: dt.date, months: int = 6, corrected: boo
     start = months_before(as_of, months)
     appts = since(t.appointments, "scheduled_at", start).select(
         "appointment_id", "status", F.col("scheduled_at").cast("date").alias("d"))
-    j = appts.join(reminder_flags(t, corrected), "appointment_id", "left")
+    j = appts.join(reminder_flags(t, corrected, start), "appointment_id", "left")
     cal = t.cal().select("full_date", "year", "month_number", "month_name")
     steps = ["step1_bookings", "step2_reminder_delivered", "step3_reminder_engaged",
              "step4_attended_rescheduled", "step5_no_show"]

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import boundary_diff, days_before, since, weeks_before
+from slotwise.functions.dates import booked_since, boundary_diff, days_before, since, weeks_before
 from slotwise.functions.rates import dec, flag, pct
 from slotwise.sources.tables import Tables
 
@@ -56,14 +56,15 @@ def _indicator_rows(t: Tables, as_of: dt.date, days: int, corrected: bool) -> Da
         F.when(pay == "successful", F.col("amount_paid")).otherwise(F.lit(0)).alias("a_revenue"),
     )
     ids = win.select("appointment_id")
+    start = days_before(as_of, days)
     engaged = F.col("customer_action").isNotNull()
     if corrected:
         engaged = F.col("customer_action").isin("reschedule", "cancel")
-    r = (t.reminder_events.join(ids, "appointment_id", "left_semi")
+    r = (booked_since(t.reminder_events, start).join(ids, "appointment_id", "left_semi")
          .select(F.lit(1).alias("r_n"),
                  flag(F.col("delivery_status") == "sent").alias("r_delivered"),
                  flag(engaged).alias("r_engaged")))
-    d = (t.delay_events.join(ids, "appointment_id", "left_semi")
+    d = (booked_since(t.delay_events, start).join(ids, "appointment_id", "left_semi")
          .select(F.lit(1).alias("d_n"),
                  flag(F.col("message_sent")).alias("d_sent"),
                  flag(F.col("reschedule_shown")).alias("d_offered"),

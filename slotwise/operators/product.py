@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import boundary_diff, since, weeks_before
+from slotwise.functions.dates import booked_since, boundary_diff, days_before, since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct, round_ratio
 from slotwise.operators import funnel, weekly
 from slotwise.operators.kpi import window_appointments
@@ -77,7 +77,7 @@ def attendance_after_reminder(t: Tables, as_of: dt.date, days: int = 30) -> Data
     """M4: attendance of bookings with and without a delivered reminder, and the uplift of
     each group over the 60 % baseline."""
     a = window_appointments(t, as_of, days).select("appointment_id", "status")
-    flags = funnel.reminder_flags(t).select("appointment_id", "was_delivered")
+    flags = funnel.reminder_flags(t, start=days_before(as_of, days)).select("appointment_id", "was_delivered")
     j = a.join(flags, "appointment_id", "left")
     g = j.groupBy((F.coalesce(F.col("was_delivered"), F.lit(0)) == 1).alias("reminder_delivered")).agg(
         F.count(F.lit(1)).alias("appointments"), count_if(F.col("status") == "attended").alias("attended"))
@@ -150,32 +150,41 @@ def expected_reminders(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
 
 
 def missed_reminders(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
-    """Planned reminders per type and how many were never sent (anti join)."""
-    plan = expected_reminders(t, as_of, days)
-    # distinct keys: one appointment with a huge share of events still yields <= 5 rows
-    sent = t.reminder_events.where(F.col("sent_at").isNotNull()).select("appointment_id", "reminder_type").distinct()
-    missed = plan.join(sent, ["appointment_id", "reminder_type"], "left_anti")
-    p = plan.groupBy("reminder_type").agg(F.count(F.lit(1)).alias("expected"))
-    m = missed.groupBy("reminder_type").agg(F.count(F.lit(1)).alias("missing"))
-    return p.join(m, "reminder_type", "left").select(
-        "reminder_type", "expected", F.coalesce(F.col("missing"), F.lit(0)).alias("missing"),
-        pct(F.coalesce(F.col("missing"), F.lit(0)), F.col("expected")).alias("missing_pct"))
+    """Planned reminders per type and how many were never sent.
+
+    One row per booking: a flag per type says whether one was sent, so a booking with a huge share of
+    events costs one row per task, and one global aggregate counts all types at once.
+    """
+    types = [rt for rt, _ in REMINDER_PLAN]
+    sent = booked_since(t.reminder_events, days_before(as_of, days)).where(F.col("sent_at").isNotNull()).groupBy("appointment_id").agg(
+        *[F.max(F.col("reminder_type") == rt).alias(f"sent{i}") for i, rt in enumerate(types)])
+    a = window_appointments(t, as_of, days).select("appointment_id", "salon_id").join(t.salons.select("salon_id", "reminder_30min"), "salon_id")
+    planned = [F.col("reminder_30min") if rt in OPT_IN_TYPES else F.lit(True) for rt in types]
+    total = a.join(sent, "appointment_id", "left").agg(
+        *[count_if(p).alias(f"expected{i}") for i, p in enumerate(planned)],
+        *[count_if(p & ~F.coalesce(F.col(f"sent{i}"), F.lit(False))).alias(f"missing{i}") for i, p in enumerate(planned)])
+    cells = [c for i, rt in enumerate(types) for c in (F.lit(rt), F.col(f"expected{i}"), F.col(f"missing{i}"))]
+    rows = total.select(F.stack(F.lit(len(types)), *cells).alias("reminder_type", "expected", "missing")).where(F.col("expected") > 0)
+    return rows.withColumn("missing_pct", pct("missing", "expected"))
 
 
 def delay_check_schedule(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Planned delay checks per booking at delay-tracker salons (offsets in minutes)."""
     a = window_appointments(t, as_of, days).join(
         t.salons.where(F.col("delay_tracker")).select("salon_id"), "salon_id", "left_semi")
-    offsets = F.array_distinct(F.concat(*[F.sequence(F.lit(lo), F.lit(hi), F.lit(step))
-                                          for lo, hi, step in DELAY_CHECK_RANGES]))
-    return a.select("appointment_id", "scheduled_at", F.explode(offsets).alias("offset_minutes"))
+    return a.select("appointment_id", "scheduled_at", F.explode(_check_offsets()).alias("offset_minutes"))
+
+
+def _check_offsets():
+    return F.array_distinct(F.concat(*[F.sequence(F.lit(lo), F.lit(hi), F.lit(step)) for lo, hi, step in DELAY_CHECK_RANGES]))
 
 
 def delay_check_coverage(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Planned checks against recorded delay events for the same bookings."""
-    plan = delay_check_schedule(t, as_of, days)
-    per_appt = plan.groupBy("appointment_id").agg(F.count(F.lit(1)).alias("planned"))
-    rec = t.delay_events.groupBy("appointment_id").agg(F.count(F.lit(1)).alias("recorded"))
+    tracked = window_appointments(t, as_of, days).join(
+        t.salons.where(F.col("delay_tracker")).select("salon_id"), "salon_id", "left_semi")
+    per_appt = tracked.select("appointment_id", F.size(_check_offsets()).alias("planned"))
+    rec = booked_since(t.delay_events, days_before(as_of, days)).groupBy("appointment_id").agg(F.count(F.lit(1)).alias("recorded"))
     j = per_appt.join(rec, "appointment_id", "left")
     return j.agg(F.count(F.lit(1)).alias("appointments"),
                  F.sum("planned").cast("bigint").alias("planned_checks"),

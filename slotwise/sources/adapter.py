@@ -178,7 +178,7 @@ def load_fixture(spark: SparkSession, sf_dir: str):
 
 
 FIXTURE_TABLES = ("salons", "customers", "appointments", "reminder_events", "delay_events")
-ADAPTER_VERSION = "4"
+ADAPTER_VERSION = "5"
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> str:
@@ -221,13 +221,15 @@ def materialize_fixture(spark: SparkSession, sf_dir: str, root: str | None = Non
     tables = load_fixture(spark, sf_dir)
 
     def write(name: str) -> None:
-        from slotwise.sources.layout import TIME_COLUMNS, time_partitioned
+        from slotwise.sources.layout import TIME_COLUMNS, time_partitioned, with_booking_month
 
         df = tables[name]
         if name in TIME_COLUMNS:
             # month-partitioned and time-sorted: window filters prune directories and row groups
-            df, pcol = time_partitioned(df, name)
-            write_table(df, f"{base}/{name}", partition_by=[pcol])
+            if name != "appointments":
+                df = with_booking_month(df, tables["appointments"])
+            df, columns = time_partitioned(df, name)
+            write_table(df, f"{base}/{name}", partition_by=columns)
         else:
             write_table(df, f"{base}/{name}")
 
