@@ -2,17 +2,23 @@
 
 Emails, IP addresses, card and phone numbers are found by patterns and validated.  Their values are
 the protected entities.  A term (word) reveals an entity as far as knowing the term tells of the
-entity: the pointwise mutual information of both, over all lines of the corpus and again over all
-its documents, as a share of the entity's own information.  Counts are smoothed (a term's lines are
-taken as ``smoothing`` more, which hold the entity as often as all lines do), so entities seen once
-are judged like any other and a small corpus proves little.  An entity of less than one bit over the
-documents (more than half of them hold it) is judged over lines only.  Terms that reveal at least
-``disclosure`` of an entity are masked wherever they stand: removed if they tell all (no line or
-document without the entity has them), else generalised.
-
-Only DataFrame functions are used.  Places of matches come from cutting a text at the pattern: the
-pieces' and matches' lengths add up to code-point offsets.  Words of documents with entities, word
-counts that the tasks have added up, and documents that are joined with their terms are shuffled.
+entity: their pointwise mutual information as a share of the entity's own information, with counts
+smoothed (a term's lines are taken as ``smoothing`` more, which hold the entity as often as all
+lines do).  It must also be supported: the lower confidence bound (Wilson, ``deviations`` standard
+errors) of the entity's probability given the term is at least ``certainty``, which asks the same
+of every corpus, however large; a word seen twice, once of them beside an entity, proves nothing.
+
+Co-occurrence is counted over lines (term and entity in one line) and over documents, there only
+for terms that stood near the entity in two different documents or more, and for entities that
+hold at least one bit (at most half of the documents have them).  Near is up to ``REACH``
+characters, so a word meets the entities around it and not all of a long document or line.  Terms
+that reveal an entity are masked wherever they stand: removed if they tell all (no line or document
+without the entity has them), else generalised.
+
+Only DataFrame functions are used.  Places of matches and words are running sums of the lengths of
+what lies between, taken block by block, so no array is copied once per element.  Shuffled are the
+words of documents with entities, the counts of candidate terms, and documents that are
+joined with their terms.
 """
 
 from __future__ import annotations
@@ -36,6 +42,10 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "removed": ""}
 SMOOTHING = 0.5
 DISCLOSURE = 0.9
+CERTAINTY, DEVIATIONS = 0.5, 1.0
+REACH = 512                     # characters between a term and an entity
+SUPPORT = 2                     # documents with a term near an entity, for the count over documents
+BLOCK = 64
 #: Up to so many terms are broadcast to the words of all documents; more are joined by a shuffle.
 MOST_TERMS = 200_000
 SPAN = "array<struct<start:int,end:int,kind:string,value:string>>"
@@ -59,22 +69,34 @@ def _valid(kind: str, match: Column) -> Column:
     return F.length(digits).between(9, 15)
 
 
+def running(values: Column, largest: bool = False) -> Column:
+    """What stands before each element of an integer array: the sum, or with ``largest`` the maximum (0 at
+    first).  Elements before the block and those inside it are taken apart, so n elements cost some n * BLOCK
+    steps and no copies that grow."""
+    def fold(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), (lambda a, x: F.greatest(a, x)) if largest else (lambda a, x: a + x))
+
+    def join(a: Column, b: Column) -> Column:
+        return F.greatest(a, b) if largest else a + b
+
+    def over(v: Column) -> Column:
+        n = F.floor((F.size(v) + BLOCK - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: fold(F.slice(v, b * BLOCK + 1, BLOCK)))
+        return let(blocks, lambda s: let(F.transform(s, lambda x, b: fold(F.slice(s, 1, b))), lambda before: F.transform(
+            v, lambda x, i: join(F.get(before, F.floor(i / BLOCK).cast("int")), fold(F.slice(v, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK))))))
+
+    return let(values, over)
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Valid matches of one kind, in order."""
     pattern = PATTERN[kind]
 
     def of(matches: Column) -> Column:
-        pieces = F.split(text, pattern, -1)
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-        def step(acc: Column, pair: Column) -> Column:
-            start = acc["at"] + F.length(pair["piece"])
-            end = start + F.length(pair["match"])
-            return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(
-                start.alias("start"), end.alias("end"), pair["match"].alias("value"))).alias("out"))
-
-        pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-        return F.filter(F.aggregate(pairs, zero, step)["out"], lambda s: _valid(kind, s["value"]))
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+        pairs = F.zip_with(pieces, matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("value")))
+        return F.filter(let(pairs, lambda x: F.zip_with(x, running(F.transform(x, lambda y: y["gap"] + y["size"])), lambda y, at: F.struct(
+            (at + y["gap"]).alias("start"), (at + y["gap"] + y["size"]).alias("end"), y["value"].alias("value")))), lambda s: _valid(kind, s["value"]))
 
     none = F.array().cast(SPAN)
     labelled = F.transform(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, of(m))), lambda s: F.struct(
@@ -104,87 +126,102 @@ def described(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _lines(text: Column, wanted) -> Column:
-    """The lines (start, line) of a text for which ``wanted(start, line)`` holds."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,line:string>>").alias("out"))
-    return F.aggregate(F.split(text, "\n", -1), zero, lambda a, x: F.struct(
-        (a["at"] + F.length(x) + 1).alias("at"),
-        F.when(wanted(a["at"], x), F.array_append(a["out"], F.struct(a["at"].alias("start"), x.alias("line"))))
-        .otherwise(a["out"]).alias("out")))["out"]
-
-
 def _words(text: Column) -> Column:
-    """The words (start, end, term) of a text, in order."""
-    pieces = F.split(text, r"[^\x20\x09-\x0D]+", -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,term:string>>").alias("out"))
-    pairs = F.zip_with(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), words_of(text), lambda p, w: F.struct(p.alias("p"), w.alias("w")))
-    return F.aggregate(pairs, zero, lambda a, x: F.struct(
-        (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("at"),
-        F.array_append(a["out"], F.struct((a["at"] + F.length(x["p"])).alias("start"), (a["at"] + F.length(x["p"]) + F.length(x["w"])).alias("end"),
-                                          x["w"].alias("term"))).alias("out")))["out"]
+    """The words (line, start, end, term) of a text, in order."""
+    def places(pairs: Column) -> Column:
+        starts = running(F.transform(pairs, lambda x: x["gap"] + x["size"]))
+        lines = running(F.transform(pairs, lambda x: x["breaks"]))
+        return F.zip_with(pairs, F.zip_with(starts, lines, lambda a, n: F.struct(a.alias("at"), n.alias("line"))), lambda x, y: F.struct(
+            (y["line"] + x["breaks"]).alias("line"), (y["at"] + x["gap"]).alias("start"), (y["at"] + x["gap"] + x["size"]).alias("end"), x["w"].alias("term")))
+
+    def pairs(words: Column) -> Column:
+        gaps = F.slice(F.split(text, r"[^\x20\x09-\x0D]+", -1), 1, F.size(words))
+        return F.zip_with(gaps, words, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(F.translate(g, "\t\x0b\x0c\r ", "")).alias("breaks"),
+                                                             F.length(w).alias("size"), w.alias("w")))
+    return let(let(words_of(text), pairs), places)
 
 
 def entities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, text_id, spans (base), the lines that hold a span, and the text of the others."""
+    """Per row: doc_id, text_id, spans (base) and, where there are any, the text."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("_text"))
     rows = base_spans(rows).withColumn("spans", F.concat(*[f"_{k}" for k in KINDS]))
     rows = rows.withColumn("spans", F.when(F.size("spans") > 1, ordered(F.col("spans"))).otherwise(F.col("spans")))
-
-    holds = F.when(F.size("spans") > 0, _lines(F.col("_text"), lambda at, line: F.exists(
-        "spans", lambda s: (s["start"] < at + F.length(line)) & (s["end"] > at))))
-    others = F.array_join(F.array_except(F.split("_text", "\n", -1), F.transform("lines", lambda x: x["line"])), "\n")
-    return rows.select("_text", "spans", "doc_id", F.xxhash64("_text").alias("text_id"), holds.alias("lines")).select(
-        "doc_id", "text_id", "spans", "lines", F.when(F.size("spans") > 0, others).alias("others"))
-
-
-def line_words(found: DataFrame) -> DataFrame:
-    """Every word beside an entity in its line: doc_id, text_id, entity, term, start, end."""
-    line = found.select("doc_id", "text_id", "spans", F.explode("lines").alias("l"))
-    line = line.select("doc_id", "text_id", F.col("l.start").alias("at"), F.col("l.line").alias("line"),
-                       F.filter("spans", lambda s: (s["start"] < F.col("l.start") + F.length("l.line")) & (s["end"] > F.col("l.start"))).alias("spans"))
-
-    each = line.select("doc_id", "text_id", "at", "spans", F.explode(_words(F.col("line"))).alias("w")).select(
-        "doc_id", "text_id", "at", "spans", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.term").alias("term"))
-    apart = each.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
-    return apart.select("doc_id", "text_id", "at", "start", "end", "term",
-                        F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity"))
+    return rows.select("doc_id", F.xxhash64("_text").alias("text_id"), "spans", F.when(F.size("spans") > 0, F.col("_text")).alias("text"))
+
+
+def _buckets(start: Column, end: Column, around: int = 0) -> Column:
+    """The stretches of REACH characters that a range touches, and those beside them."""
+    return F.explode(F.sequence(F.floor(start / REACH) - around, F.floor((F.greatest(end, start + 1) - 1) / REACH) + around))
+
+
+def near_words(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(unit, entity, term, line, same_line): each word near an entity and outside all, once per entity and
+    line; and (unit, line, start, entity): the words inside one.  A unit is one document id with one
+    text.  Stored."""
+    unit = F.struct("doc_id", "text_id").alias("unit")
+    some = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_id"])
+    words = stored(some.select(unit, F.explode(_words(F.col("text"))).alias("w")).select("unit", "w.*"), "pii-words")
+    spans = some.select(unit, F.explode("spans").alias("s")).select("unit", F.col("s.start").alias("from"), F.col("s.end").alias("to"), F.col("s.value").alias("entity"))
+    inside = (words.withColumn("bucket", _buckets(F.col("start"), F.col("end")))
+              .join(spans.withColumn("bucket", _buckets(F.col("from"), F.col("to"))), ["unit", "bucket"])
+              .where((F.col("from") < F.col("end")) & (F.col("to") > F.col("start"))).select("unit", "line", "start", "entity").distinct())
+    inside = stored(inside, "pii-inside")
+    apart = words.join(inside.select("unit", "start").distinct(), ["unit", "start"], "left_anti").withColumn("bucket", F.floor(F.col("start") / REACH))
+    held = inside.select("unit", F.col("line").alias("at_line"), F.col("start").alias("at"), "entity")
+    met = apart.join(held.withColumn("bucket", _buckets(F.col("at"), F.col("at"), 1)), ["unit", "bucket"]).where(F.abs(F.col("start") - F.col("at")) <= REACH)
+    near = met.groupBy("unit", "entity", "term", "line").agg(F.max(F.col("line") == F.col("at_line")).alias("same_line"))
+    return stored(near, "pii-near"), inside
+
+
+def _candidates(near: DataFrame, inside: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (entity, term, scale, n_both) that have enough support to be judged, and (entity, scale,
+    n_entity)."""
+    by_line = near.where("same_line").groupBy("entity", "term").agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("line"))
+    by_doc = near.select("unit", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    by_doc = by_doc.where(F.col("n_both") >= SUPPORT).withColumn("scale", F.lit("doc"))
+    n_line = inside.select("unit", "line", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("line"))
+    n_doc = inside.select("unit", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("doc"))
+    return stored(by_line.unionByName(by_doc), "pii-together"), stored(n_line.unionByName(n_doc), "pii-entities")
+
+
+def lower_bound(hits: Column, n: Column, deviations: float = DEVIATIONS) -> Column:
+    """Wilson's lower confidence bound of hits / n."""
+    p, z2 = hits / n, deviations * deviations
+    return (p + z2 / (2 * n) - deviations * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def reveals(n_both: Column, n_term: Column, n_entity: Column, n_all: Column, by_doc: Column, smoothing: float = SMOOTHING,
+            disclosure: float = DISCLOSURE, certainty: float = CERTAINTY) -> Column:
+    """Whether a term reveals an entity, from the numbers of lines (documents) with both, with the term, with
+    the entity, and of all."""
+    share = n_entity / n_all
+    information = -F.log2(share)
+    mutual = F.log2((n_both + smoothing * share) / (n_term + smoothing) / share)
+    enough = F.when(by_doc, information >= 1).otherwise(information > 0)
+    return enough & (mutual >= disclosure * information) & (lower_bound(n_both, n_term) >= certainty - 1e-9)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, beside: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
+def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, action): the terms that reveal an entity, with what becomes of them."""
-    by_line = beside.select("doc_id", "text_id", "at", "entity", "term").distinct().groupBy("entity", "term") \
-        .agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("line"))
-    apart = found.select("doc_id", "text_id", F.explode(F.array_distinct(words_of(F.col("others")))).alias("term"))
-    of_doc = beside.select("doc_id", "text_id", "term").union(apart).distinct()
-    held = stored(found.select("doc_id", "text_id", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity")).distinct(), "pii-held")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))
-    by_doc = of_doc.join(held.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), same).groupBy("entity", "term") \
-        .agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("doc"))
-    together = stored(by_line.unionByName(by_doc), "pii-together")
-    value = found.select("doc_id", "text_id", F.explode("spans").alias("s"), F.explode("lines").alias("l")).where(
-        (F.col("s.start") < F.col("l.start") + F.length("l.line")) & (F.col("s.end") > F.col("l.start")))
-    n_entity = value.select("doc_id", "text_id", F.col("l.start").alias("at"), F.col("s.value").alias("entity")).distinct() \
-        .groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("line"))
-    n_entity = n_entity.unionByName(held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("doc")))
+    together, n_entity = _candidates(*near_words(found))
+    candidates = stored(together.select("term", "scale").distinct(), "pii-candidates")
     whole = F.coalesce(text, F.lit(""))
+    lines = docs.select(F.explode(F.split(whole, "\n")).alias("of"))
 
-    def terms(of: Column, scale: str) -> Column:
-        """One row each for the different words, and one under a null term: the number of units comes along."""
-        return F.transform(F.array_append(F.array_distinct(words_of(of)), F.lit(None).cast("string")),
-                           lambda w: F.struct(w.alias("term"), F.lit(scale).alias("scale")))
-
-    lines = docs.select(F.explode(F.split(whole, "\n")).alias("line"))
-    every = lines.select(F.inline(terms(F.col("line"), "line"))).union(docs.select(F.inline(terms(whole, "doc"))))
-    n_term = stored(every.groupBy("term", "scale").agg(F.count("*").alias("n_term")), "pii-terms")
-    n_all = n_term.where(F.col("term").isNull()).groupBy("scale").agg(F.sum("n_term").alias("n_all"))    # two rows
-    known = together.join(stored(n_entity, "pii-entities"), ["entity", "scale"]).join(n_term, ["term", "scale"]).join(F.broadcast(n_all), "scale")
-    share = F.col("n_entity") / F.col("n_all")
-    information = -F.log2(share)
-    mutual = F.log2((F.col("n_both") + smoothing * share) / (F.col("n_term") + smoothing) / share)
-    enough = F.when(F.col("scale") == "doc", information >= 1).otherwise(information > 0)
-    return known.where(enough & (mutual >= disclosure * information)).groupBy("entity", "term").agg(
-        F.when(F.max(F.col("n_both") >= F.col("n_term")), "removed").otherwise("term").alias("action"))
+    def count(units: DataFrame, scale: str) -> DataFrame:
+        """Lines or documents that have a candidate term; every text of the corpus is read."""
+        own = candidates.where(F.col("scale") == scale).select("term")
+        words = units.select(F.explode(F.array_distinct(words_of(F.col("of")))).alias("term"))
+        return words.join(bounded_broadcast(own, MOST_TERMS), "term").groupBy("term").agg(F.count("*").alias("n_term")).withColumn("scale", F.lit(scale))
+
+    # the counts are of rows: a document id that has two texts, or rows twice, counts as often
+    n_term = stored(count(lines, "line").unionByName(count(docs.select(whole.alias("of")), "doc")), "pii-terms")
+    n_doc, n_line = docs.agg(F.count("*"), F.sum(F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1)).first()
+    n_all = F.when(F.col("scale") == "doc", F.lit(n_doc)).otherwise(F.lit(n_line or 0))
+    known = together.join(n_entity, ["entity", "scale"]).join(n_term, ["term", "scale"])
+    told = reveals(F.col("n_both"), F.col("n_term"), F.col("n_entity"), n_all, F.col("scale") == "doc", smoothing, disclosure)
+    return known.where(told).groupBy("entity", "term").agg(F.when(F.max(F.col("n_both") >= F.col("n_term")), "removed").otherwise("term").alias("action"))
 
 
 def term_spans(docs: DataFrame, revealing: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,12 +235,8 @@ def term_spans(docs: DataFrame, revealing: DataFrame, key: str = "doc_id", text:
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))
     rows = rows.join(hits.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), same).withColumn("names", F.map_keys("actions"))
     rows = base_spans(rows).withColumn("spans", F.concat(*[f"_{k}" for k in KINDS]))
-    lines = _lines(F.col("_text"), lambda at, line: F.arrays_overlap(words_of(line), F.col("names")))
-    at = rows.select("doc_id", "text_id", "actions", "names", "spans", F.explode(lines).alias("l"))
-    at = at.select("doc_id", "text_id", "actions", "names", "spans", F.col("l.start").alias("at"), F.explode(_words(F.col("l.line"))).alias("w")) \
-        .where(F.array_contains(F.col("names"), F.col("w.term")))
-    at = at.select("doc_id", "text_id", "actions", "spans", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"),
-                   F.col("w.term").alias("value"))
+    at = rows.select("doc_id", "text_id", "actions", "spans", F.explode(F.filter(_words(F.col("_text")), lambda w: F.array_contains("names", w["term"]))).alias("w"))
+    at = at.select("doc_id", "text_id", "actions", "spans", "w.start", "w.end", F.col("w.term").alias("value"))
     apart = at.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
     return apart.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(F.struct(
         "start", "end", F.element_at("actions", F.col("value")).alias("kind"), "value"))).alias("added"))
@@ -213,9 +246,7 @@ def sanitised_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sm
                     disclosure: float = DISCLOSURE) -> DataFrame:
     """Per row: doc_id, text_id, base (validated pattern spans) and spans (with disclosing terms)."""
     found = stored(entities(docs, key, text), "pii-found")
-    some = found.where(F.size("spans") > 0)
-    beside = stored(line_words(some), "pii-beside")
-    revealing = stored(disclosing_terms(docs, some, beside, text, smoothing, disclosure), "pii-revealing")
+    revealing = stored(disclosing_terms(docs, found, text, smoothing, disclosure), "pii-revealing")
     added = stored(term_spans(docs, revealing, key, text), "pii-added")
     both = found.join(added.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t")), "left")
     return both.select("doc_id", "text_id", F.col("spans").alias("base"),
@@ -243,11 +274,13 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
 def masked(text: Column, spans: Column) -> Column:
     """text with every span replaced by its mask; a span that begins inside an earlier one widens it."""
     masks = F.create_map(*[F.lit(x) for pair in MASK.items() for x in pair])
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    fold = F.aggregate(spans, zero, lambda a, s: F.when(s["start"] >= a["at"], F.struct(
-        s["end"].alias("at"), F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, s["start"] - a["at"]), masks[s["kind"]])).alias("out")))
-        .otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))))
-    return let(fold, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    def of(before: Column) -> Column:
+        """before: how far the earlier spans of each span reach."""
+        parts = F.zip_with(spans, before, lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(text, at + 1, s["start"] - at), masks[s["kind"]])).otherwise(""))
+        last = F.greatest(F.element_at(before, -1), F.element_at(spans, -1)["end"])
+        return F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, let(running(F.transform(spans, lambda s: s["end"]), largest=True), of)).otherwise(text)
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
