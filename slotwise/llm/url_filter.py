@@ -97,7 +97,7 @@ def url_filter(pages: DataFrame, key: str = "page_id", url: str = "url", rules=R
 
 
 def oracle() -> str:
-    """DuckDB: every term as a pattern between boundaries."""
+    """DuckDB: every term as a pattern between boundaries, in the whole lower-cased url."""
     def hit(term: str) -> str:
         return f"regexp_matches(t, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
     fits = {h + p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for _, h, p in RULES}
@@ -106,10 +106,10 @@ def oracle() -> str:
     verdict = " ".join(f"WHEN {fits[h + p]} THEN '{v}'" for v, h, p in order)
     return f"""
     WITH cut AS (SELECT page_id, url, strpos(url, '://') AS mark FROM pages),
-    rest AS (SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS r FROM cut),
-    parsed AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    rest AS (SELECT page_id, url, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS r FROM cut),
+    parsed AS (SELECT page_id, url, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                       'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-    low AS (SELECT *, lower(host || path) AS t FROM parsed)
+    low AS (SELECT *, lower(coalesce(url, '')) AS t FROM parsed)
     SELECT page_id, host, path, CASE {rule} END AS rule,
            CASE {verdict} WHEN {' OR '.join(map(hit, STRICT))} THEN 'block'
                 WHEN {' + '.join(hit(x) + '::INT' for x in SOFT)} >= {SOFT_HITS} THEN 'block' ELSE 'allow' END AS verdict
