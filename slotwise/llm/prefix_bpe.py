@@ -219,22 +219,45 @@ class PrefixBpe:
         return out
 
     def encode_many(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of many words.  Plain ASCII words need no Unicode rules: where the file's own
-        pattern splits them, all are split in one call, kept apart by line ends."""
-        if self.ascii_split is None:
+        """Ids of each of many words, which are normalized and split together where white space keeps
+        them apart; words with other white space or added tokens go one by one."""
+        if not self.by_word:
             return [self.encode(w) for w in words]
-        plain = [w.isascii() and w.isprintable() and not ("<" in w and self.outside and self.outside.search(w)) for w in words]
-        pieces = self.ascii_split.findall("\n".join([w for w, p in zip(words, plain, strict=True) if p]).lower())
+        kind = [2 if "<" in w and self.outside and self.outside.search(w) else 0 if self.ascii_split and w.isascii() and w.isprintable()
+                else 1 if w.split() == [w] else 2 for w in words]
+        plain, other = ([w for w, k in zip(words, kind, strict=True) if k == x] for x in (0, 1))
+        found = [iter(self._plain(plain)), iter(self._joined(other))]
+        return [self.encode(w) if k == 2 else next(found[k]) for w, k in zip(words, kind, strict=True)]
+
+    def _plain(self, words: list[str]) -> list[list[int]]:
+        """Plain ASCII words need no Unicode rules: the file's own pattern splits them."""
+        if not words:
+            return []
+        pieces = self.ascii_split.findall("\n".join(words).lower())
         ids = self._pieces(list(set(pieces) - {"\n"}))
-        ids["\n"] = []
         out: list[list[int]] = [[]]
         for piece in pieces:
             if piece == "\n":
                 out.append([])
             else:
                 out[-1] += ids[piece]
-        found = iter(out)
-        return [next(found) if p else self.encode(w) for w, p in zip(words, plain, strict=True)]
+        return out
+
+    def _joined(self, words: list[str]) -> list[list[int]]:
+        """Words without white space, joined by blanks; the pieces' places tell whose they are."""
+        text = self.normalize(" ".join(words))
+        ends = np.cumsum([len(w) + 1 for w in text.split(" ")]).tolist() if words else []
+        if len(ends) != len(words):
+            return [self.encode(w) for w in words]
+        pieces = self.split(text) if words else []
+        ids = self._pieces(list({piece for piece, _ in pieces}))
+        out: list[list[int]] = [[] for _ in words]
+        at = 0
+        for piece, (start, _) in pieces:
+            while start >= ends[at]:
+                at += 1
+            out[at] += ids[piece]
+        return out
 
     def texts(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
         """Decoded texts of id lists, given flat with where each begins: token names joined by a

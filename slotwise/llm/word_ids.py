@@ -22,7 +22,8 @@ WORD_BYTES[[32, 9, 10, 11, 12, 13]] = False
 
 
 class WordTable:
-    """Words -> their ids in one flat array.  Beyond ``TABLE_WORDS`` words it starts anew."""
+    """Words -> their ids in one flat array.  Beyond ``TABLE_WORDS`` words it goes on with those that more
+    than one slice had, or anew if they are most of it."""
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]]):
         self.encode = encode
@@ -32,15 +33,27 @@ class WordTable:
         self.row: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)             # row k: ids[ends[k]:ends[k + 1]]
+        self.slices = np.zeros(1 << 16, np.int32)           # how many slices had the word
+
+    def _forget(self) -> None:
+        again = np.flatnonzero(self.slices[:len(self.row)] > 1)
+        words, ids, ends = list(self.row), self.ids, self.ends
+        self._clear()
+        if len(again) <= TABLE_WORDS // 2:
+            self._keep([words[k] for k in again.tolist()], [ids[a:b] for a, b in zip(ends[again].tolist(), ends[again + 1].tolist(), strict=True)])
 
     def _add(self, words: list[str]) -> None:
-        new = self.encode(words)
+        self._keep(words, self.encode(words))
+
+    def _keep(self, words: list[str], new: Sequence[Sequence[int]]) -> None:
+        if not words:
+            return
         first, used = len(self.row), int(self.ends[len(self.row)])
         ends = used + np.cumsum([len(x) for x in new])
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.ends) <= first + len(new):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.ends, self.slices = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.slices))
         self.ids[used:ends[-1]] = [i for x in new for i in x]
         self.ends[first + 1:first + 1 + len(new)] = ends
         self.row.update(zip(words, range(first, first + len(new)), strict=True))
@@ -51,11 +64,13 @@ class WordTable:
         values = coded.dictionary.to_pylist()
         new = [w for w in values if w not in self.row]
         if new and len(self.row) + len(new) > TABLE_WORDS:
-            self._clear()
-            new = values
+            self._forget()
+            new = [w for w in values if w not in self.row]
         if new:
             self._add(new)
-        rows = np.fromiter(map(self.row.__getitem__, values), np.int64, len(values))[coded.indices.to_numpy(zero_copy_only=False)]
+        rows = np.fromiter(map(self.row.__getitem__, values), np.int64, len(values))
+        self.slices[rows] += 1
+        rows = rows[coded.indices.to_numpy(zero_copy_only=False)]
         begin, size = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
         ends = np.zeros(len(rows) + 1, np.int64)
         np.cumsum(size, out=ends[1:])

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from slotwise.llm import collocations, prefix_bpe, queries, source_audit
+from slotwise.llm import collocations, prefix_bpe, queries, source_audit, word_ids
 
 SF = "/root/testdata/sf0.001"
 EDGES = [None, "", " \n\t", "word", "word, WORD. word", "x" * 20000, "a b " * 3000, "é😀 Don't 's 1,234.5 <|endoftext|>x ΣΑΣ ǰ̌ J̌  |",
@@ -195,3 +195,15 @@ def test_skyband_keeps_the_first(spark):
     got = {tuple(r) for r in source_audit.skyband(df, 4).collect()}
     want = {r for r in rows if sum(o[1] == r[1] and o[2] >= r[2] and o[3] <= r[3] and o[4] < r[4] for o in rows) < 4}
     assert got == want
+
+
+def test_a_small_word_table_gives_the_same_ids(library, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(word_ids, "TABLE_WORDS", 40)
+    monkeypatch.setattr(word_ids, "SLICE_BYTES", 200)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the", "of", "a", f"w{rng.randint(0, 300)}", "Don't", ""]) for _ in range(rng.randint(0, 50))) for _ in range(80)] + [None, ""]
+    bpe = prefix_bpe.PrefixBpe(queries.tokenizer_path())
+    got = [ids[a:b].tolist() for _, _, ids, ends in word_ids.ids_of(pa.array(texts), bpe.words) for a, b in zip(ends, ends[1:])]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
