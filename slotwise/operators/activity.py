@@ -45,6 +45,12 @@ def daily_active_users(t: Tables, as_of: dt.date, days: int = 90, corrected: boo
              .agg(F.count_distinct("customer_id").alias("dau"),
                   F.count_distinct("salon_id").alias("active_salons"),
                   F.count_distinct("appointment_id").alias("active_appointments")))
+    return over_calendar(t, daily, as_of, days, corrected)
+
+
+def over_calendar(t: Tables, daily: DataFrame, as_of: dt.date, days: int = 90, corrected: bool = False) -> DataFrame:
+    """V3 from the daily figures (activity_date, dau, active_salons, active_appointments), however kept."""
+    start = days_before(as_of, days)
     cal = t.cal().where(F.col("full_date").between(date_lit(start), date_lit(as_of)))
     j = cal.join(daily, cal.full_date == daily.activity_date, "left")
     w = Window.orderBy("full_date").rowsBetween(-6, 0)

@@ -112,7 +112,11 @@ def recent_weeks_summary(t: Tables, as_of: dt.date, n: int = 4) -> DataFrame:
 
 def weekly_dau(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Daily active users reduced to one point per week (mean of the days shown)."""
-    d = activity.daily_active_users(t, as_of, days=weeks * 7 - 1)
+    return weekly_dau_of(activity.daily_active_users(t, as_of, days=weeks * 7 - 1))
+
+
+def weekly_dau_of(d: DataFrame) -> DataFrame:
+    """D4 from V3's rows."""
     return d.groupBy("year", "week_number").agg(
         F.min("activity_date").alias("week_start"),
         F.count(F.lit(1)).alias("days"),

@@ -350,3 +350,16 @@ n AS (SELECT customer_id, COUNT(*) FILTER (scheduled_at < DATE '{first}') AS ear
 SELECT c.customer_id, c.salon_id, c.phone_hash, c.first_seen,
        CAST(CASE WHEN late > 0 THEN late WHEN early > 0 THEN early ELSE c.total_bookings END AS INTEGER) AS total_bookings, c.created_at
 FROM customers c LEFT JOIN n ON n.customer_id = c.customer_id""")
+
+
+def load_report() -> str:
+    """The load of dirty bookings: each day of creation has its own fault, so the outcome follows from it."""
+    return with_tables("""
+d AS (SELECT *, EXTRACT(day FROM created_at) AS day FROM appointments),
+s AS (SELECT CASE WHEN day = 1 THEN 'not_applicable' ELSE payment_status END AS pay, status, day,
+             CASE WHEN day = 5 THEN FALSE ELSE is_priority END AS prio, CASE WHEN day = 4 THEN 0 ELSE discount_pct END AS disc, service_name FROM d)
+SELECT 'stored' AS part, status || '/' || pay || '/' || CAST(prio AS VARCHAR) AS what, COUNT(*) AS n_rows, CAST(SUM(disc) AS DECIMAL(20,2)) AS discounts
+FROM s WHERE day NOT IN (3, 6) AND NOT (day = 7 AND service_name IS NOT NULL) GROUP BY status, pay, prio
+UNION ALL SELECT 'quarantine', 'status: domain', COUNT(*), NULL FROM d WHERE day = 3 HAVING COUNT(*) > 0
+UNION ALL SELECT 'quarantine', 'customer_id: not_null', COUNT(*), NULL FROM d WHERE day IN (3, 6) HAVING COUNT(*) > 0
+UNION ALL SELECT 'quarantine', 'service_name: max_length_255', COUNT(*), NULL FROM d WHERE day = 7 AND service_name IS NOT NULL HAVING COUNT(*) > 0""")

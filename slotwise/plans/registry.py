@@ -17,7 +17,7 @@ from slotwise.operators import (activity, adoption, cohort, delays, dropoff, fun
                                 quality, refresh, reminders, weekly)
 from slotwise.plans import consumer, oracle, oracle_extras
 from slotwise.streaming import deltas, incremental
-from slotwise.sources import schemas
+from slotwise.sources import load, schemas
 from slotwise.sources.tables import Tables
 
 AS_OF = dt.date(2001, 8, 1)
@@ -71,6 +71,8 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "active_customers_incremental": (_q(deltas.active_customers), oracle_extras.active_customers_daily),
         "delivery_daily_incremental": (_q(deltas.delivery_daily), oracle_extras.delivery_daily),
         "active_daily_incremental": (_q(deltas.active_daily), lambda: oracle_extras.active_customers_daily(figures=True)),
+        "daily_active_users_bitmaps": (_q(deltas.daily_active_users, as_of=AS_OF), oracle.daily_active_users),
+        "weekly_dau_bitmaps": (_q(deltas.weekly_dau, as_of=AS_OF), oracle_extras.weekly_dau),
         # intended metrics where the definition has a grain or semantics defect
         "kpi_snapshot_corrected": (_q(kpi.kpi_snapshot, as_of=AS_OF, corrected=True),
                                    lambda: oracle.kpi_snapshot(corrected=True)),
@@ -96,15 +98,12 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "quality_duplicate_keys": (_q(quality.duplicate_keys),
                                    lambda: oracle.duplicate_keys(schemas.PRIMARY_KEYS)),
         "quality_orphans": (_q(quality.orphans), lambda: oracle.orphans(schemas.FOREIGN_KEYS)),
-        "quality_domain_violations": (_q(quality.domain_violations), lambda: oracle.domain_violations(_q3_rules())),
+        "quality_domain_violations": (_q(quality.domain_violations), oracle.domain_violations),
+        "quality_checked_load": (_q(load.load_report), oracle_extras.load_report),
         "quality_band_consistency": (_q(quality.band_consistency), oracle.band_consistency),
     }
 
 
-def _q3_rules():
-    return [(t, col, rule, pred) for t in quality.TABLES for col, rule, pred in quality.rules(t)]
-
-
 def _consumers() -> dict[str, tuple[QueryFn, Callable[[], str]]]:
     views = _views()
     out = {}

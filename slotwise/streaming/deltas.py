@@ -11,6 +11,8 @@ rows count once.
 * ``ActiveCustomers`` (V3): one row per day, customer, salon and appointment that was active; acted
   reminders find their appointment among all appointments so far, those whose appointment is
   still to come wait for it.
+* ``ActivityBitmaps`` (V3, D4): the same activity as exact bitmaps per day, over numbers that each
+  customer, salon and appointment gets once; days and weeks merge by OR, no id is read again.
 * ``MergePairs`` (V12): new reminders meet all stored seconds of delay events, and new delay events
   all stored reminders, of the days around them only; the pairs of a batch are appended.
 """
@@ -24,8 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from slotwise.functions.dates import MONTH_FORMAT, epoch_seconds, month_key, ts_lit, weeks_before
+from slotwise.operators import activity, dashboard
 from slotwise.operators.activity import ACTIVE_STATUSES
 from slotwise.operators.merge import MERGE_REMINDER_TYPES, delay_seconds, meeting, weekly_compliance
 from slotwise.operators.product import DELIVERY_ALERT_PCT, FAILURE_ALERT_PCT
@@ -74,13 +78,14 @@ class Delta:
         writer = rows.write.mode("overwrite")
         (writer.partitionBy("month") if day is not None else writer).parquet(f"{self.state}/{table}/batch={batch}")
 
-    def _read(self, spark: SparkSession, table: str, schema: str, below: int | None = None) -> DataFrame:
-        """A state table's rows, of the batches below a number; empty before the first batch."""
+    def _read(self, spark: SparkSession, table: str, schema: str, below: int | None = None, since: int = 0) -> DataFrame:
+        """A state table's rows, of the batches from ``since`` and below a number; empty before the first batch."""
         fields = T.StructType.fromDDL(f"{schema}, batch long")
         fs, path = publish._hadoop(spark, f"{self.state}/{table}")
         if not fs.exists(path):
             return spark.createDataFrame([], fields).drop("batch")
         rows = spark.read.schema(fields).option("basePath", f"{self.state}/{table}").parquet(f"{self.state}/{table}")
+        rows = rows.where(F.col("batch") >= since)
         return (rows if below is None else rows.where(F.col("batch") < below)).drop("batch")
 
     def _apply(self, batch: DataFrame, number: int) -> None:
@@ -161,6 +166,49 @@ class ActiveCustomers(Delta):
             F.count_distinct("appointment_id").alias("active_appointments"))
 
 
+class ActivityBitmaps(ActiveCustomers):
+    """A batch gives its new ids the next numbers and adds one bitmap row per (day, kind, stretch of 32,768
+    numbers); figures are bit counts of the ORed rows, so a late batch changes old days exactly."""
+    KINDS = ("customer_id", "salon_id", "appointment_id")
+    NUMBERS = "kind string, id string, n long"
+    BITS = "activity_date date, kind string, bucket long, bits binary"
+    GROUPS = 256
+
+    def _apply(self, batch: DataFrame, number: int) -> None:
+        super()._apply(batch, number)
+        spark = batch.sparkSession
+        rows = self._read(spark, "active", self.ACTIVE, number + 1, number).select("activity_date", F.inline(F.array(
+            *[F.struct(F.lit(k).alias("kind"), F.col(k).alias("id")) for k in self.KINDS]))).where(F.col("id").isNotNull()).distinct()
+        known = self._read(spark, "numbers", self.NUMBERS, number)
+        new = rows.select("kind", "id").distinct().join(known, ["kind", "id"], "left_anti").withColumn("g", F.pmod(F.xxhash64("id"), F.lit(self.GROUPS)))
+        new = new.persist()
+        # new ids are ranked inside hash groups, whose sizes (a few rows a kind) give each its first number
+        sizes = new.groupBy("kind", "g").agg(F.count(F.lit(1)).alias("size"))
+        before = F.coalesce(F.sum("size").over(Window.partitionBy("kind").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        firsts = sizes.select("kind", "g", before.alias("before"))
+        used = known.groupBy("kind").agg((F.max("n") + 1).alias("used"))
+        rank = F.row_number().over(Window.partitionBy("kind", "g").orderBy("id")) - 1
+        numbered = (new.withColumn("r", rank).join(F.broadcast(firsts), ["kind", "g"]).join(F.broadcast(used), "kind", "left")
+                    .select("kind", "id", (F.coalesce("used", F.lit(0)) + F.col("before") + F.col("r")).alias("n")))
+        self._write(numbered, "numbers", number)
+        new.unpersist()
+        placed = rows.join(self._read(spark, "numbers", self.NUMBERS, number + 1), ["kind", "id"])
+        bits = placed.groupBy("activity_date", "kind", F.bitmap_bucket_number("n").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits"))
+        self._write(bits, "bits", number, F.col("activity_date"))
+
+    def distinct(self, *by: Column) -> DataFrame:
+        """Distinct customers, salons and appointments per ``by`` (expressions over activity_date)."""
+        merged = self._read(self.spark, "bits", self.BITS).groupBy(*by, "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        names = [c for c in merged.columns if c not in ("kind", "bucket", "bits")]
+        counted = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.bitmap_count("bits"))), F.lit(0)).alias(a)
+                   for k, a in zip(self.KINDS, ("dau", "active_salons", "active_appointments"), strict=True)]
+        return merged.groupBy(*names).agg(*counted)
+
+    def daily(self) -> DataFrame:
+        return self.distinct(F.col("activity_date"))
+
+
 class MergePairs(Delta):
     REMINDERS = "event_id string, appointment_id string, delivery_status string, sent_at timestamp_ntz, rs long, day date, month string"
     SECONDS = "appointment_id string, ds long, n long, day date, month string"
@@ -223,6 +271,22 @@ def active_customers(t, state: str | None = None) -> DataFrame:
     return active_daily(t, state).select("activity_date", "dau")
 
 
+def _bitmaps(t, state: str | None) -> ActivityBitmaps:
+    kept = ActivityBitmaps(t.spark, t.root, state or state_folder(t, "bitmaps"))
+    kept.refresh()
+    return kept
+
+
+def daily_active_users(t, as_of, days: int = 90, corrected: bool = False, state: str | None = None) -> DataFrame:
+    """V3 from the daily bitmaps, brought up to date first: only new rows are scanned."""
+    return activity.over_calendar(t, _bitmaps(t, state).daily(), as_of, days, corrected)
+
+
+def weekly_dau(t, as_of, weeks: int = 12, state: str | None = None) -> DataFrame:
+    """D4 from the daily bitmaps."""
+    return dashboard.weekly_dau_of(daily_active_users(t, as_of, weeks * 7 - 1, state=state))
+
+
 def merge_compliance(t, as_of, weeks: int = 4, corrected: bool = False, state: str | None = None) -> DataFrame:
     """V12 from the pairs kept for these tables, brought up to date first."""
     kept = MergePairs(t.spark, t.root, state or state_folder(t, "merge"))

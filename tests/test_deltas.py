@@ -121,3 +121,24 @@ def test_old_versions_of_the_days_go(spark, tmp_path):
         deltas.DeliveryDays(spark, root, state).refresh()
     assert len(publish.versions(spark, state, "days")) == 3
     assert deltas.DeliveryDays(spark, root, state).days().count() == 5
+
+
+def test_bitmaps_count_like_distinct_also_over_weeks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root, state = str(tmp_path / "t"), str(tmp_path / "s")
+    kept = deltas.ActivityBitmaps(spark, root, state)
+    for part in days(spark):
+        add(part, root)
+        t = Tables.from_parquet(spark, root, normalize=False)
+        kept.refresh()
+        assert {r.activity_date: tuple(r)[1:] for r in kept.daily().collect()} == batch_daily(t)
+        for corrected in (False, True):
+            got = deltas.daily_active_users(t, AS_OF, 20, corrected, state).collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, activity.daily_active_users(t, AS_OF, 20, corrected).collect()))
+    months = {r.m: tuple(r)[1:] for r in kept.distinct(F.date_format("activity_date", "yyyy-MM").alias("m")).collect()}
+    rows = activity.activity(t, dt.date(2020, 1, 1), dt.date(2030, 1, 1)).groupBy(F.date_format("activity_date", "yyyy-MM").alias("m")).agg(
+        *[F.count_distinct(c) for c in kept.KINDS])
+    assert months == {r.m: tuple(r)[1:] for r in rows.collect()}
+    numbers = spark.read.parquet(f"{state}/numbers")
+    assert numbers.groupBy("kind").agg((F.max("n") + 1 - F.count_distinct("id")).alias("x")).where("x <> 0").count() == 0      # dense, each once
