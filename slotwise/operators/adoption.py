@@ -28,7 +28,7 @@ def reminder_counts(t: Tables, corrected: bool = False, start: dt.date | None =
     )
 
 
-def feature_adoption(t: Tables, as_of: dt.date, days: int = 30, corrected: bool = False) -> DataFrame:
+def feature_adoption(t: Tables, as_of: dt.date, days: int = 30, corrected: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """One row per active salon (also without bookings): toggles, feature count and
     30-day no-show, reminder engagement and prepay adoption.
 
@@ -40,7 +40,8 @@ def feature_adoption(t: Tables, as_of: dt.date, days: int = 30, corrected: bool
     task, not one task.  ``corrected=True`` counts at booking grain.
     """
     appts = window_appointments(t, as_of, days).select("appointment_id", "salon_id", "status", "payment_status")
-    j = appts.join(reminder_counts(t, corrected, days_before(as_of, days)), "appointment_id", "left")
+    counts = reminder_counts(t, corrected, days_before(as_of, days)) if counts is None else counts    # or kept elsewhere
+    j = appts.join(counts, "appointment_id", "left")
     n_ev = F.coalesce(F.col("n_events"), F.lit(0))
     weight = F.lit(1) if corrected else F.greatest(n_ev, F.lit(1))
     per_salon = j.groupBy("salon_id").agg(

@@ -24,11 +24,11 @@ def reminder_flags(t: Tables, corrected: bool = False, start: dt.date | None = N
     )
 
 
-def conversion_funnel(t: Tables, as_of: dt.date, months: int = 6, corrected: bool = False) -> DataFrame:
+def conversion_funnel(t: Tables, as_of: dt.date, months: int = 6, corrected: bool = False, flags: DataFrame | None = None) -> DataFrame:
     """V4: per calendar month of the scheduled date, bookings, delivered, engaged,
     attended-or-rescheduled and no-show counts with their share of bookings.
 
-    Steps are not nested.  appointment_id is the key of appointments and the reminder flags
+    ``flags``: ``reminder_flags`` kept elsewhere.  Steps are not nested.  appointment_id is the key of appointments and the reminder flags
     are one row per appointment, so the distinct counts of the definition are plain
     conditional counts (checked by ``quality.duplicate_keys``), partially aggregated per task
     after the map-side calendar join.
@@ -36,7 +36,7 @@ def conversion_funnel(t: Tables, as_of: dt.date, months: int = 6, corrected: boo
     start = months_before(as_of, months)
     appts = since(t.appointments, "scheduled_at", start).select(
         "appointment_id", "status", F.col("scheduled_at").cast("date").alias("d"))
-    j = appts.join(reminder_flags(t, corrected, start), "appointment_id", "left")
+    j = appts.join(reminder_flags(t, corrected, start) if flags is None else flags, "appointment_id", "left")
     cal = t.cal().select("full_date", "year", "month_number", "month_name")
     steps = ["step1_bookings", "step2_reminder_delivered", "step3_reminder_engaged",
              "step4_attended_rescheduled", "step5_no_show"]

@@ -73,12 +73,12 @@ def attendance_rate_weekly(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFr
         dec(ATTENDANCE_BASELINE).alias("baseline_pct"), dec(ATTENDANCE_TARGET).alias("target_pct"))
 
 
-def attendance_after_reminder(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
+def attendance_after_reminder(t: Tables, as_of: dt.date, days: int = 30, flags: DataFrame | None = None) -> DataFrame:
     """M4: attendance of bookings with and without a delivered reminder, and the uplift of
     each group over the 60 % baseline."""
     a = window_appointments(t, as_of, days).select("appointment_id", "status")
-    flags = funnel.reminder_flags(t, start=days_before(as_of, days)).select("appointment_id", "was_delivered")
-    j = a.join(flags, "appointment_id", "left")
+    flags = funnel.reminder_flags(t, start=days_before(as_of, days)) if flags is None else flags      # or kept elsewhere
+    j = a.join(flags.select("appointment_id", "was_delivered"), "appointment_id", "left")
     g = j.groupBy((F.coalesce(F.col("was_delivered"), F.lit(0)) == 1).alias("reminder_delivered")).agg(
         F.count(F.lit(1)).alias("appointments"), count_if(F.col("status") == "attended").alias("attended"))
     rate = pct("attended", "appointments")
@@ -112,12 +112,13 @@ def prepay_conversion(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
         pct("chose_prepay", "eligible_bookings").alias("click_through_proxy_pct"))
 
 
-def delay_estimate_accuracy(t: Tables, as_of: dt.date | None = None) -> DataFrame:
+def delay_estimate_accuracy(t: Tables, as_of: dt.date | None = None, last: DataFrame | None = None) -> DataFrame:
     """M8: share of attended appointments whose last delay estimate is within 5 minutes of
     the delay observed at marking (marked_at is when the visit was recorded, a proxy for
     service start).  Last = latest triggered_at, ties broken by event id."""
-    last = t.delay_events.groupBy("appointment_id").agg(
-        F.max_by("delay_minutes", F.struct("triggered_at", "event_id")).alias("estimate"))
+    if last is None:                                                                                # or kept elsewhere
+        last = t.delay_events.groupBy("appointment_id").agg(
+            F.max_by("delay_minutes", F.struct("triggered_at", "event_id")).alias("estimate"))
     a = t.appointments.where((F.col("status") == "attended") & F.col("marked_at").isNotNull()) \
          .select("appointment_id", boundary_diff("minute", "scheduled_at", "marked_at").alias("actual"))
     j = last.join(a, "appointment_id")

@@ -71,6 +71,9 @@ def _views() -> dict[str, tuple[QueryFn, Callable[[], str] | None]]:
         "active_customers_incremental": (_q(deltas.active_customers), oracle_extras.active_customers_daily),
         "delivery_daily_incremental": (_q(deltas.delivery_daily), oracle_extras.delivery_daily),
         "active_daily_incremental": (_q(deltas.active_daily), lambda: oracle_extras.active_customers_daily(figures=True)),
+        **{f"{view}_from_summary": (_q(deltas.from_summary, view=view, as_of=AS_OF), sql) for view, sql in (
+            ("conversion_funnel", oracle.conversion_funnel), ("feature_adoption", oracle.feature_adoption), ("delay_bands", oracle.delay_bands),
+            ("attendance_after_reminder", oracle_extras.attendance_after_reminder), ("delay_estimate_accuracy", oracle_extras.delay_estimate_accuracy))},
         "daily_active_users_bitmaps": (_q(deltas.daily_active_users, as_of=AS_OF), oracle.daily_active_users),
         "weekly_dau_bitmaps": (_q(deltas.weekly_dau, as_of=AS_OF), oracle_extras.weekly_dau),
         # intended metrics where the definition has a grain or semantics defect

@@ -13,6 +13,8 @@ rows count once.
   still to come wait for it.
 * ``ActivityBitmaps`` (V3, D4): the same activity as exact bitmaps per day, over numbers that each
   customer, salon and appointment gets once; days and weeks merge by OR, no id is read again.
+* ``AppointmentSummary`` (V4, V8, V11, M4, M8): one row per appointment over all its events, merged
+  with the aggregate of the new ones.
 * ``MergePairs`` (V12): new reminders meet all stored seconds of delay events, and new delay events
   all stored reminders, of the days around them only; the pairs of a batch are appended.
 """
@@ -29,8 +31,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from slotwise.functions.dates import MONTH_FORMAT, epoch_seconds, month_key, ts_lit, weeks_before
-from slotwise.operators import activity, dashboard
+from slotwise.operators import activity, adoption, dashboard, delays, funnel, product
 from slotwise.operators.activity import ACTIVE_STATUSES
+from slotwise.operators.delays import band_rank
 from slotwise.operators.merge import MERGE_REMINDER_TYPES, delay_seconds, meeting, weekly_compliance
 from slotwise.operators.product import DELIVERY_ALERT_PCT, FAILURE_ALERT_PCT
 from slotwise.session import ensure_checkpoint_dir
@@ -253,6 +256,90 @@ class MergePairs(Delta):
         return self._read(self.spark, "pairs", self.PAIRS)
 
 
+class AppointmentSummary(Delta):
+    """One mergeable row per appointment over its reminder and delay events.
+
+    A batch adds the aggregate of its new events; counts add up, flags and worst values take the largest,
+    the last delay is the largest (time, event, minutes).  After ``compact_after`` batches the rows
+    are merged into a published version, dealt by hash of the appointment, so reading costs one merge
+    of that and the few batches since, however long the event history.
+    """
+    ROW = ("appointment_id string, r_n long, r_engaged long, r_asked long, r_sent int, d_n long, d_max int, d_rank int, d_offered long, "
+           "d_rescheduled long, d_last struct<at:timestamp_ntz,event_id:string,minutes:int>")
+    SUMS = ("r_n", "r_engaged", "r_asked", "d_n", "d_offered", "d_rescheduled")
+    LARGEST = ("r_sent", "d_max", "d_rank", "d_last")
+    compact_after = 16
+
+    def refresh(self) -> None:
+        session = self._session()
+        action = F.col("customer_action")
+
+        def one(condition: Column, kind: str = "long") -> Column:
+            return F.when(condition, 1).otherwise(0).cast(kind)
+
+        given = {
+            "reminder_events": {"r_n": F.lit(1), "r_engaged": one(action.isNotNull()), "r_asked": one(action.isin("reschedule", "cancel")),
+                                "r_sent": one(F.col("delivery_status") == "sent", "int")},
+            "delay_events": {"d_n": F.lit(1), "d_max": F.col("delay_minutes"), "d_rank": band_rank(F.col("delay_band")), "d_offered": one(F.col("reschedule_shown")),
+                             "d_rescheduled": one(action == "reschedule"),
+                             "d_last": F.struct(F.col("triggered_at").alias("at"), "event_id", F.col("delay_minutes").alias("minutes"))},
+        }
+        fields = T.StructType.fromDDL(self.ROW).fields
+        rows = [self._stream(session, name).select(*[
+            F.col(f.name) if f.name == "appointment_id" else own.get(f.name, F.lit(0 if f.name in self.SUMS else None)).cast(f.dataType).alias(f.name)
+            for f in fields]) for name, own in given.items()]
+        self._run(rows[0].unionByName(rows[1]), "append")
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        names = T.StructType.fromDDL(self.ROW).names[1:]
+        return rows.groupBy("appointment_id").agg(*[(F.sum if c in self.SUMS else F.max)(c).alias(c) for c in names])
+
+    def _since(self, spark: SparkSession, base: publish.Version | None, below: int | None = None) -> DataFrame:
+        parts = self._read(spark, "parts", self.ROW, below, int(base.tag) + 1 if base else 0)
+        return publish.read(spark, base).select(*parts.columns).unionByName(parts) if base else parts
+
+    def _apply(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        self._write(self._merged(batch), "parts", number)
+        base = publish.current(spark, self.state, "summary", before=_tag(number))
+        if number - (int(base.tag) if base else -1) >= self.compact_after:
+            whole = self._merged(self._since(spark, base, number + 1)).repartition("appointment_id").sortWithinPartitions("appointment_id")
+            publish.publish(whole, self.state, "summary", _tag(number))
+            publish.forget(spark, self.state, "summary", keep=2)
+
+    def rows(self) -> DataFrame:
+        return self._merged(self._since(self.spark, publish.current(self.spark, self.state, "summary")))
+
+    def reminder_flags(self, corrected: bool = False) -> DataFrame:
+        r = self.rows().where(F.col("r_n") > 0)
+        return r.select("appointment_id", F.col("r_sent").alias("was_delivered"), (F.col("r_asked" if corrected else "r_engaged") > 0).cast("int").alias("was_engaged"))
+
+    def reminder_counts(self, corrected: bool = False) -> DataFrame:
+        return self.rows().where(F.col("r_n") > 0).select("appointment_id", F.col("r_n").alias("n_events"), F.col("r_asked" if corrected else "r_engaged").alias("n_engaged"))
+
+    def delays(self) -> DataFrame:
+        return self.rows().where(F.col("d_n") > 0).select(
+            "appointment_id", F.col("d_max").alias("max_delay_minutes"), F.col("d_rank").alias("worst_band_rank"), F.col("d_n").alias("n_events"),
+            F.col("d_offered").alias("n_offered"), F.col("d_rescheduled").alias("n_rescheduled"), F.col("d_last.minutes").alias("estimate"))
+
+
+#: The views that read the summary in place of the events.
+SUMMARY_VIEWS = {
+    "conversion_funnel": lambda t, s, as_of: funnel.conversion_funnel(t, as_of, flags=s.reminder_flags()),
+    "feature_adoption": lambda t, s, as_of: adoption.feature_adoption(t, as_of, counts=s.reminder_counts()),
+    "delay_bands": lambda t, s, as_of: delays.bands_from_per_appointment(t, s.delays()),
+    "attendance_after_reminder": lambda t, s, as_of: product.attendance_after_reminder(t, as_of, flags=s.reminder_flags()),
+    "delay_estimate_accuracy": lambda t, s, as_of: product.delay_estimate_accuracy(t, as_of, last=s.delays().select("appointment_id", "estimate")),
+}
+
+
+def from_summary(t, view: str, as_of, state: str | None = None) -> DataFrame:
+    """A view from the per-appointment summary kept for these tables, brought up to date first."""
+    kept = AppointmentSummary(t.spark, t.root, state or state_folder(t, "summary"))
+    kept.refresh()
+    return SUMMARY_VIEWS[view](t, kept, as_of)
+
+
 def delivery_daily(t, state: str | None = None) -> DataFrame:
     """M5 per day from the state kept for these tables, brought up to date first."""
     kept = DeliveryDays(t.spark, t.root, state or state_folder(t, "delivery"))

@@ -142,3 +142,36 @@ def test_bitmaps_count_like_distinct_also_over_weeks(spark, tmp_path):
     assert months == {r.m: tuple(r)[1:] for r in rows.collect()}
     numbers = spark.read.parquet(f"{state}/numbers")
     assert numbers.groupBy("kind").agg((F.max("n") + 1 - F.count_distinct("id")).alias("x")).where("x <> 0").count() == 0      # dense, each once
+
+
+def test_summary_views_equal_the_views_over_events(spark, tmp_path, monkeypatch):
+    import contextlib
+    import io
+
+    from slotwise.operators import adoption, funnel, product
+    from slotwise.operators import delays as bands
+
+    monkeypatch.setattr(deltas.AppointmentSummary, "compact_after", 2)
+    root, state = str(tmp_path / "t"), str(tmp_path / "s")
+    plain = {"conversion_funnel": lambda t: funnel.conversion_funnel(t, AS_OF), "feature_adoption": lambda t: adoption.feature_adoption(t, AS_OF),
+             "delay_bands": bands.delay_bands, "attendance_after_reminder": lambda t: product.attendance_after_reminder(t, AS_OF),
+             "delay_estimate_accuracy": lambda t: product.delay_estimate_accuracy(t, AS_OF)}
+    salons = [dict(salon_id=f"s{i}", prepay_enabled=True, is_active=True) for i in range(2)]
+    for k in range(5):
+        a = [dict(appointment_id=f"a{k}{i}", salon_id=f"s{i % 2}", customer_id="c", scheduled_at=D(2025, 7, 1 + i, 10), marked_at=D(2025, 7, 1 + i, 10, 3 * i),
+                  status=["attended", "no_show"][i % 2], payment_status="successful") for i in range(5)]
+        # every run adds events to bookings of all runs so far
+        r = [dict(event_id=f"r{k}{i}", appointment_id=f"a{i % (k + 1)}{i % 5}", sent_at=D(2025, 7, 1, 9), delivery_status=["failed", "sent", None][(i + k) % 3],
+                  customer_action=[None, "none", "cancel"][(i * 2 + k) % 3]) for i in range(9)]
+        d = [dict(event_id=f"d{k}{i}", appointment_id=f"a{i % (k + 1)}{i % 4}", triggered_at=D(2025, 7, 1, 9, (7 * i + 3 * k) % 11), delay_minutes=(13 * i + k) % 70,
+                  delay_band=["on_schedule", "minor", "moderate", "major"][(i + k) % 4], reschedule_shown=i % 2 == 0, customer_action=["reschedule", None][i % 2]) for i in range(8)]
+        add(make_tables(spark, salons=salons if k == 0 else [{"salon_id": f"z{k}"}], appointments=a, reminders=r, delays=d), root)
+        t = Tables.from_parquet(spark, root, normalize=False)
+        for view, over_events in plain.items():
+            got = deltas.from_summary(t, view, AS_OF, state)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, over_events(t).collect()), key=repr), (k, view)
+    assert publish.current(spark, state, "summary") is not None                                  # compacted on the way
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        got.explain("formatted")
+    assert f"{root}/delay_events" not in text.getvalue() and f"{root}/reminder_events" not in text.getvalue()
