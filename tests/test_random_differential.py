@@ -16,7 +16,6 @@ from slotwise.operators import (activity, adoption, cohort, dashboard, delays, d
                                 product, quality, refresh, reminders, weekly)
 from slotwise.plans import oracle as o
 from slotwise.plans import oracle_extras as ox
-from slotwise.plans.registry import _q3_rules
 from slotwise.sources import schemas
 
 AS_OF = dt.date(2025, 7, 9)
@@ -135,7 +134,7 @@ CASES = {
                                          lambda: o.refresh_total_bookings(corrected=True)),
     "quality_duplicate_keys": (quality.duplicate_keys, lambda: o.duplicate_keys(schemas.PRIMARY_KEYS)),
     "quality_orphans": (quality.orphans, lambda: o.orphans(schemas.FOREIGN_KEYS)),
-    "quality_domain_violations": (quality.domain_violations, lambda: o.domain_violations(_q3_rules())),
+    "quality_domain_violations": (quality.domain_violations, lambda: o.domain_violations()),
     "quality_band_consistency": (quality.band_consistency, o.band_consistency),
     "kpi_attainment": (lambda t: dashboard.kpi_attainment(t, AS_OF), lambda: ox.kpi_attainment(A)),
     "kpi_target_status": (lambda t: dashboard.kpi_target_status(t, AS_OF), lambda: ox.kpi_target_status(A)),
