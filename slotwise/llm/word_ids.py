@@ -7,6 +7,7 @@ seen, for as long as a Python worker lives.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -94,6 +95,8 @@ class LibraryTable(WordTable):
     """A word table filled by the tokenizers library."""
 
     def __init__(self, path: str):
+        # Spark runs a worker per core; threads of the library's own cost more than they save
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
