@@ -16,6 +16,7 @@ import pyarrow as pa
 from slotwise.llm import textnum
 
 TABLE_WORDS = 400_000
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SLICE_BYTES = 4 << 20
 #: Bytes of words: all but the six ASCII white-space characters.
 WORD_BYTES = np.ones(256, bool)
@@ -102,7 +103,15 @@ class LibraryTable(WordTable):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        super().__init__(lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        super().__init__(self._encode)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """ASCII letters end a token before ASCII punctuation (no apostrophe) and count in lower case: such a
+        word's letters and its tail are encoded for themselves, once however many words share them."""
+        parts = [(core.lower(), w[len(core):]) if w.isascii() and (core := w.rstrip(_TAIL)).isalpha() else (w, "") for w in words]
+        own = list(dict.fromkeys(x for part in parts for x in part if x))
+        ids = {x: e.ids for x, e in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True)} | {"": []}
+        return [ids[a] + ids[b] for a, b in parts]
 
     def of(self, text: str) -> bytes:
         """One text's ids (little-endian uint32 bytes)."""
