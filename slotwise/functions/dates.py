@@ -124,6 +124,22 @@ def booked_since(events, start: dt.date | dt.datetime):
     return events
 
 
+def met_by(appointments, events):
+    """The bookings that ``events`` (a window of them) can belong to: on layouts with months, those of the
+    events' booking months only.
+
+    The months are a few values a year, so they are broadcast, and the scan of the bookings is pruned
+    by them at run time (dynamic partition pruning).  Bookings without a time share the month of
+    events without one.  A prune only: the join on the booking's id still decides.
+    """
+    month = PARTITION_COLUMNS["scheduled_at"]
+    if BOOKING_MONTH not in events.columns or month not in appointments.columns:
+        return appointments
+    none = F.lit("")
+    months = events.groupBy(F.coalesce(F.col(BOOKING_MONTH), none).alias("_month")).agg(F.count(F.lit(1)).alias("_n"))
+    return appointments.join(F.broadcast(months), F.coalesce(F.col(month), none) == F.col("_month")).drop("_month", "_n")
+
+
 def within(df, col: str, start: dt.date, end_exclusive: dt.date):
     """``df`` rows with ``start <= col < end_exclusive`` (partition-pruned like ``since``)."""
     out = since(df, col, start).where(F.col(col) < ts_lit(end_exclusive))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import date_lit, days_before, within
+from slotwise.functions.dates import date_lit, days_before, met_by, within
 from slotwise.sources.tables import Tables
 
 # --- fixed values: statuses that count as activity ----------------------------------------
@@ -27,10 +27,10 @@ def activity(t: Tables, start: dt.date, end: dt.date) -> DataFrame:
              .select(F.col("scheduled_at").cast("date").alias("activity_date"),
                      "customer_id", "salon_id", "appointment_id"))
     acted = (within(t.reminder_events, "sent_at", start, hi)
-             .where(F.col("customer_action").isNotNull())
-             .select("appointment_id", F.col("sent_at").cast("date").alias("activity_date")))
-    via_reminders = acted.join(t.appointments.select("appointment_id", "customer_id", "salon_id"),
-                               "appointment_id")
+             .where(F.col("customer_action").isNotNull()))
+    booked = met_by(t.appointments, acted).select("appointment_id", "customer_id", "salon_id")
+    acted = acted.select("appointment_id", F.col("sent_at").cast("date").alias("activity_date"))
+    via_reminders = acted.join(booked, "appointment_id")
     return appts.unionByName(via_reminders)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.functions.dates import since, weeks_before
+from slotwise.functions.dates import met_by, since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct
 from slotwise.operators import activity, adoption, cohort, delays, funnel, kpi, reminders, weekly
 from slotwise.sources.tables import Tables
@@ -75,8 +75,8 @@ def reminder_engagement_weekly(t: Tables, as_of: dt.date, weeks: int = 12) -> Da
     """Weekly reminder engagement (no view exists for it): reminders sent per US week of the
     send date, counted as in the by-type view (existing appointment, any action)."""
     start = weeks_before(as_of, weeks)
-    rem = (since(t.reminder_events, "sent_at", start)
-           .join(t.appointments.select("appointment_id"), "appointment_id", "left_semi"))
+    rem = since(t.reminder_events, "sent_at", start)
+    rem = rem.join(met_by(t.appointments, rem).select("appointment_id"), "appointment_id", "left_semi")
     return (weekly.with_week(rem, F.col("sent_at").cast("date"), t).groupBy("year", "week_number")
             .agg(F.count(F.lit(1)).alias("reminders_sent"),
                  count_if(F.col("customer_action").isNotNull()).alias("reminders_engaged"))

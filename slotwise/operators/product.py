@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import booked_since, boundary_diff, days_before, since, weeks_before
+from slotwise.functions.dates import booked_since, boundary_diff, days_before, met_by, since, weeks_before
 from slotwise.functions.rates import count_if, dec, pct, round_ratio
 from slotwise.operators import funnel, weekly
 from slotwise.operators.kpi import window_appointments
@@ -196,9 +196,9 @@ def delay_check_coverage(t: Tables, as_of: dt.date, days: int = 30) -> DataFrame
 def confirmation_sla(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """Confirmations sent less than 60 s after the booking was created, per send week."""
     c = (since(t.reminder_events, "sent_at", weeks_before(as_of, weeks))
-         .where(F.col("reminder_type") == "confirmation")
-         .select("appointment_id", "sent_at"))
-    j = c.join(t.appointments.select("appointment_id", "created_at"), "appointment_id")
+         .where(F.col("reminder_type") == "confirmation"))
+    booked = met_by(t.appointments, c).select("appointment_id", "created_at")
+    j = c.select("appointment_id", "sent_at").join(booked, "appointment_id")
     secs = boundary_diff("second", "created_at", "sent_at")
     wk = weekly.with_week(j, F.col("sent_at").cast("date"), t).groupBy("year", "week_number").agg(
         F.min("full_date").alias("week_start"),

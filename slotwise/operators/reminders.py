@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.dates import days_before, since
+from slotwise.functions.dates import days_before, met_by, since
 from slotwise.functions.rates import count_if, dec, pct
 from slotwise.sources.tables import Tables
 
@@ -31,8 +31,8 @@ def reminder_by_type(t: Tables, as_of: dt.date, days: int = 30, corrected: bool
     read, so the join is an existence check and cannot fan out).  Engagement as written
     counts any non-NULL action, including 'none'.
     """
-    rem = (since(t.reminder_events, "sent_at", days_before(as_of, days))
-           .join(t.appointments.select("appointment_id"), "appointment_id", "left_semi"))
+    rem = since(t.reminder_events, "sent_at", days_before(as_of, days))
+    rem = rem.join(met_by(t.appointments, rem).select("appointment_id"), "appointment_id", "left_semi")
     action = F.col("customer_action")
     engaged = action.isin("reschedule", "cancel") if corrected else action.isNotNull()
     g = rem.groupBy("reminder_type").agg(

@@ -61,6 +61,23 @@ def weekly_noshow(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
     )
 
 
+def fiscal_outcomes(t: Tables, as_of: dt.date, weeks: int = 26) -> DataFrame:
+    """Bookings per fiscal week and quarter over the last ``weeks`` weeks, with the date keys of the first and
+    last day that has bookings, and how many fell on a weekend.
+
+    A fiscal week that spans two quarters gives a row for each.  Counted per day first (partial
+    aggregation in every task), so the calendar meets one row a day.
+    """
+    start = weeks_before(as_of, weeks)
+    days = since(t.appointments, "scheduled_at", start).groupBy(F.col("scheduled_at").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), count_if(F.col("status") == "no_show").alias("missed"))
+    g = days.join(t.cal(), F.col("day") == F.col("full_date")).groupBy("year", "quarter", "fiscal_week").agg(
+        F.min("date_key").alias("first_date_key"), F.max("date_key").alias("last_date_key"),
+        F.sum("n").alias("total_appointments"), F.sum("missed").alias("no_shows"),
+        F.sum(F.when(F.col("is_weekend"), F.col("n")).otherwise(F.lit(0))).alias("weekend_appointments"))
+    return g.withColumn("no_show_rate_pct", pct("no_shows", "total_appointments"))
+
+
 def prepay_funnel(t: Tables, as_of: dt.date, weeks: int = 12) -> DataFrame:
     """V9: bookings *created* per (year, US week) at prepay-enabled salons and how they paid."""
     start = weeks_before(as_of, weeks)

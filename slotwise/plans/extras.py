@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from slotwise.operators import dashboard as d
 from slotwise.operators import product as m
+from slotwise.operators import weekly
 from slotwise.plans import oracle_extras as ox
 
 
@@ -38,5 +39,6 @@ def registry(as_of, cohort_as_of, q):
         "confirmation_sla": (q(m.confirmation_sla, as_of=as_of), ox.confirmation_sla),
         "reschedule_cta_rule_check": (q(m.reschedule_cta_rule_check), ox.reschedule_cta_rule_check),
         "retry_rule_check": (q(m.retry_rule_check), ox.retry_rule_check),
+        "fiscal_outcomes": (q(weekly.fiscal_outcomes, as_of=as_of), ox.fiscal_outcomes),
         "funnel_vs_targets": (q(d.funnel_vs_targets, as_of=as_of), ox.funnel_vs_targets),
     }

@@ -304,6 +304,22 @@ WHERE re.reminder_type = 'confirmation' AND re.sent_at >= DATE '{as_of}' - INTER
 GROUP BY d.year, d.week_number""")
 
 
+def fiscal_outcomes(as_of: str = AS_OF) -> str:
+    """From the bookings themselves: fiscal weeks as Sundays passed since the one before 2025-01-01."""
+    day = "CAST(scheduled_at AS DATE)"
+    return with_tables(f"""
+SELECT CAST(year({day}) AS INTEGER) AS "year", CAST(quarter({day}) AS INTEGER) AS "quarter",
+       CAST(date_diff('day', DATE '1994-12-25', {day}) // 7 - 1566 AS INTEGER) + 1 AS fiscal_week,
+       MIN(CAST(strftime({day}, '%Y%m%d') AS INTEGER)) AS first_date_key,
+       MAX(CAST(strftime({day}, '%Y%m%d') AS INTEGER)) AS last_date_key, COUNT(*) AS total_appointments,
+       {cnt("status = 'no_show'")} AS no_shows, {cnt(f"isodow({day}) IN (6, 7)")} AS weekend_appointments,
+       {pct(cnt("status = 'no_show'"), "COUNT(*)")} AS no_show_rate_pct
+FROM appointments
+WHERE scheduled_at >= DATE '{as_of}' - INTERVAL 26 WEEK
+  AND {day} BETWEEN DATE '{o.CAL_START}' AND DATE '{o.CAL_END}'
+GROUP BY 1, 2, 3""")
+
+
 def reschedule_cta_rule_check() -> str:
     return with_tables("""
 SELECT delay_minutes >= 60 AS delay_60_plus, reschedule_shown, COUNT(*) AS events,

@@ -8,7 +8,7 @@ import pytest
 
 from fixture_tables import D, make_tables
 from slotwise.functions.dates import BOOKING_MONTH
-from slotwise.operators import adoption, dropoff, funnel, kpi, product
+from slotwise.operators import activity, adoption, dashboard, dropoff, funnel, kpi, product, reminders
 from slotwise.sources import layout
 from slotwise.sources.tables import Tables
 
@@ -21,6 +21,12 @@ VIEWS = {
 }
 
 
+LOOKUPS = {
+    "V3": lambda t: activity.daily_active_users(t, AS_OF, days=20), "V7": lambda t: reminders.reminder_by_type(t, AS_OF),
+    "M13": lambda t: product.confirmation_sla(t, AS_OF, weeks=4), "D2": lambda t: dashboard.reminder_engagement_weekly(t, AS_OF, weeks=4),
+}
+
+
 def tables(spark):
     salons = [dict(salon_id=f"s{i}", reminder_30min=bool(i), delay_tracker=True, prepay_enabled=True, is_active=True) for i in range(2)]
     appts = [dict(appointment_id=f"a{i}", salon_id=f"s{i % 2}", customer_id=f"c{i % 5}", scheduled_at=D(2025, 1 + i % 7, 1 + i % 27, 10),
@@ -58,6 +64,27 @@ def test_every_event_scan_is_pruned_and_figures_agree(stored, name):
     assert scans and all("PartitionFilters" in b and f"{BOOKING_MONTH}" in b.split("PartitionFilters")[1].split("\n")[0] for b in scans)
 
 
+@pytest.mark.parametrize("name", list(LOOKUPS))
+def test_bookings_are_looked_up_in_the_events_months(stored, name):
+    plain, by_month = stored
+    got = LOOKUPS[name](by_month)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, LOOKUPS[name](plain).collect()), key=repr)
+    scans = [b for b in plan(got).split("\n\n") if "Scan parquet" in b.split("\n")[0] and "/appointments" in b]
+    assert scans and all("PartitionFilters" in b and "scheduled_month" in b.split("PartitionFilters")[1].split("\n")[0] for b in scans)
+    assert any("dynamicpruning" in b for b in scans)
+
+
+def test_a_booking_without_a_time_is_found_by_its_events(spark, tmp_path):
+    t = tables(spark)
+    from pyspark.sql import functions as F
+
+    t = t.with_tables(appointments=t.appointments.withColumn("scheduled_at", F.when(F.col("appointment_id") != "a7", F.col("scheduled_at"))))
+    layout.write_time_partitioned(t, str(tmp_path))
+    by_month = Tables.from_parquet(spark, str(tmp_path), normalize=False)
+    for name, view in LOOKUPS.items():
+        assert sorted(map(tuple, view(by_month).collect()), key=repr) == sorted(map(tuple, view(t).collect()), key=repr), name
+
+
 def test_a_moved_booking_takes_its_events_along(spark, tmp_path):
     root = str(tmp_path)
     t = tables(spark)
