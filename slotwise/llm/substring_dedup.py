@@ -12,7 +12,8 @@ of an anchor sees every occurrence of their windows.
    which gives the smallest document of every window's occurrences.
 4. Windows whose smallest document comes before their own mark their words; the rest is kept.
 
-Words are compared by 32 bits of a hash each: a window is 13 of them.
+Words are compared by a 64-bit hash each: two windows that differ in one word are taken as equal with
+probability 2^-64.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ WINDOW = 13
 GRAM = 4                        # words of an anchor
 MASK = (1 << 48) - 1            # bits of an anchor's hash that are kept; a collision only costs time
 HOT_RUNS = 4096                 # distinct runs of an anchor beyond which they are cut into windows
-SHARD_WORDS = 400_000         # words that one FM-index holds, at least one anchor's
+SHARD_WORDS = 400_000           # words that one FM-index holds, at least one anchor's
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -55,6 +56,12 @@ def runs_of(words: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray,
     return doc[inside[first]], inside[first], n, (grams[anchor_at[first]] & np.uint64(MASK)).astype(np.int64)
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column in one array, and where each row's begin (one more for the end); nulls are empty."""
+    sizes = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(sizes))
+
+
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
@@ -72,7 +79,7 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def runs(docs: DataFrame, shared: np.ndarray | None, window: int) -> DataFrame:
-    """(anchor, doc_id, start, words) of the runs whose anchor is shared; words as uint32.
+    """(anchor, doc_id, start, words) of the runs whose anchor is shared; words as uint64 hashes.
 
     shared: a filter over the shared anchors; None: docs has them in the column ``anchors``."""
     wanted = docs.sparkSession.sparkContext.broadcast(shared) if shared is not None else None
@@ -86,13 +93,15 @@ def runs(docs: DataFrame, shared: np.ndarray | None, window: int) -> DataFrame:
                 if wanted is not None:
                     ok = bloom.contains(wanted.value, anchor)
                 else:
-                    own = [np.array(x or [], np.int64) for x in batch.column(2).slice(lo, hi - lo).to_pylist()]
-                    ok = np.array([a in own[d] for a, d in zip(anchor, doc, strict=True)], bool)
+                    own, ends = _flat(batch.column(2).slice(lo, hi - lo))
+                    at_doc = np.searchsorted(doc, np.arange(hi - lo + 1))       # runs come in document order
+                    ok = np.concatenate([np.zeros(0, bool), *[np.isin(anchor[a:b], own[c:d]) for a, b, c, d in
+                                                              zip(at_doc[:-1], at_doc[1:], ends[:-1], ends[1:], strict=True) if a < b]])
                 doc, start, n, anchor = doc[ok], start[ok], n[ok], anchor[ok]
-                small = (words >> np.uint64(32)).astype("<u4").tobytes()
+                flat = words.astype("<u8").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor), pa.array(ids[lo:hi][doc].astype(np.int64)), pa.array((start - at[doc]).astype(np.int32)),
-                     pa.array([small[4 * s:4 * (s + k + window - 1)] for s, k in zip(start.tolist(), n.tolist(), strict=True)], pa.binary())],
+                     pa.array([flat[8 * s:8 * (s + k + window - 1)] for s, k in zip(start.tolist(), n.tolist(), strict=True)], pa.binary())],
                     names=["anchor", "doc_id", "start", "words"])
 
     return arrow_map(docs, find, "anchor long, doc_id long, start int, words binary")
@@ -105,7 +114,7 @@ def _owners_in_shards(routed: DataFrame, window: int) -> DataFrame:
         size = 0
 
         def answer() -> pa.RecordBatch:
-            found = fm_index.first_owners([np.frombuffer(w, "<u4") for _, _, w, _ in held], np.array([o for *_, o in held]), window)
+            found = fm_index.first_owners([np.frombuffer(w, "<u8") for _, _, w, _ in held], np.array([o for *_, o in held]), window)
             return pa.RecordBatch.from_arrays([pa.array([r for _, r, _, _ in held], pa.int64()), pa.array([w for _, _, w, _ in held], pa.binary()),
                                                pa.array(found, pa.list_(pa.int64()))], names=["run", "words", "owners"])
 
@@ -115,7 +124,7 @@ def _owners_in_shards(routed: DataFrame, window: int) -> DataFrame:
                     yield answer()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[2]) // 4
+                size += len(row[2]) // 8
         if held:
             yield answer()
 
@@ -133,7 +142,7 @@ def first_documents(found: DataFrame, window: int) -> DataFrame:
     usual = distinct.join(owners, ["run", "words"]).select("anchor", "run", "owners")
 
     single = distinct.join(hot, "anchor", "left_semi").select("anchor", "run", "owner", F.posexplode(F.expr(
-        f"transform(sequence(0, length(words) div 4 - {window}), i -> substring(words, 4 * i + 1, {4 * window}))")).alias("place", "words"))
+        f"transform(sequence(0, length(words) div 8 - {window}), i -> substring(words, 8 * i + 1, {8 * window}))")).alias("place", "words"))
     single = stored(single, "substring-windows")
     windows = single.groupBy("words").agg(F.min("owner").alias("owner")).withColumn("run", F.xxhash64("words"))
     of_window = stored(_owners_in_shards(windows.withColumn("route", F.col("run")), window), "substring-window-owners")
@@ -168,35 +177,26 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, gone, left = [], [], []
-            for value, places in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                words = _WORD.findall((value.as_py() or "").encode())
-                drop = np.zeros(len(words) + window, bool)
-                for p in places or ():
-                    drop[p:p + window] = True
-                drop = drop[:len(words)]
-                n.append(len(words))
-                gone.append(int(drop.sum()))
-                left.append(b" ".join(w for w, d in zip(words, drop.tolist(), strict=True) if not d) if gone[-1] else b" ".join(words))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                                              pa.array([x.decode() for x in left], pa.string())],
-                                             names=["doc_id", "n_words", "n_removed", "kept_text"])
-
-    shape = "doc_id long, n_words long, n_removed long, kept_text string"
-    marked = bloom.build(marks, "doc_id")
-    if marked is None:
-        return arrow_map(rows.join(marks, "doc_id", "left"), keep, shape)
-    marked = docs.sparkSession.sparkContext.broadcast(marked)
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bloom.contains(marked.value, ids))], names=["doc_id", "text", "may"])
-
-    sorted_out = arrow_map(rows, split, "doc_id long, text string, may boolean")
-    clean = sorted_out.where("NOT may").select("doc_id", "text", F.lit(None).cast("array<int>").alias("places"))
-    rest = sorted_out.where("may").select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "text", "places")
-    return arrow_map(clean, keep, shape).unionByName(arrow_map(rest, keep, shape))
+            places, begin = _flat(batch.column(2))
+            for lo, hi, buf, offsets in textnum.slices(batch.column(1)):
+                n, gone, left = [], [], []
+                for row in range(lo, hi):
+                    words = _WORD.findall(buf[offsets[row - lo]:offsets[row - lo + 1]].tobytes())
+                    own = places[begin[row]:begin[row + 1]]
+                    n.append(len(words))
+                    if not len(own):
+                        gone.append(0)
+                        left.append(b" ".join(words))
+                        continue
+                    edge = np.bincount(own, minlength=len(words) + 1)[:len(words) + 1] - np.bincount(own + window, minlength=len(words) + 1)[:len(words) + 1]
+                    drop = np.cumsum(edge)[:len(words)] > 0
+                    gone.append(int(drop.sum()))
+                    left.append(b" ".join(w for w, d in zip(words, drop.tolist(), strict=True) if not d))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
+                                                  pa.array(left, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+
+    return arrow_map(rows.join(marks, "doc_id", "left").select("doc_id", "text", "places"), keep,
+                     "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def digests(kept: DataFrame) -> DataFrame:
