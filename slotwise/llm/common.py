@@ -10,24 +10,16 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotwise.session import ensure_checkpoint_dir
+
 #: Words are runs of anything but the six ASCII white-space characters (a fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only where the cluster names none (a local session, as in tests) a scratch folder below the
-    warehouse folder is registered for it.
-    """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir()
-    return path.rstrip("/")
+    """The folder all executors share, from ``spark.checkpoint.dir``; a cluster must name one."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -61,6 +61,13 @@ def ngram_counts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.hstack(out)
 
 
+def in_blocks(buf: np.ndarray, offsets: np.ndarray, most: int = 256) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first document, end document, counts) of at most ``most`` documents at a time, however short they are."""
+    for first in range(0, len(offsets) - 1, most):
+        last = min(first + most, len(offsets) - 1)
+        yield first, last, ngram_counts(buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+
+
 def codewords(n: int) -> np.ndarray:
     """(languages x bits) of +-1: all splits into two parts for up to 6 languages, else random
     codes of 10 log2(n) bits, the best of many draws by smallest distance between rows (above 256
@@ -128,9 +135,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | Non
             for lo, hi, buf, offsets in textnum.slices(batch.column(0)):
                 here, place = np.unique(at[lo:hi], return_inverse=True)
                 sums = np.zeros((len(here), FEATURES))
-                for first in range(0, hi - lo, 256):         # so many documents' counts at once
-                    last = min(first + 256, hi - lo)
-                    part = ngram_counts(buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+                for first, last, part in in_blocks(buf, offsets):
                     np.add.at(sums, place[first:last], part)
                 i, j = np.nonzero(sums)
                 yield pa.RecordBatch.from_pydict({"i": here[i].astype(np.int32), "j": j.astype(np.int32), "n": sums[i, j]})
@@ -165,12 +170,12 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | Non
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, seen = np.zeros(model.code.shape), np.zeros(len(langs))
         for batch in batches:
-            at = np.array([index.get(x, -1) for x in batch.column(1).to_pylist()], int)
+            at = np.array([index[x] for x in batch.column(1).to_pylist()], int)
             for lo, hi, buf, offsets in textnum.slices(batch.column(0)):
-                known = at[lo:hi] >= 0
-                code = model.code[at[lo:hi][known]]
-                np.add.at(good, at[lo:hi][known], model.margins(ngram_counts(buf, offsets)[known]) * code > 0)
-                np.add.at(seen, at[lo:hi][known], 1)
+                for first, last, part in in_blocks(buf, offsets):
+                    known = at[lo + first:lo + last]
+                    np.add.at(good, known, model.margins(part) * model.code[known] > 0)
+                    np.add.at(seen, known, 1)
         i, b = np.indices(model.code.shape).reshape(2, -1)
         yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "b": b.astype(np.int32), "good": good.ravel(),
                                           "seen": np.repeat(seen, model.code.shape[1])})
@@ -202,10 +207,12 @@ def predict(docs: DataFrame, model: Model | None, keep: dict[str, Column], text:
                 has = letters[offsets[1:]] > letters[offsets[:-1]]
                 for k in np.flatnonzero(~has & (np.diff(offsets) > 0)):
                     has[k] = any(c.isalpha() for c in column[lo + int(k)].as_py())
-                loss = model.losses(ngram_counts(buf, offsets)[has])
-                ranked = np.sort(loss, 1)
-                pred[lo:hi][has] = loss.argmin(1)
-                score[lo:hi][has] = 1 - ranked[:, 0] / np.maximum(ranked[:, 1], 1e-300) if len(model.langs) > 1 else 1.0
+                for first, last, part in in_blocks(buf, offsets):
+                    at = lo + first + np.flatnonzero(has[first:last])
+                    loss = model.losses(part[has[first:last]])
+                    ranked = np.sort(loss, 1)
+                    pred[at] = loss.argmin(1)
+                    score[at] = 1 - ranked[:, 0] / np.maximum(ranked[:, 1], 1e-300) if len(model.langs) > 1 else 1.0
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names[pred], pa.string()), pa.array(np.clip(score, 0, 1)),
                  pa.array(score < ambiguous_below)], names=names_out)

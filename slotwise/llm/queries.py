@@ -58,7 +58,7 @@ def op7_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = language_id.fit(docs.where(~held_out))
     return language_id.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
 

@@ -119,9 +119,17 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     document labelled twice both labels count; repeated rows are judged alike and each counts for its
     site; a probability equal to the threshold is good; an empty table gives an empty table.
     """
-    host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
     model = fit(docs, labels, key, text, sample=sample)
-    rows = docs.withColumns({"_host": host.cast("string"), "_path": path.cast("string"), "_evidence": _evidence(F.col(text), model)})
+    return _judged(docs.withColumns(_scores(host, path, text, model)), model is not None, threshold)
+
+
+def _scores(host: Column | None, path: Column | None, text: str, model: tuple[list[float], float] | None) -> dict[str, Column]:
+    host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
+    return {"_host": host.cast("string"), "_path": path.cast("string"), "_evidence": _evidence(F.col(text), model)}
+
+
+def _judged(rows: DataFrame, fitted: bool, threshold: float) -> DataFrame:
+    """rows with _host, _path and _evidence: the site's shares, _probability and _good."""
     scored = rows.select(F.col("_host").alias("host"), F.col("_path").alias("path"), _sigmoid(F.col("_evidence")).alias("p"))
     sites, prior = site_posteriors(scored)
     sites = bounded_broadcast(sites.withColumnsRenamed({"host": "_site_host", "path": "_site_path", "host_share": "_host_share",
@@ -129,13 +137,18 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     met = rows.join(sites, F.col("_host").eqNullSafe(F.col("_site_host")) & F.col("_path").eqNullSafe(F.col("_site_path")), "left")
     odds = F.col("_evidence") + _logit(F.coalesce("_path_share", F.lit(prior))) - _logit(F.lit(prior))
     met = met.withColumn("_probability", _sigmoid(odds))
-    good = F.lit(True) if model is None else F.col("_probability") >= threshold
+    good = F.col("_probability") >= threshold if fitted else F.lit(True)
     return met.withColumn("_good", good).drop("_site_host", "_site_path", "_host", "_path")
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Per row: doc_id, evidence (log-odds), host_share, path_share, probability, kept."""
-    key = options.get("key", "doc_id")
-    return classify(docs, labels, **options).select(
-        key, F.col("_evidence").alias("evidence"), F.col("_host_share").alias("host_share"), F.col("_path_share").alias("path_share"),
-        F.col("_probability").alias("probability"), F.col("_good").alias("kept"))
+def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, key: str = "doc_id",
+                       text: str = "text", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """Per row: the key, evidence (log-odds), host_share, path_share, probability, kept; as ``classify``.
+
+    Texts are scored once; their scores, without the texts, are stored for the sites and the verdicts."""
+    model = fit(docs, labels, key, text, sample=sample)
+    scores = _scores(host, path, text, model)
+    rows = stored(docs.select(F.col(key).alias("_key"), *[c.alias(name) for name, c in scores.items()]), "quality-scores")
+    return _judged(rows, model is not None, threshold).select(
+        F.col("_key").alias(key), F.col("_evidence").alias("evidence"), F.col("_host_share").alias("host_share"),
+        F.col("_path_share").alias("path_share"), F.col("_probability").alias("probability"), F.col("_good").alias("kept"))

@@ -13,13 +13,17 @@ from slotwise.llm import sanitise
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 
 
-def brute_terms(texts):
-    """Terms by the rule in the module's docstring, entities being emails only."""
+def emails(text):
+    return [(m.start(), m.end(), m[0]) for m in re.finditer(EMAIL, text)]
+
+
+def brute_terms(texts, spans_of=emails):
+    """Terms by the rule in the module's docstring; spans_of gives a text's entities (start, end, value)."""
     lines, docs, near_line, near_doc, e_line, e_doc = {}, {}, {}, {}, {}, {}
     n_lines = 0
     for d, text in enumerate(texts):
         n_lines += text.count("\n") + 1
-        spans = [(m.start(), m.end(), m[0]) for m in re.finditer(EMAIL, text)]
+        spans = spans_of(text)
         words = [(text.count("\n", 0, m.start()), m.start(), m.end(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
         for line, _, _, w in words:
             lines.setdefault(w, set()).add((d, line))
