@@ -50,7 +50,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("near duplicates", near_duplicates), ("personal data", personal_data),
           ("mixing", mixture), ("packing", packed)]
-#: A trained classifier, min-hashing and a tokenizer have no SQL; tests/llm compare the operators with brute force, but 6 and 8.
+#: A trained classifier, min-hashing and a tokenizer have no SQL; tests/llm compare every stage of run() with plain Python.
 ORACLE_SQL = None
 
 
