@@ -17,6 +17,8 @@ from slotwise.llm import textnum
 
 TABLE_WORDS = 400_000
 SLICE_BYTES = 4 << 20
+TOGETHER = 50
+MARKS = ("~", "^", "|", "!")
 #: Bytes of words: all but the six ASCII white-space characters.
 WORD_BYTES = np.ones(256, bool)
 WORD_BYTES[[32, 9, 10, 11, 12, 13]] = False
@@ -47,22 +49,26 @@ class WordTable:
         self._keep(words, self.encode(words))
 
     def _keep(self, words: list[str], new: Sequence[Sequence[int]]) -> None:
+        self._keep_flat(words, np.array([i for x in new for i in x], np.uint32), np.array([len(x) for x in new], np.int64))
+
+    def _keep_flat(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        """words with their ids in one array, so many each."""
         if not words:
             return
         first, used = len(self.row), int(self.ends[len(self.row)])
-        ends = used + np.cumsum([len(x) for x in new])
+        ends = used + np.cumsum(sizes)
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.ends) <= first + len(new):
+        while len(self.ends) <= first + len(words):
             self.ends, self.slices = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.slices))
-        self.ids[used:ends[-1]] = [i for x in new for i in x]
-        self.ends[first + 1:first + 1 + len(new)] = ends
-        self.row.update(zip(words, range(first, first + len(new)), strict=True))
+        self.ids[used:ends[-1]] = flat
+        self.ends[first + 1:first + 1 + len(words)] = ends
+        self.row.update(zip(words, range(first, first + len(words)), strict=True))
 
     def lookup(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All words' ids, and where each word's begin (one more for the end)."""
         coded = words.dictionary_encode()
-        values = coded.dictionary.to_pylist()
+        values = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in values if w not in self.row]
         if new and len(self.row) + len(new) > TABLE_WORDS:
             self._forget()
@@ -103,6 +109,30 @@ class LibraryTable(WordTable):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         super().__init__(lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        self.mark, self.mark_id = next(((m, i) for m in MARKS if (i := self._alone(m)) is not None), ("", -1))
+
+    def _alone(self, mark: str) -> int | None:
+        """The id of a word that is one known token and leaves its neighbours as they are; else None."""
+        a, m, b, all_ = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("ab1", mark, "c.d", f"ab1 {mark} c.d"))
+        return m[0] if len(m) == 1 and all_ == a + m + b and mark in self.tokenizer.id_to_token(m[0]) else None
+
+    def _add(self, words: list[str]) -> None:
+        """New words are encoded ``TOGETHER`` at a time, a word that none of them holds between them; its id
+        then stands between theirs.  Words that hold it are encoded one by one."""
+        plain = [w for w in words if self.mark not in w] if self.mark else []
+        ids: list[int] = []
+        between = f" {self.mark} "
+        for e in self.tokenizer.encode_batch_fast([between.join(plain[k:k + TOGETHER]) for k in range(0, len(plain), TOGETHER)], add_special_tokens=False):
+            ids += e.ids
+            ids.append(self.mark_id)
+        flat = np.array(ids, np.int64)
+        cuts = np.flatnonzero(flat == self.mark_id)
+        if len(cuts) != len(plain):                     # some word's normal form holds the mark
+            super()._add(words)
+            return
+        self._keep_flat(plain, flat[flat != self.mark_id], np.diff(cuts, prepend=-1) - 1)
+        if len(plain) < len(words):
+            super()._add([w for w in words if not self.mark or self.mark in w])
 
     def of(self, text: str) -> bytes:
         """One text's ids (little-endian uint32 bytes)."""

@@ -6,6 +6,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,15 @@ def test_a_small_word_table_gives_the_same_ids(library, monkeypatch):
     bpe = prefix_bpe.PrefixBpe(queries.tokenizer_path())
     got = [ids[a:b].tolist() for _, _, ids, ends in word_ids.ids_of(pa.array(texts), bpe.words) for a, b in zip(ends, ends[1:])]
     assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_new_words_encoded_together_keep_their_ids():
+    table = word_ids.LibraryTable(queries.tokenizer_path())
+    assert table.mark
+    texts = [f"~ a~b x{table.mark} {table.mark}{table.mark}", "<|endoftext|>y <|startoftext|> a<|startoftext|>b <|startof", "́abc ΣΑΣ \u0085x \x00 🙂 don't", "",
+             " ".join(f"w{i}z{i % 7}." for i in range(500))]
+    for mark in (table.mark, ""):                        # together; one by one
+        table._clear()
+        table.mark = mark
+        for text in texts:
+            assert table.of(text) == np.array(table.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
