@@ -3,8 +3,9 @@
 A plan is a list of patterns (which lengths share a sequence) with how often each is used.  Exact
 complements come first: for the longest length still there, the gap to a full sequence is looked
 up among single lengths, then sums of two, then of three, and the combination is consumed as often
-as the counts allow.  What has no exact complement is packed best-fit, longest first.  The plan
-depends on at most ``capacity`` counts, however many documents there are; pieces then find their
+as the counts allow.  What has no exact complement is packed best-fit, longest first.  Where those
+rests leave gaps that smaller pieces would fill, combinations used last (those of small pieces) are given
+back to them.  The plan depends on at most ``capacity`` counts, however many documents there are; pieces then find their
 place by their rank among the pieces of their length.
 """
 
@@ -22,9 +23,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from slotwise.llm import word_ids
-from slotwise.llm.common import arrow_map, stored
+from slotwise.llm.common import arrow_map, bounded_broadcast, stored
 
 CAPACITY = 2048
+GROUP = 100_000         # pieces of one length that a task ranks, about
+MAX_GROUPS = 200_000    # groups that are broadcast; with more, the join shuffles
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -62,14 +65,12 @@ def _best_pair(count: np.ndarray, gap: int, most: int) -> tuple[int, int] | None
     return (int(large[at]), int(gap - large[at])) if ok[at] else None
 
 
-def _complement(count: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
-    """One, two or three lengths (up to ``most``) that are there and fill ``gap`` exactly."""
-    if most > 0 and count[gap] > 0:
+def _complement(count: np.ndarray, gap: int) -> tuple[int, ...] | None:
+    """One, two or three lengths that are there and fill ``gap`` exactly."""
+    if count[gap] > 0:
         return (gap,)
-    if most > 1 and (pair := _best_pair(count, gap, gap)):
+    if pair := _best_pair(count, gap, gap):
         return pair
-    if most < 3:
-        return None
     for a in np.flatnonzero(count[:gap - 1])[::-1]:
         if 3 * a < gap:
             break
@@ -81,16 +82,8 @@ def _complement(count: np.ndarray, gap: int, most: int) -> tuple[int, ...] | Non
     return None
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """Patterns ({length: how many}, uses) that place every piece once.
-
-    Exact complements may use up small pieces that larger rests need, mostly when there are few
-    pieces: of the plans with complements of up to three, two, one and no pieces the shortest counts.
-    """
-    return min((_plan(histogram, capacity, most) for most in (3, 2, 1, 0)), key=lambda p: sum(n for _, n in p))
-
-
-def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[dict[int, int], int]]:
+def _exact(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Patterns that fill a sequence exactly, longest pieces first, and the counts that are left."""
     count = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         count[length] = n
@@ -98,7 +91,7 @@ def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[dic
     for length in range(capacity, 0, -1):
         while count[length] > 0:
             count[length] -= 1
-            more = _complement(count, capacity - length, most) if length < capacity else ()
+            more = _complement(count, capacity - length) if length < capacity else ()
             count[length] += 1
             if more is None:
                 rest[length] = int(count[length])
@@ -109,6 +102,11 @@ def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[dic
             for x, k in use.items():
                 count[x] -= k * times
             out.append((dict(use), times))
+    return out, rest
+
+
+def _best_fit(rest: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns of the pieces that have no exact complement: best fit, longest first."""
     open_bins: list[list[tuple[Counter, int]]] = [[] for _ in range(capacity + 1)]    # by gap
     for length in sorted(rest, reverse=True):
         left = rest[length]
@@ -131,8 +129,42 @@ def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[dic
         for k, n in ((each, left // each), (left % each, 1)):
             if k and n:
                 open_bins[capacity - k * length].append((Counter({length: k}), n))
-    out += [(dict(p), n) for bins in open_bins for p, n in bins]
-    return out
+    return [(dict(p), n) for bins in open_bins for p, n in bins]
+
+
+def _give_back(exact: list[tuple[dict[int, int], int]], rest: dict[int, int], uses: int) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """The last ``uses`` uses of exact patterns are taken apart and join the rest."""
+    kept, rest = list(exact), dict(rest)
+    while uses and kept:
+        pattern, times = kept.pop()
+        back = min(times, uses)
+        uses -= back
+        if times > back:
+            kept.append((pattern, times - back))
+        for length, k in pattern.items():
+            rest[length] = rest.get(length, 0) + k * back
+    return kept, rest
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """Patterns ({length: how many}, uses) that place every piece once.
+
+    While more sequences are used than the pieces' sum needs, twice as many of the exact combinations
+    are given back to the rests as before; the shortest plan counts, of equal ones that with
+    most exact combinations.
+    """
+    exact, rest = _exact(histogram, capacity)
+    needed = -(-sum(length * n for length, n in histogram.items()) // capacity)
+    best, fewest, uses = [], None, 0
+    while True:
+        kept, loose = _give_back(exact, rest, uses)
+        whole = kept + _best_fit(loose, capacity)
+        total = sum(n for _, n in whole)
+        if fewest is None or total < fewest:
+            best, fewest = whole, total
+        if not kept or fewest <= needed:
+            return best
+        uses = 2 * uses or 1
 
 
 def slots(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -148,34 +180,40 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, in
     return rows
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Adds sequence_id and offset to stored pieces (doc_id, piece, start, length, ...).
 
-    A length's pieces are ranked inside ``salts`` hash groups, whose sizes (at most capacity x salts
-    numbers) give each group its first rank, so no length meets in one task.
+    Pieces that fill a sequence alone need no place (their sequences have numbers below 0).  The others
+    of a length are ranked inside hash groups of about ``group`` pieces, as many as the length's
+    count asks for; the groups' sizes give each its first rank, so no length meets in one task.
     """
     spark = cut.sparkSession
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(salts)).cast("int"))
+    # at most ``capacity`` rows reach the driver
+    histogram = {r["length"]: r["n"] for r in cut.where(F.col("length") < capacity).groupBy("length").agg(F.count("*").alias("n")).collect()}
+    salts = spark.createDataFrame([(length, n // group + 1) for length, n in histogram.items()], "_length long, _salts long")
+    salted = cut.join(F.broadcast(salts), F.col("length") == F.col("_length")).withColumn(
+        "_salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.col("_salts"))).drop("_length", "_salts")
     groups = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")
                               .rowsBetween(Window.unboundedPreceding, -1))
-    groups = stored(groups.select("length", "_salt", "_n", F.coalesce(before, F.lit(0)).alias("_first")), "pack-groups")
-    # at most ``capacity`` rows reach the driver
-    histogram = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    groups = stored(groups.select("length", "_salt", F.coalesce(before, F.lit(0)).alias("_first")), "pack-groups")
     place = spark.createDataFrame(
         slots(plan(histogram, capacity)),
         "length long, _lo long, _hi long, _sequence long, _offset long, _each long")
     inside = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start"))
     ranked = (salted.withColumn("_in", inside)
-              .join(F.broadcast(groups.select("length", "_salt", "_first")), ["length", "_salt"])   # <= capacity x salts rows
+              .join(bounded_broadcast(groups, MAX_GROUPS), ["length", "_salt"])
               .withColumn("_rank", F.col("_first") + F.col("_in") - 1).drop("_salt", "_in", "_first"))
     here = (ranked["length"] == place["length"]) & (ranked["_rank"] >= place["_lo"]) & (ranked["_rank"] < place["_hi"])
     nth = F.col("_rank") - F.col("_lo")
     # the plan's rows: a few per length, from at most ``capacity`` counts
-    return ranked.join(F.broadcast(place), here).select(
+    placed = ranked.join(F.broadcast(place), here).select(
         *[ranked[c] for c in cut.columns],
         (F.col("_sequence") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + nth % F.col("_each") * ranked["length"]).cast("long").alias("offset"))
+    alone = cut.where(F.col("length") >= capacity).select(
+        *cut.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.unionByName(alone)
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, key: str = "doc_id",

@@ -155,6 +155,36 @@ def test_plan_places_every_piece_once():
     assert sum(times for _, times in plan) <= len(gaps)
 
 
+def test_plans_give_combinations_back_where_rests_need_them():
+    # 6 + 2 + 2 fills ten, but then the sevens lack their twos
+    count = {7: 2, 6: 1, 2: 2, 4: 1, 1: 2}
+    assert sum(times for _, times in packing.plan(dict(count), 10)) == 3
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        count = dict(collections.Counter(rng.integers(1, 41, int(rng.integers(1, 120))).tolist()))
+        made = packing.plan(dict(count), 40)
+        used = collections.Counter()
+        for pattern, times in made:
+            assert sum(length * k for length, k in pattern.items()) <= 40
+            used.update({length: k * times for length, k in pattern.items()})
+        assert used == count
+        exact, rest = packing._exact(dict(count), 40)
+        assert sum(n for _, n in made) <= min(sum(n for _, n in exact + packing._best_fit(rest, 40)), sum(n for _, n in packing._best_fit(count, 40)))
+    assert packing.plan({}) == []
+
+
+def test_small_groups_and_full_pieces_place_alike(spark):
+    rows = [(i, 0, 0, [64, 64, 40, 24, 7, 7, 7][i % 7]) for i in range(700)] + [(3, 0, 0, 24)] * 3
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long")
+    for group in (5, 1000):
+        got = packing.pack(cut, 64, group).toPandas()
+        assert sorted(got.length) == sorted(r[3] for r in rows)
+        for _, x in got.sort_values("offset").groupby("sequence_id"):
+            assert x.length.sum() <= 64 and (x.offset == x.length.cumsum().shift(fill_value=0)).all()
+        assert got.sequence_id.nunique() <= -(-int(got.length.sum()) // 64) + 1
+    assert packing.pack(cut.limit(0), 64).count() == 0
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.net/en/x?q"), (4, "https://x.org/fr/casino"), (5, "http://roads-tracker.com/"),
             (6, "http://ads-track.com"), (7, "http://x.com/free/bonus"), (8, "http://x.com/free"), (9, "http://sub.example.com/de/"), (10, "://net"), (10, "://net")]
