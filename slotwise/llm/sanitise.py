@@ -17,8 +17,8 @@ without the entity has them), else generalised.
 
 Only DataFrame functions are used.  Places of matches and words are running sums of the lengths of
 what lies between, taken block by block, so no array is copied once per element.  Shuffled are the
-words of documents with entities, the counts of candidate terms, and documents that are
-joined with their terms.
+words of documents with entities, the counts of terms (a task's, each once), and the documents that
+are joined with their terms or spans.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import bounded_broadcast, let, stored, words_of
+from slotwise.llm.common import let, stored, words_of
 
 #: The matches of these are those of the plain patterns (fixed values); possessive loops and the look
 #: at the character before only keep long runs of word characters or digits from being tried again
@@ -46,8 +46,10 @@ CERTAINTY, DEVIATIONS = 0.5, 1.0
 REACH = 512                     # characters between a term and an entity
 SUPPORT = 2                     # documents with a term near an entity, for the count over documents
 BLOCK = 64
-#: Up to so many terms are broadcast to the words of all documents; more are joined by a shuffle.
-MOST_TERMS = 200_000
+#: Up to so many terms are broadcast to the words of all documents; of more, up to so many 64-bit hashes, and the
+#: words that have one of them are joined by a shuffle.
+MOST_TERMS, MOST_HASHES = 200_000, 2_000_000
+MOST_FLAGS = 1_000_000          # spans times stretches of a text, up to which far words are left out early
 SPAN = "array<struct<start:int,end:int,kind:string,value:string>>"
 
 
@@ -154,13 +156,23 @@ def _buckets(start: Column, end: Column, around: int = 0) -> Column:
     return F.explode(F.sequence(F.floor(start / REACH) - around, F.floor((F.greatest(end, start + 1) - 1) / REACH) + around))
 
 
+def _around(words: Column, spans: Column) -> Column:
+    """The words that stand in stretches where one can be near a span, by a flag per stretch.  All words, if one
+    is longer than a stretch (it may reach a span from far) or there are very many stretches and spans."""
+    near = F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(F.floor(s["start"] / REACH) - 2, F.floor(s["end"] / REACH) + 1))))
+    last = F.floor(F.element_at(words, -1)["start"] / REACH)
+    usual = (F.size(spans) * last < MOST_FLAGS) & F.forall(words, lambda w: w["end"] - w["start"] <= REACH)
+    flags = let(near, lambda n: F.transform(F.sequence(F.lit(0).cast("long"), last), lambda b: F.array_contains(n, b)))
+    return F.when(usual, let(flags, lambda f: F.filter(words, lambda w: F.get(f, F.floor(w["start"] / REACH).cast("int"))))).otherwise(words)
+
+
 def near_words(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(unit, entity, term, line, same_line): each word near an entity and outside all, once per entity and
     line; and (unit, line, start, entity): the words inside one.  A unit is one document id with one
     text.  Stored."""
     unit = F.struct("doc_id", "text_id").alias("unit")
     some = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_id"])
-    words = stored(some.select(unit, F.explode(_words(F.col("text"))).alias("w")).select("unit", "w.*"), "pii-words")
+    words = stored(some.select(unit, F.explode(let(_words(F.col("text")), lambda w: _around(w, F.col("spans")))).alias("w")).select("unit", "w.*"), "pii-words")
     spans = some.select(unit, F.explode("spans").alias("s")).select("unit", F.col("s.start").alias("from"), F.col("s.end").alias("to"), F.col("s.value").alias("entity"))
     inside = (words.withColumn("bucket", _buckets(F.col("start"), F.col("end")))
               .join(spans.withColumn("bucket", _buckets(F.col("from"), F.col("to"))), ["unit", "bucket"])
@@ -201,6 +213,21 @@ def reveals(n_both: Column, n_term: Column, n_entity: Column, n_all: Column, by_
     return enough & (mutual >= disclosure * information) & (lower_bound(n_both, n_term) >= certainty - 1e-9)
 
 
+def _may_have(rows: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
+    """The rows whose hash (in ``column``) is among stored ``hashes``; all rows if there are too many to broadcast."""
+    if hashes.limit(MOST_HASHES + 1).count() > MOST_HASHES:
+        return rows
+    return rows.join(F.broadcast(hashes.select(F.col(hashes.columns[0]).alias(column)).distinct()), column, "left_semi")
+
+
+def _with_terms(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """words (.., term) joined with stored terms (term, ..); of the words, only those that may be one are shuffled."""
+    if terms.limit(MOST_TERMS + 1).count() <= MOST_TERMS:
+        return words.join(F.broadcast(terms), "term")
+    few = _may_have(words.withColumn("_hash", F.xxhash64("term")), "_hash", terms.select(F.xxhash64("term")))
+    return few.drop("_hash").join(terms, "term")
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, action): the terms that reveal an entity, with what becomes of them."""
@@ -213,7 +240,13 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", smoo
         """Lines or documents that have a candidate term; every text of the corpus is read."""
         own = candidates.where(F.col("scale") == scale).select("term")
         words = units.select(F.explode(F.array_distinct(words_of(F.col("of")))).alias("term"))
-        return words.join(bounded_broadcast(own, MOST_TERMS), "term").groupBy("term").agg(F.count("*").alias("n_term")).withColumn("scale", F.lit(scale))
+        n_term = F.count("*").alias("n_term")
+        if own.limit(MOST_TERMS + 1).count() <= MOST_TERMS:
+            counted = words.join(F.broadcast(own), "term").groupBy("term").agg(n_term)
+        else:                                           # each task counts its words first: places of words are never shuffled
+            few = _may_have(words.withColumn("_hash", F.xxhash64("term")), "_hash", own.select(F.xxhash64("term")))
+            counted = few.groupBy("term").agg(n_term).join(own, "term")
+        return counted.select("term", "n_term", F.lit(scale).alias("scale"))
 
     # the counts are of rows: a document id that has two texts, or rows twice, counts as often
     n_term = stored(count(lines, "line").unionByName(count(docs.select(whole.alias("of")), "doc")), "pii-terms")
@@ -230,9 +263,10 @@ def term_spans(docs: DataFrame, revealing: DataFrame, key: str = "doc_id", text:
     terms = stored(revealing.groupBy("term").agg(F.min("action").alias("action")), "pii-disclosing")
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("_text")).withColumn("text_id", F.xxhash64("_text"))
     words = rows.select("doc_id", "text_id", F.explode(F.array_distinct(words_of(F.col("_text")))).alias("term"))
-    hits = stored(words.join(bounded_broadcast(terms, MOST_TERMS), "term").groupBy("doc_id", "text_id").agg(
+    hits = stored(_with_terms(words, terms).groupBy("doc_id", "text_id").agg(
         F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("actions")), "pii-hits")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))
+    rows = _may_have(rows, "text_id", hits.select("text_id"))         # texts without a term stay where they are
     rows = rows.join(hits.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), same).withColumn("names", F.map_keys("actions"))
     rows = base_spans(rows).withColumn("spans", F.concat(*[f"_{k}" for k in KINDS]))
     at = rows.select("doc_id", "text_id", "actions", "spans", F.explode(F.filter(_words(F.col("_text")), lambda w: F.array_contains("names", w["term"]))).alias("w"))
@@ -287,6 +321,15 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     """The rows of ``docs``, all columns, with personal data and disclosing terms masked in ``text``."""
     spans = sanitised_spans(docs, key, text, **options).where(F.size("spans") > 0)
     spans = stored(spans.select(F.col("doc_id").alias("_d"), F.col("text_id").alias("_t"), F.col("spans").alias("_spans")).distinct(), "pii-spans")
-    same = (F.col(key).eqNullSafe(F.col("_d"))) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_t"))
-    out = docs.join(spans, same, "left")
-    return out.withColumn(text, F.when(F.col("_spans").isNotNull(), masked(F.col(text), F.col("_spans"))).otherwise(F.col(text))).select(*docs.columns)
+    docs_of = docs.withColumn("_text_id", F.xxhash64(F.coalesce(text, F.lit(""))))
+    same = F.col(key).eqNullSafe(F.col("_d")) & (F.col("_text_id") == F.col("_t"))
+
+    def changed(rows: DataFrame) -> DataFrame:
+        out = rows.join(spans, same, "left")
+        return out.withColumn(text, F.when(F.col("_spans").isNotNull(), masked(F.col(text), F.col("_spans"))).otherwise(F.col(text))).select(*docs.columns)
+
+    if spans.limit(MOST_HASHES + 1).count() > MOST_HASHES:
+        return changed(docs_of)
+    hashes = F.broadcast(spans.select(F.col("_t").alias("_text_id")).distinct())
+    # texts without a span stay where they are
+    return changed(docs_of.join(hashes, "_text_id", "left_semi")).unionByName(docs_of.join(hashes, "_text_id", "left_anti").select(*docs.columns))

@@ -88,6 +88,28 @@ def test_a_rare_word_beside_an_entity_once_stays_elsewhere(spark):
     assert got[5001] == "" and got[5002] == "" and got[5000].endswith("email:11:17")
 
 
+def test_words_are_counted_before_a_shuffle_and_far_ones_left_out(spark, monkeypatch):
+    kept = {}
+    whole = sanitise.stored
+
+    def watched(df, name):
+        kept[name] = (df._jdf.queryExecution().optimizedPlan().toString(), whole(df, name))
+        return kept[name][1]
+
+    monkeypatch.setattr(sanitise, "stored", watched)
+    monkeypatch.setattr(sanitise, "MOST_TERMS", 0)
+    far = " ".join(f"far{i}" for i in range(5000))
+    rows = [(0, f"Quor wrote a@b.co {far}"), *[(i, f"plain {i % 9}") for i in range(1, 400)], (400, "x" * 2000 + ",c@d.org Tervel")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, sanitise.personal_data(docs).collect()))
+    assert kept["pii-words"][1].where("term LIKE 'far%'").count() < 500
+    plan = kept["pii-terms"][0]
+    assert plan.index("Join Inner") < plan.index("Aggregate [term")
+    monkeypatch.setattr(sanitise, "MOST_FLAGS", 0)
+    assert sorted(map(tuple, sanitise.personal_data(docs).collect())) == got
+    assert kept["pii-words"][1].where("term LIKE 'far%'").count() == 5000
+
+
 def test_running_sums_and_maxima(spark):
     rng = random.Random(1)
     rows = [(k, [rng.randint(0, 50) for _ in range(k)]) for k in (0, 1, 2, 63, 64, 65, 128, 129, 1000)]
