@@ -107,16 +107,19 @@ def runs(docs: DataFrame, shared: np.ndarray | None, window: int) -> DataFrame:
     return arrow_map(docs, find, "anchor long, doc_id long, start int, words binary")
 
 
-def _owners_in_shards(routed: DataFrame, window: int) -> DataFrame:
-    """routed (route, run, words, owner), dealt by route: (run, owners), one owner per window."""
+def _owners_in_shards(routed: DataFrame, window: int, known_by: str) -> DataFrame:
+    """routed (route, run, words, owner), dealt by route: (route, ``known_by``, owners), one owner per
+    window; a sequence is known by its run or by its words."""
+    at, kind = (2, pa.binary()) if known_by == "words" else (1, pa.int64())
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def answer() -> pa.RecordBatch:
             found = fm_index.first_owners([np.frombuffer(w, "<u8") for _, _, w, _ in held], np.array([o for *_, o in held]), window)
-            return pa.RecordBatch.from_arrays([pa.array([r for _, r, _, _ in held], pa.int64()), pa.array([w for _, _, w, _ in held], pa.binary()),
-                                               pa.array(found, pa.list_(pa.int64()))], names=["run", "words", "owners"])
+            return pa.RecordBatch.from_arrays([pa.array([r for r, *_ in held], pa.int64()), pa.array([row[at] for row in held], kind),
+                                               pa.array(found, pa.list_(pa.int64()))], names=["route", known_by, "owners"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -129,7 +132,7 @@ def _owners_in_shards(routed: DataFrame, window: int) -> DataFrame:
             yield answer()
 
     dealt = routed.select("route", "run", "words", "owner").repartition("route").sortWithinPartitions("route")
-    return arrow_map(dealt, search, "run long, words binary, owners array<long>")
+    return arrow_map(dealt, search, f"route long, {known_by} {'binary' if at == 2 else 'long'}, owners array<long>")
 
 
 def first_documents(found: DataFrame, window: int) -> DataFrame:
@@ -138,14 +141,14 @@ def first_documents(found: DataFrame, window: int) -> DataFrame:
     distinct = stored(distinct.withColumn("run", F.xxhash64("words")), "substring-runs")
     hot = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_RUNS).select("anchor"), "substring-hot")
     usual = distinct.join(hot, "anchor", "left_anti").select(F.col("anchor").alias("route"), "run", "words", "owner")
-    owners = stored(_owners_in_shards(usual, window), "substring-owners")
-    usual = distinct.join(owners, ["run", "words"]).select("anchor", "run", "owners")
+    # a run is known by its anchor's and its own hash from here on: its words go no further
+    usual = stored(_owners_in_shards(usual, window, "run").withColumnRenamed("route", "anchor"), "substring-owners")
 
     single = distinct.join(hot, "anchor", "left_semi").select("anchor", "run", "owner", F.posexplode(F.expr(
         f"transform(sequence(0, length(words) div 8 - {window}), i -> substring(words, 8 * i + 1, {8 * window}))")).alias("place", "words"))
     single = stored(single, "substring-windows")
     windows = single.groupBy("words").agg(F.min("owner").alias("owner")).withColumn("run", F.xxhash64("words"))
-    of_window = stored(_owners_in_shards(windows.withColumn("route", F.col("run")), window), "substring-window-owners")
+    of_window = stored(_owners_in_shards(windows.withColumn("route", F.col("run")), window, "words"), "substring-window-owners")
     cut = single.join(of_window, "words").groupBy("anchor", single["run"]).agg(
         F.sort_array(F.collect_list(F.struct("place", F.col("owners")[0].alias("owner")))).alias("o"))
     cut = cut.select("anchor", "run", F.transform("o", lambda x: x["owner"]).alias("owners"))

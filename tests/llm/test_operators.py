@@ -114,6 +114,14 @@ def test_substrings_against_brute_force(spark, docs, monkeypatch, hot, keys):
         assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == want[r["doc_id"]]
 
 
+def test_runs_words_are_kept_once(spark, docs, monkeypatch):
+    kept = {}
+    whole = substring_dedup.stored
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: kept.setdefault(name, whole(df, name)))
+    assert substring_dedup.without_repeats(docs).count() == docs.count()
+    assert [name for name, df in kept.items() if "words" in df.columns and df.count()] == ["substring-runs"]
+
+
 def test_packing_round_trip(spark, docs):
     path = queries.tokenizer_path()
     got = packing.best_fit_packing(docs, path, capacity=64).toPandas()
