@@ -119,13 +119,13 @@ def _with_text(schema, *names: str):
     return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in names]])
 
 
-def time_partitioned(df, name: str, partitions: int | None = None):
+def time_partitioned(df, name: str, partitions: int | None = None, dealt: bool = False):
     """``df`` with its month partition column, range-partitioned on the event time and sorted.
 
     Range partitioning (sampled boundaries) rather than hashing on the month keeps the write
     balanced when one month holds a large share of the rows; each task then writes files for
     the one or two months its time range covers, sorted so row-group statistics are tight.
-    Events with their booking's month are partitioned by it first.
+    Events with their booking's month are partitioned by it first.  ``dealt``: the rows are already.
     Returns (DataFrame, partition columns).
     """
     from pyspark.sql import functions as F
@@ -139,7 +139,8 @@ def time_partitioned(df, name: str, partitions: int | None = None):
     first = [BOOKING_MONTH] if BOOKING_MONTH in df.columns else []
     # the key parts rows of equal (or no) time: they never meet in one task
     by = [*first, F.col(col), F.col(PRIMARY_KEYS[name])]
-    out = out.repartitionByRange(partitions, *by) if partitions else out.repartitionByRange(*by)
+    if not dealt:
+        out = out.repartitionByRange(partitions, *by) if partitions else out.repartitionByRange(*by)
     return out.sortWithinPartitions(*first, col), [*first, pcol]
 
 
