@@ -155,10 +155,12 @@ class ActiveCustomers(Delta):
         if waiting:
             acts = acts.unionByName(publish.read(spark, waiting))
         columns = ["activity_date", "customer_id", "salon_id", "appointment_id"]
-        active = bookings.where("active").select(*columns).unionByName(acts.join(known, "appointment_id").select(*columns))
+        met = acts.join(known.withColumn("met", F.lit(True)), "appointment_id", "left").persist()         # once for both outcomes
+        active = bookings.where("active").select(*columns).unionByName(met.where("met").select(*columns))
         self._write(active.distinct(), "active", number, F.col("activity_date"))
-        publish.publish(acts.join(known, "appointment_id", "left_anti"), self.state, "waiting", _tag(number))
+        publish.publish(met.where("met IS NULL").select(*acts.columns), self.state, "waiting", _tag(number))
         publish.forget(spark, self.state, "waiting", keep=3)
+        met.unpersist()
         batch.unpersist()
 
     def daily(self) -> DataFrame:
