@@ -17,8 +17,8 @@ without the entity has them), else generalised.
 
 Only DataFrame functions are used.  Places of matches and words are running sums of the lengths of
 what lies between, taken block by block, so no array is copied once per element.  Shuffled are the
-words of documents with entities, the counts of terms (a task's, each once), and the documents that
-are joined with their terms or spans.
+documents with entities, their words (once, by document), the counts of pairs and of terms (a task's,
+each once), and the documents that are joined with their terms or spans.
 """
 
 from __future__ import annotations
@@ -166,34 +166,60 @@ def _around(words: Column, spans: Column) -> Column:
     return F.when(usual, let(flags, lambda f: F.filter(words, lambda w: F.get(f, F.floor(w["start"] / REACH).cast("int"))))).otherwise(words)
 
 
-def near_words(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(unit, entity, term, line, same_line): each word near an entity and outside all, once per entity and
-    line; and (unit, line, start, entity): the words inside one.  A unit is one document id with one
-    text.  Stored."""
-    unit = F.struct("doc_id", "text_id").alias("unit")
-    some = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_id"])
-    words = stored(some.select(unit, F.explode(let(_words(F.col("text")), lambda w: _around(w, F.col("spans")))).alias("w")).select("unit", "w.*"), "pii-words")
-    spans = some.select(unit, F.explode("spans").alias("s")).select("unit", F.col("s.start").alias("from"), F.col("s.end").alias("to"), F.col("s.value").alias("entity"))
-    inside = (words.withColumn("bucket", _buckets(F.col("start"), F.col("end")))
-              .join(spans.withColumn("bucket", _buckets(F.col("from"), F.col("to"))), ["unit", "bucket"])
-              .where((F.col("from") < F.col("end")) & (F.col("to") > F.col("start"))).select("unit", "line", "start", "entity").distinct())
-    inside = stored(inside, "pii-inside")
-    apart = words.join(inside.select("unit", "start").distinct(), ["unit", "start"], "left_anti").withColumn("bucket", F.floor(F.col("start") / REACH))
-    held = inside.select("unit", F.col("line").alias("at_line"), F.col("start").alias("at"), "entity")
-    met = apart.join(held.withColumn("bucket", _buckets(F.col("at"), F.col("at"), 1)), ["unit", "bucket"]).where(F.abs(F.col("start") - F.col("at")) <= REACH)
-    near = met.groupBy("unit", "entity", "term", "line").agg(F.max(F.col("line") == F.col("at_line")).alias("same_line"))
-    return stored(near, "pii-near"), inside
-
-
-def _candidates(near: DataFrame, inside: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_words(found: DataFrame) -> DataFrame:
+    """(doc_id, text_id, entity, term, n_lines): for each word near an entity and outside all, the number of
+    lines that hold both; and with a null term for each entity, the number of lines that hold it.  A unit
+    is one document id with one text.
+
+    Words and spans are shuffled once, by unit; the groups by stretch and the counts stay in those
+    partitions.  A group holds the words and spans of a stretch or three of one text.
+    """
+    unit = ["doc_id", "text_id"]
+    some = found.where("text IS NOT NULL").dropDuplicates(unit)
+    words = stored(some.select(*unit, F.explode(let(_words(F.col("text")), lambda w: _around(w, F.col("spans")))).alias("w")).select(*unit, "w.*"), "pii-words")
+    spans = some.select(*unit, F.explode("spans").alias("s")).select(*unit, "s.start", "s.end", F.col("s.value").alias("entity"))
+    both = words.unionByName(spans, allowMissingColumns=True).repartition(*unit).withColumn("bucket", _buckets(F.col("start"), F.col("end")))
+    word = F.when(F.col("term").isNotNull(), F.struct("line", "start", "end", "term"))
+    span = F.when(F.col("entity").isNotNull(), F.struct("start", "end", "entity"))
+    met = both.groupBy(*unit, "bucket").agg(F.collect_list(word).alias("words"), F.collect_list(span).alias("spans"))
+
+    def inside(w: Column) -> Column:
+        over = F.filter("spans", lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
+        return F.struct(w["line"].alias("line"), w["start"].alias("start"), w["term"].alias("term"),
+                        F.array_distinct(F.transform(over, lambda s: s["entity"])).alias("own"))
+
+    # words inside an entity are held in the stretches beside theirs too; a word that touches two stretches may be
+    # inside an entity in one only, and is then in that of its start twice
+    place, wide = F.floor(F.col("w.start") / REACH), F.when(F.size("w.own") > 0, 1).otherwise(0)
+    near = (met.select(*unit, F.explode(F.transform("words", inside)).alias("w")).withColumn("bucket", F.explode(F.sequence(place - wide, place + wide)))
+            .groupBy(*unit, "bucket").agg(F.collect_list("w").alias("words")))
+    held = F.array_distinct(F.flatten(F.transform("words", lambda w: F.transform(w["own"], lambda e: F.struct(
+        w["line"].alias("line"), w["start"].alias("at"), e.alias("entity"))))))
+
+    def pairs(held: Column, taken: Column) -> Column:
+        apart = F.filter("words", lambda w: (F.size(w["own"]) == 0) & ~F.array_contains(taken, w["start"]))
+        beside = F.flatten(F.transform(apart, lambda w: F.transform(F.filter(held, lambda h: F.abs(w["start"] - h["at"]) <= REACH), lambda h: F.struct(
+            h["entity"].alias("entity"), w["term"].alias("term"), F.when(w["line"] == h["line"], w["line"]).alias("line")))))
+        own = F.transform(F.filter(held, lambda h: F.floor(h["at"] / REACH) == F.col("bucket")), lambda h: F.struct(
+            h["entity"].alias("entity"), F.lit(None).cast("string").alias("term"), h["line"].alias("line")))
+        return F.concat(beside, own)
+
+    found_near = near.withColumn("held", held).where(F.size("held") > 0).select(*unit, F.explode(F.array_distinct(
+        pairs(F.col("held"), F.transform("held", lambda h: h["at"])))).alias("p")).select(*unit, "p.*")
+    return found_near.groupBy(*unit, "entity", "term").agg(F.count_distinct("line").alias("n_lines"))
+
+
+def _candidates(near: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (entity, term, scale, n_both) that have enough support to be judged, and (entity, scale,
     n_entity)."""
-    by_line = near.where("same_line").groupBy("entity", "term").agg(F.count("*").alias("n_both")).withColumn("scale", F.lit("line"))
-    by_doc = near.select("unit", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    by_doc = by_doc.where(F.col("n_both") >= SUPPORT).withColumn("scale", F.lit("doc"))
-    n_line = inside.select("unit", "line", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("line"))
-    n_doc = inside.select("unit", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("scale", F.lit("doc"))
-    return stored(by_line.unionByName(by_doc), "pii-together"), stored(n_line.unionByName(n_doc), "pii-entities")
+    counts = stored(near.groupBy("entity", "term").agg(F.sum("n_lines").alias("line"), F.count("*").alias("doc")), "pii-together")
+
+    def by_scale(rows: DataFrame, name: str, least_docs: int) -> DataFrame:
+        enough = {"line": F.col("line") > 0, "doc": F.col("doc") >= least_docs}
+        line, doc = (rows.where(c).withColumn("scale", F.lit(k)).withColumn(name, F.col(k)).drop("line", "doc") for k, c in enough.items())
+        return line.unionByName(doc)
+
+    return by_scale(counts.where("term IS NOT NULL"), "n_both", SUPPORT), by_scale(counts.where("term IS NULL").drop("term"), "n_entity", 1)
 
 
 def lower_bound(hits: Column, n: Column, deviations: float = DEVIATIONS) -> Column:
@@ -202,6 +228,10 @@ def lower_bound(hits: Column, n: Column, deviations: float = DEVIATIONS) -> Colu
     return (p + z2 / (2 * n) - deviations * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
+def supported(n_both: Column, n_term: Column, certainty: float = CERTAINTY) -> Column:
+    return lower_bound(n_both, n_term) >= certainty - 1e-9
+
+
 def reveals(n_both: Column, n_term: Column, n_entity: Column, n_all: Column, by_doc: Column, smoothing: float = SMOOTHING,
             disclosure: float = DISCLOSURE, certainty: float = CERTAINTY) -> Column:
     """Whether a term reveals an entity, from the numbers of lines (documents) with both, with the term, with
@@ -210,7 +240,7 @@ def reveals(n_both: Column, n_term: Column, n_entity: Column, n_all: Column, by_
     information = -F.log2(share)
     mutual = F.log2((n_both + smoothing * share) / (n_term + smoothing) / share)
     enough = F.when(by_doc, information >= 1).otherwise(information > 0)
-    return enough & (mutual >= disclosure * information) & (lower_bound(n_both, n_term) >= certainty - 1e-9)
+    return enough & (mutual >= disclosure * information) & supported(n_both, n_term, certainty)
 
 
 def _may_have(rows: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
@@ -231,7 +261,7 @@ def _with_terms(words: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", smoothing: float = SMOOTHING,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, action): the terms that reveal an entity, with what becomes of them."""
-    together, n_entity = _candidates(*near_words(found))
+    together, n_entity = _candidates(near_words(found))
     candidates = stored(together.select("term", "scale").distinct(), "pii-candidates")
     whole = F.coalesce(text, F.lit(""))
     lines = docs.select(F.explode(F.split(whole, "\n")).alias("of"))
@@ -252,7 +282,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", smoo
     n_term = stored(count(lines, "line").unionByName(count(docs.select(whole.alias("of")), "doc")), "pii-terms")
     n_doc, n_line = docs.agg(F.count("*"), F.sum(F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1)).first()
     n_all = F.when(F.col("scale") == "doc", F.lit(n_doc)).otherwise(F.lit(n_line or 0))
-    known = together.join(n_entity, ["entity", "scale"]).join(n_term, ["term", "scale"])
+    # what has too little support is left out before the entities' counts are joined
+    known = together.join(n_term, ["term", "scale"]).where(supported(F.col("n_both"), F.col("n_term"))).join(n_entity, ["entity", "scale"])
     told = reveals(F.col("n_both"), F.col("n_term"), F.col("n_entity"), n_all, F.col("scale") == "doc", smoothing, disclosure)
     return known.where(told).groupBy("entity", "term").agg(F.when(F.max(F.col("n_both") >= F.col("n_term")), "removed").otherwise("term").alias("action"))
 

@@ -110,6 +110,36 @@ def test_words_are_counted_before_a_shuffle_and_far_ones_left_out(spark, monkeyp
     assert kept["pii-words"][1].where("term LIKE 'far%'").count() == 5000
 
 
+def test_near_words_are_shuffled_once_and_equal_brute_force(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(40):
+        words = [rng.choice(["w1", "w2", "w3", "x" * 300, "y" * 1300, "z" * 600 + ",a@b.co", "(c@d.org)" + "v" * 900, "a@b.co", "e@f.net,a@b.co"])
+                 + rng.choice(["", "", "\n", "\t"]) for _ in range(rng.randint(0, 40))]
+        texts.append(" ".join(words))
+    rows = [*enumerate(texts), (0, texts[0]), (0, texts[1]), (None, texts[2]), (None, texts[2])]
+    want = {}
+    for d, text in {(d, t) for d, t in rows}:
+        spans = emails(text)
+        words = [(text.count("\n", 0, m.start()), m.start(), m.end(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        held = {(line, a, v) for line, a, b, _ in words for x, y, v in spans if x < b and y > a}
+        for line, _, v in held:
+            want.setdefault((d, text, v, None), set()).add(line)
+        taken = {a for _, a, _ in held}
+        for line, a, _, w in words:
+            for at_line, at, v in held:
+                if a not in taken and abs(a - at) <= sanitise.REACH:
+                    want.setdefault((d, text, v, w), set()).update({line} & {at_line})
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts_of = {r["h"]: r["text"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    near = sanitise.near_words(sanitise.stored(sanitise.entities(docs), "t"))
+    got = {(r["doc_id"], texts_of[r["text_id"]], r["entity"], r["term"]): r["n_lines"] for r in near.collect()}
+    assert got == {k: len(v) for k, v in want.items()} and got
+    # spans once for their units, words and spans once for all that follows
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning(") == 2
+
+
 def test_running_sums_and_maxima(spark):
     rng = random.Random(1)
     rows = [(k, [rng.randint(0, 50) for _ in range(k)]) for k in (0, 1, 2, 63, 64, 65, 128, 129, 1000)]
