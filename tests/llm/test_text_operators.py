@@ -210,6 +210,24 @@ def test_a_small_word_table_gives_the_same_ids(library, monkeypatch):
     assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_printable_ascii_words_pass_the_normalizer_by(library):
+    table = word_ids.LibraryTable(queries.tokenizer_path())
+    whole, seen = table.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    table.tokenizer = Watched()
+    texts = ["The THE the Don't I'LL U.S.A. x1Y22 a_b--C", "É J\u030c I\u0307 ΣΑΣ", "<|EndOfText|> <|endoftext|>A <b>", "a\x1fB \x7fC"]
+    got = [table.of(t) for t in texts]
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    reached = " ".join(seen).split(" ")
+    assert not {"The", "THE", "the", "Don't", "I'LL", "U.S.A.", "x1Y22", "a_b--C"} & set(reached)
+    assert {"É", "J\u030c", "<|EndOfText|>", "<b>", "a\x1fB"} <= set(reached)
+
+
 def test_new_words_encoded_together_keep_their_ids():
     table = word_ids.LibraryTable(queries.tokenizer_path())
     assert table.mark
