@@ -172,14 +172,16 @@ def near_words(found: DataFrame) -> DataFrame:
     is one document id with one text.
 
     Words and spans are shuffled once, by unit; the groups by stretch and the counts stay in those
-    partitions.  A group holds the words and spans of a stretch or three of one text.
+    partitions.  A group holds the words and spans of a stretch or three of one text, with the entities inside
+    those words; pairs are rows, not arrays.
     """
     unit = ["doc_id", "text_id"]
     some = found.where("text IS NOT NULL").dropDuplicates(unit)
     words = stored(some.select(*unit, F.explode(let(_words(F.col("text")), lambda w: _around(w, F.col("spans")))).alias("w")).select(*unit, "w.*"), "pii-words")
     spans = some.select(*unit, F.explode("spans").alias("s")).select(*unit, "s.start", "s.end", F.col("s.value").alias("entity"))
     both = words.unionByName(spans, allowMissingColumns=True).repartition(*unit).withColumn("bucket", _buckets(F.col("start"), F.col("end")))
-    word = F.when(F.col("term").isNotNull(), F.struct("line", "start", "end", "term"))
+    first = F.col("bucket") == F.floor(F.col("start") / REACH)       # a long word is not copied to every stretch it touches
+    word = F.when(F.col("term").isNotNull(), F.struct("line", "start", "end", F.when(first, F.col("term")).otherwise("").alias("term")))
     span = F.when(F.col("entity").isNotNull(), F.struct("start", "end", "entity"))
     met = both.groupBy(*unit, "bucket").agg(F.collect_list(word).alias("words"), F.collect_list(span).alias("spans"))
 
@@ -191,21 +193,20 @@ def near_words(found: DataFrame) -> DataFrame:
     # words inside an entity are held in the stretches beside theirs too; a word that touches two stretches may be
     # inside an entity in one only, and is then in that of its start twice
     place, wide = F.floor(F.col("w.start") / REACH), F.when(F.size("w.own") > 0, 1).otherwise(0)
-    near = (met.select(*unit, F.explode(F.transform("words", inside)).alias("w")).withColumn("bucket", F.explode(F.sequence(place - wide, place + wide)))
+    near = (met.select(*unit, F.explode(F.transform("words", inside)).alias("w")).where((F.col("w.term") != "") | (F.size("w.own") > 0)).withColumn("bucket", F.explode(F.sequence(place - wide, place + wide)))
             .groupBy(*unit, "bucket").agg(F.collect_list("w").alias("words")))
-    held = F.array_distinct(F.flatten(F.transform("words", lambda w: F.transform(w["own"], lambda e: F.struct(
-        w["line"].alias("line"), w["start"].alias("at"), e.alias("entity"))))))
-
-    def pairs(held: Column, taken: Column) -> Column:
-        apart = F.filter("words", lambda w: (F.size(w["own"]) == 0) & ~F.array_contains(taken, w["start"]))
-        beside = F.flatten(F.transform(apart, lambda w: F.transform(F.filter(held, lambda h: F.abs(w["start"] - h["at"]) <= REACH), lambda h: F.struct(
-            h["entity"].alias("entity"), w["term"].alias("term"), F.when(w["line"] == h["line"], w["line"]).alias("line")))))
-        own = F.transform(F.filter(held, lambda h: F.floor(h["at"] / REACH) == F.col("bucket")), lambda h: F.struct(
-            h["entity"].alias("entity"), F.lit(None).cast("string").alias("term"), h["line"].alias("line")))
-        return F.concat(beside, own)
-
-    found_near = near.withColumn("held", held).where(F.size("held") > 0).select(*unit, F.explode(F.array_distinct(
-        pairs(F.col("held"), F.transform("held", lambda h: h["at"])))).alias("p")).select(*unit, "p.*")
+    held = F.flatten(F.transform("words", lambda w: F.transform(w["own"], lambda e: F.struct(w["line"].alias("line"), w["start"].alias("at"), e.alias("entity")))))
+    none = F.lit(None).cast("struct<line:int,start:int,term:string>")
+
+    def apart(taken: Column) -> Column:
+        return F.transform(F.filter("words", lambda w: (F.size(w["own"]) == 0) & ~F.array_contains(taken, w["start"])), lambda w: w.dropFields("own"))
+
+    taken = F.array_distinct(F.transform(F.filter("words", lambda w: F.size(w["own"]) > 0), lambda w: w["start"]))
+    # each word apart, and null for the entities' own lines; then what it meets: a word may hold very many entities
+    each = near.withColumn("held", held).where(F.size("held") > 0).select(*unit, "bucket", "held", F.explode(F.concat(let(taken, apart), F.array(none))).alias("w"))
+    meets = F.filter("held", lambda h: F.when(F.col("w").isNull(), F.floor(h["at"] / REACH) == F.col("bucket")).otherwise(F.abs(F.col("w.start") - h["at"]) <= REACH))
+    found_near = each.select(*unit, "w", F.explode(meets).alias("h")).select(*unit, F.col("h.entity").alias("entity"), F.col("w.term").alias("term"), F.when(
+        F.col("w").isNull() | (F.col("w.line") == F.col("h.line")), F.col("h.line")).alias("line"))
     return found_near.groupBy(*unit, "entity", "term").agg(F.count_distinct("line").alias("n_lines"))
 
 

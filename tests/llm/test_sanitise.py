@@ -140,6 +140,17 @@ def test_near_words_are_shuffled_once_and_equal_brute_force(spark):
     assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning(") == 2
 
 
+def test_a_word_of_many_entities(spark):
+    text = " ".join(f"w{i}" for i in range(20)) + " " + ",".join(f"a{i}@b{i}.org" for i in range(4000)) + " after"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = sanitise.stored(sanitise.entities(docs), "t")
+    start = time.time()
+    near = sanitise.near_words(found)
+    assert near.where("n_lines = 1 AND term IS NOT NULL").count() == 20 * 4000
+    assert near.where("n_lines = 1 AND term IS NULL").count() == 4000 and near.where("term = 'after' OR term = ''").count() == 0
+    assert time.time() - start < 60
+
+
 def test_running_sums_and_maxima(spark):
     rng = random.Random(1)
     rows = [(k, [rng.randint(0, 50) for _ in range(k)]) for k in (0, 1, 2, 63, 64, 65, 128, 129, 1000)]
